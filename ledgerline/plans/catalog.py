@@ -69,3 +69,149 @@ class LazyGold(dict):
 
 def report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return R.run_report(name, LazyGold(spark, sf_dir))
+
+
+# ---- operator-level queries over the fixture -------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+from decimal import Decimal  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerline.functions import scalars as S  # noqa: E402
+from ledgerline.operators import audit as A  # noqa: E402
+from ledgerline.operators import checks as Q  # noqa: E402
+from ledgerline.operators import history as H  # noqa: E402
+from ledgerline.operators import publish as P  # noqa: E402
+from ledgerline.operators.dedupe import keep_latest  # noqa: E402
+from ledgerline.sources.layers import filter_batch  # noqa: E402
+
+# fixed values of the fixture: the batch day scanned, and the allow-list made of the
+# (city, region) pairs of nations 0–6 (the other 18 nations' pairs are the bad ones)
+SCAN_DAY = _dt.date(1996, 9, 17)
+NATION_PAIRS = [
+    ("Nation_0", "Africa"),
+    ("Nation_1", "America"),
+    ("Nation_2", "Asia"),
+    ("Nation_3", "Europe"),
+    ("Nation_4", "Middle East"),
+    ("Nation_5", "Africa"),
+    ("Nation_6", "America"),
+]
+
+
+def scan_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_batch(raw(spark, sf_dir, "orders"), SCAN_DAY)
+
+
+def fill_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = raw(spark, sf_dir, "orders").select("order_id", "order_status", "payment_method")
+    return C.fill_defaults(o, C.SPECS["orders"].defaults)
+
+
+def dedupe_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keep_latest(raw(spark, sf_dir, "order_items"), ["order_item_id"])
+
+
+def scalar_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = raw(spark, sf_dir, "orders")
+    ts = S.parse_timestamp("order_timestamp")
+    day = S.date_of(ts)
+    total = S.to_money("order_total_mmk")
+    return o.select(
+        "order_id",
+        S.title_case("city").alias("city_title"),
+        S.title_case("region").alias("region_title"),
+        ts.alias("order_ts"),
+        day.alias("order_day"),
+        S.date_key(day).alias("date_key"),
+        F.year(day).alias("year"),
+        F.month(day).alias("month"),
+        F.dayofmonth(day).alias("day_of_month"),
+        S.month_name(day).alias("month_name"),
+        S.iso_week(day).alias("week_of_year"),
+        S.day_difference(day, F.lit(_dt.date(2000, 1, 1))).alias("days_since_2000"),
+        S.surrogate_key(S.title_case("region"), S.title_case("city")).alias("region_key"),
+        F.concat_ws("|", "region", "city").alias("geo_text"),
+        total.alias("total"),
+        F.abs(S.to_money("shipping_fee_mmk") - F.lit(1)).cast(S.MONEY).alias("fee_gap"),
+        F.round(total * F.lit(Decimal("0.15")), 1).cast("decimal(18,1)").alias("tax_estimate"),
+        S.to_int("item_count").alias("item_count"),
+        F.when(total >= 100000, "large").otherwise("small").alias("size_band"),
+    )
+
+
+def check_non_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.single(silver(spark, sf_dir, "orders"), Q.non_null(["order_id", "customer_id", "shipping_fee_mmk"], "orders_required_fields"))
+
+
+def check_valid_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.single(silver(spark, sf_dir, "payments"), Q.valid_timestamp("paid_at", "payments_timestamp_valid"))
+
+
+def check_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.single(D.read_table(spark, sf_dir, "customer"), Q.positive("c_acctbal", "customer_balance_positive"))
+
+
+def check_non_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.single(D.read_table(spark, sf_dir, "customer"), Q.non_negative("c_acctbal", "customer_balance_non_negative"))
+
+
+def check_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.no_duplicates(raw(spark, sf_dir, "order_items"), ["order_item_id"], "order_items_duplicates")
+
+
+def check_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = D.read_table(spark, sf_dir, "lineitem")
+    solvent = D.read_table(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
+    return Q.references(lines, solvent, "l_suppkey", "s_suppkey", "lineitem_supplier_reference")
+
+
+def reconcile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.reconciliation(silver(spark, sf_dir, "order_items"), silver(spark, sf_dir, "orders"))
+
+
+def check_amount_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    check = Q.amount_match("recalc_subtotal_mmk", "subtotal_amount_mmk", 1.0, "order_subtotal_reconciliation")
+    return Q.single(reconcile_orders(spark, sf_dir), check)
+
+
+def check_allowed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.allowed_pairs(silver(spark, sf_dir, "customers"), "city", "region", NATION_PAIRS, "customers_city_region_mapping")
+
+
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = LazySilver(spark, sf_dir)
+    return Q.silver_suite(
+        raw(spark, sf_dir, "orders"), s["orders"], s["order_items"], s["payments"], s["deliveries"],
+        s["customers"], s["products"], pairs=NATION_PAIRS,
+    )
+
+
+def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = LazySilver(spark, sf_dir)
+    return A.stage_counts({f"silver_{e}": s[e] for e in D.EXTRACTS})
+
+
+def publish_replace_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = gold_table(spark, sf_dir, "dim_date")
+    target = days.where(F.col("calendar_date") < F.lit(_dt.date(1997, 1, 1)))
+    incoming = days.where(F.col("year").between(1996, 1998)).withColumn("month_name", F.upper("month_name"))
+    return P.replace_by_key(target, incoming, ["date_key"])
+
+
+def upsert_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = gold_table(spark, sf_dir, "dim_customer")
+    target = customers.where(F.col("segment") != "building")
+    incoming = customers.where(F.col("segment").isin("building", "machinery")).select(
+        *[F.lit(None).cast("string").alias("email") if c == "email"
+          else F.upper("segment").alias("segment") if c == "segment" else F.col(c)
+          for c in customers.columns]
+    )
+    return P.upsert(target, incoming, ["customer_id"])
+
+
+def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = silver(spark, sf_dir, "orders")
+    snaps = H.daily_snapshots(orders, ["customer_id"], "batch_date", ["payment_method"], ["order_id"])
+    return H.scd2_versions(snaps, ["customer_id"], "batch_date", ["payment_method"])

@@ -40,3 +40,12 @@ for _table in GOLD_KEYS:
     QUERIES[_table] = partial(lambda spark, sf_dir, table: K.gold_table(spark, sf_dir, table), table=_table)
 for _name in R.REPORTS:
     QUERIES[_name] = partial(lambda spark, sf_dir, name: K.report(spark, sf_dir, name), name=_name)
+
+for _name in (
+    "scan_batch", "fill_defaults", "dedupe_items", "scalar_suite",
+    "check_non_null", "check_valid_timestamp", "check_positive", "check_non_negative",
+    "check_no_duplicates", "check_references", "reconcile_orders", "check_amount_match",
+    "check_allowed_pairs", "quality_report", "audit_counts", "publish_replace_key",
+    "upsert_dimension", "scd2_history",
+):
+    QUERIES[_name] = getattr(K, _name)

@@ -303,6 +303,8 @@ def with_ctes(entities: list[str], gold: list[str] = (), extra: list[tuple[str,
         add(g, GOLD[g])
     for name, sql in extra:
         add(name, sql)
+    if not parts:
+        return ""
     return "WITH " + ",\n".join(f"{n} AS ({s.strip()})" for n, s in parts)
 
 
@@ -363,3 +365,165 @@ ORDER BY r.region NULLS LAST, payment_volume_mmk DESC NULLS FIRST"""),
 def report_query(name: str) -> str:
     gold, body = REPORTS[name]
     return f"{with_ctes([], gold)}\n{body.strip()}"
+
+
+# ---- operator-level queries ---------------------------------------------------------------------
+
+NATION_PAIRS_SQL = (
+    "(VALUES ('Nation_0', 'Africa'), ('Nation_1', 'America'), ('Nation_2', 'Asia'), ('Nation_3', 'Europe'), "
+    "('Nation_4', 'Middle East'), ('Nation_5', 'Africa'), ('Nation_6', 'America')) AS a(city, region)"
+)
+
+
+def check_row(name: str, failed_expr: str, message: str, source: str) -> str:
+    """One check result row from an aggregate over ``source``."""
+    return (
+        f"SELECT '{name}' AS check_name, failed = 0 AS passed, failed AS failed_rows, '{message}' AS message "
+        f"FROM (SELECT CAST(coalesce({failed_expr}, 0) AS BIGINT) AS failed FROM {source})"
+    )
+
+
+def count_when(cond: str) -> str:
+    return f"sum(CASE WHEN {cond} THEN 1 ELSE 0 END)"
+
+
+RECON = """
+SELECT r.order_id, r.recalc_subtotal_mmk, o.subtotal_amount_mmk
+FROM (SELECT order_id, CAST(round(sum(net_line_amount_mmk), 2) AS DECIMAL(18,2)) AS recalc_subtotal_mmk
+      FROM silver_order_items GROUP BY order_id) r
+JOIN silver_orders o ON r.order_id = o.order_id"""
+
+
+def pairs_check(name: str, source: str) -> str:
+    bad = (f"(SELECT count(*) AS n FROM (SELECT DISTINCT city, region FROM {source}) t "
+           f"WHERE NOT EXISTS (SELECT 1 FROM {NATION_PAIRS_SQL} WHERE a.city = t.city AND a.region = t.region))")
+    return check_row(name, "sum(n)", "Allowed pair validation for city and region", bad)
+
+
+def refs_check(name: str, fact: str, fact_key: str, dim: str, dim_key: str, message: str) -> str:
+    orphans = (f"(SELECT n FROM (SELECT {fact_key} AS k, count(*) AS n FROM {fact} GROUP BY {fact_key}) f "
+               f"WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{dim_key} = f.k))")
+    return check_row(name, "sum(n)", message, orphans)
+
+
+def dup_check(name: str, source: str, cols: str, message: str) -> str:
+    groups = f"(SELECT count(*) AS n FROM {source} GROUP BY {cols})"
+    return check_row(name, count_when("n > 1"), message, groups)
+
+
+QUALITY_SUITE = " UNION ALL ".join([
+    check_row("orders_primary_keys", count_when("order_id IS NULL OR customer_id IS NULL"),
+              "Null check on [''order_id'', ''customer_id'']", "silver_orders"),
+    check_row("orders_timestamp_valid", count_when("order_timestamp IS NULL"),
+              "Timestamp validity check on order_timestamp", "silver_orders"),
+    dup_check("orders_duplicates", "raw_orders", "order_id", "Duplicate check on [''order_id'']"),
+    check_row("payments_timestamp_valid", count_when("paid_at IS NULL"),
+              "Timestamp validity check on paid_at", "silver_payments"),
+    check_row("payment_amount_non_negative", count_when("payment_amount_mmk < 0"),
+              "Non-negative check on payment_amount_mmk", "silver_payments"),
+    pairs_check("orders_region_city_mapping", "silver_orders"),
+    pairs_check("deliveries_region_city_mapping", "silver_deliveries"),
+    check_row("order_items_product_id_present", count_when("product_id IS NULL"),
+              "Null check on [''product_id'']", "silver_order_items"),
+    check_row("order_item_price_non_negative", count_when("unit_price_mmk < 0"),
+              "Non-negative check on unit_price_mmk", "silver_order_items"),
+    check_row("order_item_quantity_non_negative", count_when("quantity < 0"),
+              "Non-negative check on quantity", "silver_order_items"),
+    refs_check("orders_customer_reference", "silver_orders", "customer_id", "silver_customers", "customer_id",
+               "Reference check for customer_id"),
+    refs_check("order_items_product_reference", "silver_order_items", "product_id", "silver_products", "product_id",
+               "Reference check for product_id"),
+    check_row("order_subtotal_reconciliation", count_when("abs(recalc_subtotal_mmk - subtotal_amount_mmk) > 1.0"),
+              "Amount reconciliation for recalc_subtotal_mmk and subtotal_amount_mmk", "recon"),
+])
+
+DATE_TARGET = "(SELECT * FROM dim_date WHERE calendar_date < DATE '1997-01-01')"
+DATE_INCOMING = ("(SELECT date_key, calendar_date, year, month, day, upper(month_name) AS month_name, week_of_year "
+                 "FROM dim_date WHERE year BETWEEN 1996 AND 1998)")
+
+CUSTOMER_COLS = ["customer_id", "customer_name", "phone_number", "email", "city", "region", "township", "segment", "created_at"]
+UPSERT_INCOMING = ("(SELECT customer_id, customer_name, phone_number, CAST(NULL AS VARCHAR) AS email, city, region, township, "
+                   "upper(segment) AS segment, created_at FROM dim_customer WHERE segment IN ('building', 'machinery'))")
+
+OPS = {
+    "scan_batch": (["orders"], [], "SELECT * FROM raw_orders WHERE batch_date = DATE '1996-09-17'"),
+    "fill_defaults": (["orders"], [], """
+SELECT order_id, coalesce(order_status, 'placed') AS order_status,
+       coalesce(payment_method, 'cash_on_delivery') AS payment_method
+FROM raw_orders"""),
+    "dedupe_items": (["order_items"], [], "SELECT * EXCLUDE (_rn) FROM "
+                     + latest("raw_order_items", KEYS["order_items"], RAW_COLUMNS["order_items"])),
+    "scalar_suite": (["orders"], [], f"""
+SELECT order_id,
+       {initcap('city')} AS city_title,
+       {initcap('region')} AS region_title,
+       ts AS order_ts,
+       d AS order_day,
+       CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key,
+       CAST(year(d) AS INTEGER) AS year,
+       CAST(month(d) AS INTEGER) AS month,
+       CAST(day(d) AS INTEGER) AS day_of_month,
+       monthname(d) AS month_name,
+       CAST(weekofyear(d) AS INTEGER) AS week_of_year,
+       CAST(date_diff('day', DATE '2000-01-01', d) AS INTEGER) AS days_since_2000,
+       ('0x' || substr(md5({initcap('region')} || '|' || {initcap('city')}), 1, 15))::BIGINT AS region_key,
+       concat_ws('|', region, city) AS geo_text,
+       total,
+       CAST(abs(TRY_CAST(shipping_fee_mmk AS DECIMAL(18,2)) - 1) AS DECIMAL(18,2)) AS fee_gap,
+       CAST(round(total * 0.15, 1) AS DECIMAL(18,1)) AS tax_estimate,
+       TRY_CAST(item_count AS INTEGER) AS item_count,
+       CASE WHEN total >= 100000 THEN 'large' ELSE 'small' END AS size_band
+FROM (SELECT *, TRY_CAST(order_timestamp AS TIMESTAMP) AS ts,
+             CAST(TRY_CAST(order_timestamp AS TIMESTAMP) AS DATE) AS d,
+             TRY_CAST(order_total_mmk AS DECIMAL(18,2)) AS total
+      FROM raw_orders)"""),
+    "check_non_null": (["orders"], [], check_row(
+        "orders_required_fields", count_when("order_id IS NULL OR customer_id IS NULL OR shipping_fee_mmk IS NULL"),
+        "Null check on [''order_id'', ''customer_id'', ''shipping_fee_mmk'']", "silver_orders")),
+    "check_valid_timestamp": (["payments"], [], check_row(
+        "payments_timestamp_valid", count_when("paid_at IS NULL"), "Timestamp validity check on paid_at", "silver_payments")),
+    "check_positive": ([], [], check_row(
+        "customer_balance_positive", count_when("c_acctbal <= 0"), "Positive check on c_acctbal", "customer")),
+    "check_non_negative": ([], [], check_row(
+        "customer_balance_non_negative", count_when("c_acctbal < 0"), "Non-negative check on c_acctbal", "customer")),
+    "check_no_duplicates": (["order_items"], [], dup_check(
+        "order_items_duplicates", "raw_order_items", "order_item_id", "Duplicate check on [''order_item_id'']")),
+    "check_references": ([], [], refs_check(
+        "lineitem_supplier_reference", "lineitem", "l_suppkey", "(SELECT * FROM supplier WHERE s_acctbal >= 0)",
+        "s_suppkey", "Reference check for l_suppkey")),
+    "reconcile_orders": (["orders", "order_items"], [], RECON),
+    "check_amount_match": (["orders", "order_items"], [("recon", RECON)], check_row(
+        "order_subtotal_reconciliation", count_when("abs(recalc_subtotal_mmk - subtotal_amount_mmk) > 1.0"),
+        "Amount reconciliation for recalc_subtotal_mmk and subtotal_amount_mmk", "recon")),
+    "check_allowed_pairs": (["customers"], [], pairs_check("customers_city_region_mapping", "silver_customers")),
+    "quality_report": (["orders", "order_items", "payments", "deliveries", "customers", "products"],
+                       [("recon", RECON)], QUALITY_SUITE),
+    "audit_counts": (list(RAW_COLUMNS), [], " UNION ALL ".join(
+        f"SELECT 'silver_{e}' AS pipeline_stage, 'SUCCESS' AS status, count(*) AS row_count FROM silver_{e}"
+        for e in RAW_COLUMNS)),
+    "publish_replace_key": ([], ["dim_date"], f"""
+SELECT * FROM {DATE_TARGET} t WHERE NOT EXISTS (SELECT 1 FROM {DATE_INCOMING} i WHERE i.date_key = t.date_key)
+UNION ALL SELECT * FROM {DATE_INCOMING}"""),
+    "upsert_dimension": ([], ["dim_customer"], "SELECT " + ", ".join(
+        f"coalesce(i.{c}, t.{c}) AS {c}" for c in CUSTOMER_COLS)
+        + f" FROM (SELECT * FROM dim_customer WHERE segment <> 'building') t FULL OUTER JOIN {UPSERT_INCOMING} i "
+          "ON t.customer_id IS NOT DISTINCT FROM i.customer_id"),
+    "scd2_history": (["orders"], [], """
+SELECT customer_id, payment_method, valid_from,
+       lead(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) AS valid_to,
+       lead(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) IS NULL AS is_current
+FROM (SELECT customer_id, payment_method, batch_date AS valid_from
+      FROM (SELECT *, row_number() OVER w AS rn, lag(payment_method) OVER w AS prev
+            FROM (SELECT customer_id, batch_date, arg_max(payment_method, order_id) AS payment_method
+                  FROM silver_orders GROUP BY customer_id, batch_date)
+            WINDOW w AS (PARTITION BY customer_id ORDER BY batch_date))
+      WHERE rn = 1 OR payment_method IS DISTINCT FROM prev)"""),
+}
+
+
+def op_query(name: str) -> str:
+    """OPS values are (entities, ctes, body); a CTE given by name is a gold table."""
+    entities, ctes, body = OPS[name]
+    gold = [c for c in ctes if isinstance(c, str)]
+    extra = [c for c in ctes if not isinstance(c, str)]
+    return f"{with_ctes(entities, gold, extra)}\n{body.strip()}"

@@ -22,3 +22,5 @@ for _table in Q.GOLD:
     SQL[_table] = Q.gold_query(_table)
 for _name in Q.REPORTS:
     SQL[_name] = Q.report_query(_name)
+for _name in Q.OPS:
+    SQL[_name] = Q.op_query(_name)
