@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from ledgerline.contracts import BATCH_ENTITIES, FACTS
 
 PARTITIONED = set(BATCH_ENTITIES) | set(FACTS)
-LAYERS = ("bronze", "silver", "gold")
+LAYERS = ("bronze", "silver", "gold", "_staging", "audit")
 
 
 def table_path(root: str, layer: str, table: str) -> str:
-    if layer not in LAYERS and layer != "audit":
+    if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}")
     return f"{root.rstrip('/')}/{layer}/{table}"
 
