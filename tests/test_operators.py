@@ -1,0 +1,141 @@
+"""Cleaners, dedupe, scalars, star schema and reports on hand-made frames."""
+
+import datetime as dt
+from decimal import Decimal as D
+
+import duckdb
+
+from ledgerline.contracts import SILVER, bronze_schema
+from ledgerline.functions import scalars as S
+from ledgerline.operators import clean as C
+from ledgerline.operators import history as H
+from ledgerline.operators import publish as P
+from ledgerline.operators import reports as R
+from ledgerline.operators import star as G
+from ledgerline.operators.dedupe import keep_latest
+
+
+def test_keep_latest_is_deterministic_and_prefers_ingest_time(spark):
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    df = spark.createDataFrame(
+        [("k", "b", t1), ("k", "z", t1), ("k", "a", t2), ("j", None, t1), ("j", "x", t1)],
+        "id string, v string, ingested_at timestamp_ntz",
+    )
+    for parts in (1, 3):
+        got = {r.id: r.v for r in keep_latest(df.repartition(parts), ["id"]).collect()}
+        assert got == {"k": "a", "j": "x"}
+
+
+def test_keep_latest_aggregates_map_side(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id AS v")
+    plan = keep_latest(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "Window" not in plan
+
+
+def test_clean_orders_types_defaults_and_geography(spark):
+    row = ("O1", "C1", "2024-03-01 10:00:00", None, "yangon", "YANGON REGION", None, "bad", "1.005", "3.00",
+           "MMK", "2", "x", dt.datetime(2024, 1, 1), dt.date(2024, 3, 1))
+    df = spark.createDataFrame([row], bronze_schema("orders"))
+    out = C.clean_entity(df, "orders")
+    assert out.schema.simpleString() == SILVER["orders"].simpleString()
+    r = out.first()
+    assert (r.order_status, r.payment_method) == ("placed", "cash_on_delivery")
+    assert (r.city, r.region) == ("Yangon", "Yangon Region")
+    assert r.shipping_fee_mmk is None and r.subtotal_amount_mmk == D("1.01")
+    assert r.total_quantity is None and r.item_count == 2
+    assert r.order_date == dt.date(2024, 3, 1)
+
+
+def test_clean_deliveries_delay(spark):
+    row = ("D1", "O1", "x", "Mon State", "MAWLAMYINE", "2024-03-05", "2024-03-01", "delivered", "1.00",
+           dt.datetime(2024, 1, 1), dt.date(2024, 3, 1))
+    r = C.clean_entity(spark.createDataFrame([row], bronze_schema("deliveries")), "deliveries").first()
+    assert r.delivery_delay_days == -4 and r.city == "Mawlamyine"
+
+
+def test_surrogate_key_matches_duckdb_and_nulls(spark):
+    rows = spark.createDataFrame([("Yangon Region", "Yangon"), ("Shan State", None)], "region string, city string")
+    got = [r.k for r in rows.select(S.surrogate_key("region", "city").alias("k")).collect()]
+    want = duckdb.connect().execute("SELECT ('0x' || substr(md5('Yangon Region|Yangon'), 1, 15))::BIGINT").fetchall()[0][0]
+    assert got == [want, None]
+
+
+def test_scalars(spark):
+    df = spark.createDataFrame([(dt.date(2024, 12, 30), "mcDONALD o'neil")], "d date, s string")
+    r = df.select(S.date_key("d"), S.month_name("d"), S.iso_week("d"), S.title_case("s")).first()
+    assert tuple(r) == (20241230, "December", 1, "Mcdonald O'neil")
+
+
+def test_dim_region_unions_geography_and_skips_nulls(spark):
+    cust = spark.createDataFrame([("Yangon Region", "Yangon"), ("Bago Region", None)], "region string, city string")
+    sell = spark.createDataFrame([("Yangon Region", "Yangon"), ("Shan State", "Taunggyi")], "region string, city string")
+    rows = sorted((r.region, r.city) for r in G.dim_region(cust, sell).collect())
+    assert rows == [("Shan State", "Taunggyi"), ("Yangon Region", "Yangon")]
+
+
+def test_dim_date_range(spark):
+    rows = G.dim_date_between(spark, "2024-02-28", "2024-03-01").collect()
+    assert [r.date_key for r in rows] == [20240228, 20240229, 20240301]
+
+
+def _orders(spark):
+    return spark.createDataFrame(
+        [
+            ("O1", "C1", 1, dt.date(2024, 3, 1), "wave", D("10.00")),
+            ("O2", "C2", 1, dt.date(2024, 3, 1), "cash", D("5.00")),
+            ("O3", "C3", None, dt.date(2024, 3, 2), "wave", D("7.00")),
+            ("O4", "C1", 2, dt.date(2024, 3, 2), "wave", None),
+        ],
+        "order_id string, customer_id string, region_key long, order_date date, payment_method string, order_total_mmk decimal(18,2)",
+    )
+
+
+def test_gmv_keeps_unknown_region_group(spark):
+    regions = spark.createDataFrame([(1, "R1", "City1"), (2, "R2", "City2")], "region_key long, region string, city string")
+    rows = {(r.region, r.city): (r.gmv_mmk, r.total_orders) for r in R.gmv_by_city(_orders(spark), regions).collect()}
+    assert rows == {("R1", "City1"): (D("15.00"), 2), (None, None): (D("7.00"), 1), ("R2", "City2"): (None, 1)}
+
+
+def test_top_customers_merges_namesakes_and_orders_nulls_first(spark):
+    cust = spark.createDataFrame(
+        [("C1", "Aung", "Yangon"), ("C2", "Aung", "Yangon"), ("C3", "Su", "Bago")],
+        "customer_id string, customer_name string, city string",
+    )
+    orders = _orders(spark).unionByName(
+        spark.createDataFrame([("O5", "C9", 1, dt.date(2024, 3, 2), "x", None)], _orders(spark).schema)
+    )
+    rows = R.top_customers(orders, cust, n=2).collect()
+    assert [(r.customer_name, r.lifetime_value_mmk) for r in rows] == [("Aung", D("15.00")), ("Su", D("7.00"))]
+
+
+def test_payment_mix_and_delivery(spark):
+    regions = spark.createDataFrame([(1, "R1", "City1")], "region_key long, region string, city string")
+    mix = {(r.region, r.payment_method): r.orders_count for r in R.payment_mix(_orders(spark), regions).collect()}
+    assert mix == {("R1", "wave"): 1, ("R1", "cash"): 1, (None, "wave"): 2}
+    dl = spark.createDataFrame([("R1", -1), ("R1", 3), ("R1", None), ("R2", 0)], "region string, delivery_delay_days int")
+    got = {r.region: (r.avg_delay_days, r.on_time_deliveries) for r in R.delivery_performance(dl).collect()}
+    assert got == {"R1": (1.0, 1), "R2": (0.0, 1)}
+
+
+def test_replace_by_key_and_upsert(spark):
+    target = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, w string")
+    incoming = spark.createDataFrame([(2, "B", None), (3, "c", "z")], "k int, v string, w string")
+    assert sorted(tuple(r) for r in P.replace_by_key(target, incoming, ["k"]).collect()) == [
+        (1, "a", "x"), (2, "B", None), (3, "c", "z")]
+    assert sorted(tuple(r) for r in P.upsert(target, incoming, ["k"]).collect()) == [
+        (1, "a", "x"), (2, "B", "y"), (3, "c", "z")]
+
+
+def test_scd2_versions(spark):
+    snaps = spark.createDataFrame(
+        [("A", dt.date(2024, 1, 1), "x"), ("A", dt.date(2024, 1, 2), "x"), ("A", dt.date(2024, 1, 3), "y"),
+         ("A", dt.date(2024, 1, 4), None), ("B", dt.date(2024, 1, 1), "x")],
+        "k string, d date, v string",
+    )
+    out = H.scd2_versions(snaps, ["k"], "d", ["v"]).orderBy("k", "valid_from").collect()
+    assert [(r.k, r.v, r.valid_from, r.valid_to, r.is_current) for r in out] == [
+        ("A", "x", dt.date(2024, 1, 1), dt.date(2024, 1, 3), False),
+        ("A", "y", dt.date(2024, 1, 3), dt.date(2024, 1, 4), False),
+        ("A", None, dt.date(2024, 1, 4), None, True),
+        ("B", "x", dt.date(2024, 1, 1), None, True),
+    ]
