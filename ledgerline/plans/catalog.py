@@ -39,34 +39,40 @@ class LazySilver(dict):
         return df
 
 
-def gold_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    s = LazySilver(spark, sf_dir)
-    builders = {
-        "dim_customer": lambda: G.dim_customer(s["customers"]),
-        "dim_seller": lambda: G.dim_seller(s["sellers"]),
-        "dim_product": lambda: G.dim_product(s["products"]),
-        "dim_region": lambda: G.dim_region(s["customers"], s["sellers"]),
-        "dim_date": lambda: G.dim_date_for(s["orders"], "order_timestamp"),
-        "fact_orders": lambda: G.fact_orders(s["orders"], G.dim_region(s["customers"], s["sellers"])),
-        "fact_order_items": lambda: G.fact_order_items(s["order_items"], s["products"]),
-        "fact_payments": lambda: G.fact_payments(s["payments"]),
-        "fact_inventory_snapshot": lambda: G.fact_inventory_snapshot(s["inventory_snapshots"]),
-        "fact_delivery_performance": lambda: G.fact_delivery_performance(s["deliveries"]),
-    }
-    return builders[table]()
+class LazyGold(dict):
+    """Gold tables built on first use from one shared set of silver frames.
 
+    Tables that need the same silver entity or dimension reuse the same DataFrame, so within a
+    query the plan has one lineage per input and Spark can reuse its exchanges.
+    """
 
-class LazyGold(dict):
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
-        self._spark, self._dir = spark, sf_dir
+        self.silver = LazySilver(spark, sf_dir)
 
     def __missing__(self, table: str) -> DataFrame:
-        df = gold_table(self._spark, self._dir, table)
+        s = self.silver
+        builders = {
+            "dim_customer": lambda: G.dim_customer(s["customers"]),
+            "dim_seller": lambda: G.dim_seller(s["sellers"]),
+            "dim_product": lambda: G.dim_product(s["products"]),
+            "dim_region": lambda: G.dim_region(s["customers"], s["sellers"]),
+            "dim_date": lambda: G.dim_date_for(s["orders"], "order_timestamp"),
+            "fact_orders": lambda: G.fact_orders(s["orders"], self["dim_region"]),
+            "fact_order_items": lambda: G.fact_order_items(s["order_items"], s["products"]),
+            "fact_payments": lambda: G.fact_payments(s["payments"]),
+            "fact_inventory_snapshot": lambda: G.fact_inventory_snapshot(s["inventory_snapshots"]),
+            "fact_delivery_performance": lambda: G.fact_delivery_performance(s["deliveries"]),
+        }
+        df = builders[table]()
         self[table] = df
         return df
 
 
+def gold_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return LazyGold(spark, sf_dir)[table]
+
+
 def report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return R.run_report(name, LazyGold(spark, sf_dir))
 

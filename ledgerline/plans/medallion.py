@@ -152,6 +152,12 @@ def to_gold(spark: SparkSession, root: str, days) -> dict[str, int]:
     written: dict[str, int] = {}
     for name in ("dim_customer", "dim_seller", "dim_product", "dim_region"):
         written[name] = P.write_snapshot(star[name], table_path(root, "gold", name))
+    # Facts join the dimensions as stored: their Parquet size is exact, so the planner
+    # broadcasts a small dimension up front (and shuffles when it is not) instead of
+    # shuffling the fact on an estimate and switching strategy afterwards.
+    stored = {n: spark.read.parquet(table_path(root, "gold", n)) for n in ("dim_region", "dim_product")}
+    star["fact_orders"] = G.fact_orders(silver["orders"], stored["dim_region"])
+    star["fact_order_items"] = G.fact_order_items(silver["order_items"], stored["dim_product"])
 
     date_path = table_path(root, "gold", "dim_date")
     current = _existing(spark, date_path)
