@@ -8,7 +8,8 @@ one timestamp / date / number column, names and places arrive in the wrong case,
 ``order_items`` / ``deliveries`` keep lineitem's duplicate (order, line) keys, so the cleaners,
 dedupe and checks do real work.
 
-Numbers are rendered through ``decimal(18,2)`` and dates through explicit patterns so the text
+Numbers are rendered through ``decimal(18,2)`` and timestamps by a plain cast of the zone-less
+value (no session time zone involved, so a DST jump at midnight can't move a value), so the text
 is the same byte for byte in any engine (the DuckDB oracle builds the identical text).
 """
 
@@ -118,7 +119,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         _text(key).alias("order_id"),
         _text(F.col("o_custkey")).alias("customer_id"),
-        _dirty(key, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("order_timestamp"),
+        _dirty(key, _text(F.col("o_orderdate"))).alias("order_timestamp"),
         F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("order_status"),
         F.col("n_name").alias("city"),
         F.col("r_name").alias("region"),
@@ -178,7 +179,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("payment_method"),
         F.when(F.col("event_type") == "purchase", "captured").otherwise("refunded").alias("payment_status"),
         _dirty(key, _money_text(F.col("value"))).alias("payment_amount_mmk"),
-        _dirty(key, F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("paid_at"),
+        _dirty(key, _text(F.col("ts"))).alias("paid_at"),
         _ingested().alias("ingested_at"),
         F.to_date("ts").alias("batch_date"),
     )

@@ -78,7 +78,7 @@ FROM part""",
     "raw_orders": f"""
 SELECT CAST(o.o_orderkey AS VARCHAR) AS order_id,
        CAST(o.o_custkey AS VARCHAR) AS customer_id,
-       {dirty('o.o_orderkey', "strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S')")} AS order_timestamp,
+       {dirty('o.o_orderkey', 'CAST(o.o_orderdate AS VARCHAR)')} AS order_timestamp,
        nullif(o.o_orderstatus, 'P') AS order_status,
        g.n_name AS city,
        g.r_name AS region,
@@ -118,7 +118,7 @@ SELECT CAST(event_id AS VARCHAR) AS payment_id,
        CAST(NULL AS VARCHAR) AS payment_method,
        CASE WHEN event_type = 'purchase' THEN 'captured' ELSE 'refunded' END AS payment_status,
        {dirty('event_id', money_text('value'))} AS payment_amount_mmk,
-       {dirty('event_id', "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')")} AS paid_at,
+       {dirty('event_id', 'CAST(ts AS VARCHAR)')} AS paid_at,
        {TS} AS ingested_at,
        CAST(ts AS DATE) AS batch_date
 FROM events WHERE event_type IN ('purchase', 'error')""",
