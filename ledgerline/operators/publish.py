@@ -55,7 +55,7 @@ def write_batch(df: DataFrame, path: str, batch_date: dt.date | str) -> int:
 
 
 def write_batches(df: DataFrame, path: str, days: Iterable[dt.date | str]) -> int:
-    """Replace every day in ``days`` (a backfill range) in one job.
+    """Replace every day in ``days`` (one day, or a backfill range) in one job.
 
     Days with rows are replaced by dynamic partition overwrite; the days in ``days`` that
     produced no rows are cleared afterwards, one empty overwrite each (bounded by the number
@@ -65,6 +65,10 @@ def write_batches(df: DataFrame, path: str, days: Iterable[dt.date | str]) -> in
     if not wanted:
         return 0
     rows = df.where(F.col("batch_date").isin(*[F.lit(d) for d in wanted]))
+    # Rebalance by day before the partitioned write: AQE packs each day into files of about
+    # the advisory size and splits a day holding a large share of the rows over several tasks,
+    # instead of every task writing a small file for every day it happens to hold.
+    rows = rows.hint("rebalance", "batch_date")
     observed, obs = _observed(rows, "batches", with_days=True)
     (
         observed.write.mode("overwrite")
