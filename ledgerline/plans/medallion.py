@@ -22,7 +22,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -30,6 +30,7 @@ from ledgerline.contracts import BATCH_ENTITIES, DIMENSIONS, FACTS, MASTER_ENTIT
 from ledgerline.operators import audit as A
 from ledgerline.operators import checks as Q
 from ledgerline.operators import publish as P
+from ledgerline.operators import reports as R
 from ledgerline.operators import star as G
 from ledgerline.operators.clean import clean_entity
 from ledgerline.sources import csv_extract as X
@@ -57,7 +58,9 @@ def _read_days(spark: SparkSession, root: str, layer: str, table: str, days: lis
     return filter_batches(df, days[0], days[-1]).where(F.col("batch_date").isin(*[F.lit(d) for d in days]))
 
 
-def _audit_per_day(spark: SparkSession, root: str, layer: str, table: str, days: list[dt.date], stage: str) -> None:
+def _audit_per_day(
+    spark: SparkSession, root: str, layer: str, table: str, days: list[dt.date], stage: str, message: str | None = None
+) -> None:
     """One SUCCESS audit row per day with the rows now stored for that day.
 
     Counted from the written Parquet (a footer-only count per partition), grouped by day on
@@ -70,7 +73,7 @@ def _audit_per_day(spark: SparkSession, root: str, layer: str, table: str, days:
         F.lit(stage).alias("pipeline_stage"),
         F.lit(A.SUCCESS).alias("status"),
         F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
-        F.lit(None).cast("string").alias("message"),
+        F.lit(message).cast("string").alias("message"),
     )
     A.with_audit_ids(rows).coalesce(1).write.mode("append").parquet(A.audit_path(root))
 
@@ -81,16 +84,28 @@ def to_bronze(spark: SparkSession, raw_root: str, root: str, days) -> dict[str,
     days = _days(days)
     written: dict[str, int] = {}
     for entity in MASTER_ENTITIES:
-        df = X.with_ingest_time(X.read_master(spark, raw_root, entity)).drop(X.CORRUPT)
-        written[entity] = P.write_snapshot(df, table_path(root, "bronze", entity))
-        A.write_audit(spark, root, days[-1], f"bronze_{entity}", A.SUCCESS, written[entity])
+        df, malformed = _count_malformed(X.read_master(spark, raw_root, entity))
+        written[entity] = P.write_snapshot(X.with_ingest_time(df), table_path(root, "bronze", entity))
+        A.write_audit(spark, root, days[-1], f"bronze_{entity}", A.SUCCESS, written[entity], _malformed_note(malformed))
     for entity in BATCH_ENTITIES:
-        df = X.with_ingest_time(X.read_batches(spark, raw_root, entity, days)).drop(X.CORRUPT)
-        written[entity] = P.write_batches(df, table_path(root, "bronze", entity), days)
-        _audit_per_day(spark, root, "bronze", entity, days, f"bronze_{entity}")
+        df, malformed = _count_malformed(X.read_batches(spark, raw_root, entity, days))
+        written[entity] = P.write_batches(X.with_ingest_time(df), table_path(root, "bronze", entity), days)
+        _audit_per_day(spark, root, "bronze", entity, days, f"bronze_{entity}", _malformed_note(malformed))
     return written
 
 
+def _count_malformed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count rows whose field count didn't fit the header while they are written (no extra pass)."""
+    obs = Observation("malformed")
+    bad = F.sum(F.when(F.col(X.CORRUPT).isNotNull(), 1).otherwise(0)).alias("malformed")
+    return df.observe(obs, bad).drop(X.CORRUPT), obs
+
+
+def _malformed_note(obs: Observation) -> str | None:
+    n = obs.get.get("malformed") or 0
+    return f"malformed_rows={n}" if n else None
+
+
 # ---- T2 ---------------------------------------------------------------------------------------
 def to_silver(
     spark: SparkSession,
@@ -208,6 +223,20 @@ def publish(spark: SparkSession, root: str, target_root: str, days, jdbc: dict |
     return written
 
 
+# ---- reports over the stored star schema -------------------------------------------------------
+def report(spark: SparkSession, root: str, name: str, days=None) -> DataFrame:
+    """One of the eight business reports over the stored gold tables (facts limited to
+    ``days`` when given; the batch filter prunes partitions)."""
+    _, inputs = R.REPORTS[name]
+    gold = {}
+    for table in inputs:
+        if table in FACTS and days is not None:
+            gold[table] = _read_days(spark, root, "gold", table, _days(days))
+        else:
+            gold[table] = spark.read.parquet(table_path(root, "gold", table))
+    return R.run_report(name, gold)
+
+
 # ---- T5 / T6 ----------------------------------------------------------------------------------
 def run_batch(spark: SparkSession, raw_root: str, root: str, days, target_root: str | None = None, **silver_options) -> None:
     """All stages in order for one day or a list of days, on one session."""

@@ -1,6 +1,7 @@
 """End to end: CSV → bronze → silver → gold → published copy, in a scratch folder."""
 
 import datetime as dt
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +57,26 @@ def test_one_day_end_to_end(spark, workdir):
     stages = {r.pipeline_stage for r in audit.collect()}
     assert {"bronze_orders", "silver_transform", "gold_transform", "warehouse_load"} <= stages
     assert audit.where("pipeline_stage = 'bronze_orders'").first().row_count == 3
+    metrics = {r.pipeline_stage: (r.runs, r.failures) for r in A.stage_metrics(audit).collect()}
+    assert metrics["silver_transform"] == (1, 0) and metrics["gold_transform"] == (1, 0)
+
+    gmv = M.report(spark, root, "report_gmv_by_city").collect()
+    assert sorted((r.city, r.gmv_mmk, r.total_orders) for r in gmv) == [
+        ("Mandalay", D("3000.50"), 1), ("Yangon", D("32000.00"), 1)]
+    top = M.report(spark, root, "report_top_customers", days=D1).collect()
+    assert [r.customer_name for r in top] == ["Aung Kyaw", "Su Su"]
+
+
+def test_malformed_csv_rows_are_kept_and_counted(spark, workdir):
+    raw, root = f"{workdir}/raw", f"{workdir}/lake"
+    FX.write_drop(raw)
+    with open(f"{raw}/batches/batch_date={D1}/payments.csv", "a") as fh:
+        fh.write("Y3,O1,C1,kbzpay,captured,1.00,2024-03-01 12:00:00,EXTRA,FIELDS\n")
+    M.to_bronze(spark, raw, root, D1)
+    pays = spark.read.parquet(f"{root}/bronze/payments")
+    assert pays.count() == 3  # PERMISSIVE: the row is kept, its fields as far as they go
+    note = A.read_audit(spark, root).where("pipeline_stage = 'bronze_payments'").first().message
+    assert note == "malformed_rows=1"
 
 
 def test_rerun_is_idempotent_and_days_are_independent(spark, workdir):

@@ -139,3 +139,28 @@ def test_scd2_versions(spark):
         ("A", None, dt.date(2024, 1, 4), None, True),
         ("B", "x", dt.date(2024, 1, 1), None, True),
     ]
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    """A key with a third of all rows: results stay exact and every step aggregates map-side."""
+    from ledgerline.operators import checks as Q
+
+    n = 30_000
+    df = spark.range(n, numPartitions=12).selectExpr(
+        "IF(id % 3 = 0, 'HOT', CONCAT('K', CAST(id AS STRING))) AS customer_id",
+        "CAST(id AS STRING) AS order_id",
+        "CAST(id % 97 AS DECIMAL(18,2)) AS order_total_mmk",
+    )
+    survivors = keep_latest(df, ["customer_id"])
+    assert survivors.count() == 1 + (n - n // 3)
+    assert survivors.where("customer_id = 'HOT'").first().order_id == "9999"  # greatest text value
+
+    dim = spark.createDataFrame([("HOT", "Hot Shop", "Yangon")], "customer_id string, customer_name string, city string")
+    orphans = Q.references(df, dim, "customer_id", "customer_id", "ref").first()
+    assert orphans.failed_rows == n - n // 3
+
+    top = R.top_customers(df, dim, n=1)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan
+    expected = sum(D(i % 97) for i in range(0, n, 3))
+    assert top.first().lifetime_value_mmk == expected
