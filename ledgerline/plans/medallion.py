@@ -131,6 +131,7 @@ def to_silver(
         staged["customers"], staged["products"], pairs=pairs, tolerance=tolerance,
         include_orders_without_items=include_orders_without_items,
     ).collect()
+    results = Q.in_suite_order(results)
     blocking = [r for r in results if r["check_name"] not in NON_BLOCKING]
     try:
         Q.raise_for_failed(blocking)

@@ -98,3 +98,25 @@ def test_reconciliation_can_include_orders_without_items(spark):
     assert Q.reconciliation(items, orders).count() == 1  # the reference's inner join hides O2
     both = Q.reconciliation(items, orders, include_orders_without_items=True)
     assert _one(Q.single(both, Q.amount_match("recalc_subtotal_mmk", "subtotal_amount_mmk", 1.0, "m"))).failed_rows == 1
+
+
+def test_suite_names_every_check_once_in_order(spark):
+    from decimal import Decimal as D
+
+    orders = spark.createDataFrame(
+        [("O1", "C1", None, "Yangon", "Yangon Region", D("1.00"))],
+        "order_id string, customer_id string, order_timestamp timestamp_ntz, city string, region string, subtotal_amount_mmk decimal(18,2)",
+    )
+    items = spark.createDataFrame(
+        [("O1", "P1", D("1.00"), 1, D("5.00"))],
+        "order_id string, product_id string, unit_price_mmk decimal(18,2), quantity int, net_line_amount_mmk decimal(18,2)",
+    )
+    payments = spark.createDataFrame([(None, D("-1.00"))], "paid_at timestamp_ntz, payment_amount_mmk decimal(18,2)")
+    deliveries = spark.createDataFrame([("Bago", None)], "city string, region string")
+    customers = spark.createDataFrame([("C1",)], "customer_id string")
+    products = spark.createDataFrame([("P2",)], "product_id string")
+    rows = Q.in_suite_order(Q.silver_suite(orders, orders, items, payments, deliveries, customers, products).collect())
+    assert tuple(r.check_name for r in rows) == Q.SUITE_CHECKS
+    failed = [r.check_name for r in rows if not r.passed]
+    assert failed == ["orders_timestamp_valid", "payments_timestamp_valid", "deliveries_region_city_mapping",
+                      "order_items_product_reference", "payment_amount_non_negative", "order_subtotal_reconciliation"]
