@@ -155,3 +155,12 @@ def test_reconciliation_tolerance_is_strict(spark, workdir):
     M.to_bronze(spark, raw, root, D1)
     with pytest.raises(QualityCheckError, match=r"order_subtotal_reconciliation\(1\)"):
         M.to_silver(spark, root, D1)
+
+
+def test_duplicate_check_runs_before_dedupe_and_does_not_block(spark, workdir):
+    raw, root = f"{workdir}/raw", f"{workdir}/lake"
+    FX.write_drop(raw)  # day 1 delivers order O2 twice
+    M.to_bronze(spark, raw, root, D1)
+    results = {r.check_name: r for r in M.to_silver(spark, root, D1)}
+    assert results["orders_duplicates"].failed_rows == 1 and not results["orders_duplicates"].passed
+    assert spark.read.parquet(f"{root}/silver/orders").count() == 2  # published all the same, deduplicated

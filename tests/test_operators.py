@@ -164,3 +164,33 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert "partial_sum" in plan
     expected = sum(D(i % 97) for i in range(0, n, 3))
     assert top.first().lifetime_value_mmk == expected
+
+
+CLEANER_CASES = {
+    # entity: (one raw row with dirty text, {column: expected value after cleaning})
+    "customers": (("C1", "daw AYE", "0911", "e", "BAGO", "bago region", "t", "vip", "nope"),
+                  {"customer_name": "Daw Aye", "phone_number": "0911", "city": "Bago", "region": "Bago Region", "created_at": None}),
+    "sellers": (("S1", "mg SHOP", "MANDALAY", "mandalay region", "business", "4.255", "2024-01-01 00:00:00"),
+                {"seller_name": "Mg Shop", "city": "Mandalay", "rating": D("4.26"), "created_at": dt.datetime(2024, 1, 1)}),
+    "products": (("P1", "S1", "Tea", "Grocery", "B", "12.5", "maybe", None),
+                 {"unit_price_mmk": D("12.50"), "is_active": None, "created_at": None}),
+    "order_items": (("I1", "O1", "P1", "S1", "1", "two", "-3.00", "10.00", "1.00", "9.00"),
+                    {"line_number": 1, "quantity": None, "unit_price_mmk": D("-3.00"), "net_line_amount_mmk": D("9.00")}),
+    "payments": (("Y1", "O1", "C1", "wave", "captured", "bad", "2024-03-01 10:05:00.5"),
+                 {"payment_amount_mmk": None, "paid_at": dt.datetime(2024, 3, 1, 10, 5, 0, 500000)}),
+    "inventory_snapshots": (("V1", "P1", "S1", "2024-02-30", "0", "x", "out_of_stock", "10"),
+                            {"snapshot_date": None, "available_quantity": 0, "reserved_quantity": None, "reorder_threshold": 10}),
+}
+
+
+def test_every_cleaner_types_dirty_text_without_errors(spark):
+    import pytest as _pytest  # noqa: F401
+
+    for entity, (row, expected) in CLEANER_CASES.items():
+        schema = bronze_schema(entity)
+        extra = (dt.datetime(2024, 1, 1),) + ((dt.date(2024, 3, 1),) if "batch_date" in schema.fieldNames() else ())
+        out = C.clean_entity(spark.createDataFrame([row + extra], schema), entity)
+        assert out.schema.simpleString() == SILVER[entity].simpleString(), entity
+        got = out.first().asDict()
+        for col, want in expected.items():
+            assert got[col] == want, (entity, col, got[col])
