@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.sources.spread import spread
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # fixed values: the ingest time stamped on every fixture row, and the 1-in-N dirty-value rule
@@ -26,8 +28,26 @@ BAD_EVERY = 50
 BAD = "bad"
 
 
+# fixed values: column types of the driver's tables. Reading with a declared schema skips
+# footer-based inference, which otherwise costs one Spark job per read.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _text(c: Column) -> Column:
@@ -106,14 +126,15 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _orders_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders_geo(spark: SparkSession, sf_dir: str, streamed: bool = False) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
+    o = spread(o) if streamed else o
     c = _customer_geo(spark, sf_dir).select("c_custkey", "n_name", "r_name")
     return o.join(c, o.o_custkey == c.c_custkey, "left")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _orders_geo(spark, sf_dir)
+    o = _orders_geo(spark, sf_dir, streamed=True)
     key = F.col("o_orderkey")
     total = _money_text(F.col("o_totalprice"))
     return o.select(
@@ -136,7 +157,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines_with_order(spark: SparkSession, sf_dir: str, geo: bool) -> DataFrame:
-    lines = read_table(spark, sf_dir, "lineitem")
+    lines = spread(read_table(spark, sf_dir, "lineitem"))
     o = _orders_geo(spark, sf_dir) if geo else read_table(spark, sf_dir, "orders")
     cols = ["o_orderkey", "o_orderdate"] + (["n_name", "r_name"] if geo else [])
     return lines.join(o.select(*cols), lines.l_orderkey == o.o_orderkey, "left")
@@ -170,7 +191,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin("purchase", "error"))
+    e = spread(read_table(spark, sf_dir, "events").filter(F.col("event_type").isin("purchase", "error")))
     key = F.col("event_id")
     return e.select(
         _text(key).alias("payment_id"),

@@ -1,0 +1,26 @@
+"""Spread a narrow scan over the cluster before heavy per-row work.
+
+A Parquet file is split by row group and a compressed CSV not at all, so a large table stored
+as one file with one row group is read by a single task, and every operator fused into that
+stage (text rendering, broadcast-join probes, the map side of an aggregate) runs on one core.
+When a scan has fewer splits than the cluster's default parallelism, one round-robin exchange
+spreads its rows over that many tasks. Wide inputs (thousands of files, the normal case at
+scale) already have more splits than cores and are returned unchanged, so no exchange is added
+there. Only streamed sides are spread; a side that is broadcast is collected whole anyway.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``df``, repartitioned round-robin when it has fewer than ``min_partitions`` splits.
+
+    ``min_partitions`` defaults to the default parallelism (the total cores of the
+    executors). Reading the split count plans the scan (file listing) but runs no job.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
