@@ -141,12 +141,23 @@ def references(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, nam
     return orphans.agg(F.sum("_n").alias("_f")).select(*_result(name, F.col("_f"), msg_references(fact_key)))
 
 
+# An allow-list up to this many pairs is broadcast; a longer one is shuffle-joined.
+BROADCAST_PAIRS_MAX = 100_000
+
+
 def allowed_pairs(df: DataFrame, left: str, right: str, pairs: Iterable[tuple[str, str]], name: str) -> DataFrame:
-    """Distinct (left, right) pairs not on the allow-list (a NULL in either fails)."""
+    """Distinct (left, right) pairs not on the allow-list (a NULL in either fails).
+
+    The allow-list is a driver-side parameter, so its size is known exactly: it is broadcast
+    when it holds at most ``BROADCAST_PAIRS_MAX`` pairs and joined by shuffle beyond that.
+    """
     spark = df.sparkSession
-    allowed = spark.createDataFrame(list(pairs), f"{left} string, {right} string")
+    pairs = list(pairs)
+    allowed = spark.createDataFrame(pairs, f"{left} string, {right} string")
+    if len(pairs) <= BROADCAST_PAIRS_MAX:
+        allowed = F.broadcast(allowed)
     seen = df.select(left, right).distinct()
-    bad = seen.join(F.broadcast(allowed), [left, right], "left_anti")
+    bad = seen.join(allowed, [left, right], "left_anti")
     return bad.agg(F.count(F.lit(1)).alias("_f")).select(*_result(name, F.col("_f"), msg_pairs(left, right)))
 
 

@@ -66,7 +66,7 @@ def order_trends(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     ``dim_date`` holds one row per day of a range, so its size is bounded by the number of
     days and it is broadcast explicitly.
     """
-    days = F.broadcast(dim_date.select("date_key", "year", "month"))
+    days = dim_date.select("date_key", "year", "month")
     joined = fact_orders.withColumn("date_key", S.date_key("order_date")).join(days, "date_key", "inner")
     return (
         joined.groupBy("year", "month", "order_date")

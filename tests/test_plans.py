@@ -40,3 +40,50 @@ def test_reports_aggregate_before_dimension_join(spark):
     assert "TakeOrderedAndProject" in plan
     # partial aggregate per customer below the join, then a partial aggregate per (name, city)
     assert plan.count("partial_sum") >= 2
+
+
+def test_spread_only_narrow_scans(spark, workdir):
+    from ledgerline.sources.spread import spread
+
+    target = spark.sparkContext.defaultParallelism
+    spark.range(1000).coalesce(1).write.parquet(f"{workdir}/narrow")
+    narrow = spark.read.parquet(f"{workdir}/narrow")
+    assert narrow.rdd.getNumPartitions() == 1
+    spread_out = spread(narrow)
+    assert spread_out.rdd.getNumPartitions() == target
+    assert "RoundRobinPartitioning" in _plan(spread_out)
+    assert sorted(r.id for r in spread_out.collect()) == list(range(1000))  # every row kept once
+    wide = spark.range(0, 1000, numPartitions=target + 1)
+    assert spread(wide) is wide  # enough splits already: no exchange added
+
+
+def test_spread_keeps_pruning_and_pushdown(spark):
+    plan = _plan(entry.queries()["fact_payments"](spark, SF_SMALL))
+    assert "PushedFilters: [In(event_type, [error,purchase])]" in plan
+    assert "props" not in plan.split("events.parquet")[1].split("\n")[0]  # unused column not read
+
+
+def test_declared_fixture_schemas_match_the_files(spark):
+    from ledgerline.sources import driver_tables as D
+
+    for name, ddl in D.SCHEMAS.items():
+        inferred = spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema
+        assert D.read_table(spark, SF_SMALL, name).schema == inferred, name
+
+
+def test_allow_list_broadcast_only_below_its_bound(spark, monkeypatch):
+    from ledgerline.operators import checks as Q
+
+    df = spark.createDataFrame([("A", "X"), ("B", "Y"), ("C", None)], "city string, region string")
+    pairs = [("A", "X")]
+    small = Q.allowed_pairs(df, "city", "region", pairs, "p")
+    assert small.collect()[0].failed_rows == 2
+    monkeypatch.setattr(Q, "BROADCAST_PAIRS_MAX", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = Q.allowed_pairs(df, "city", "region", pairs, "p")
+        plan = large._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        assert large.collect()[0].failed_rows == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
