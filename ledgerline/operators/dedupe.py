@@ -7,6 +7,12 @@ collapsed to one row per input partition and never lands whole in one task (a
 deterministic: the greatest ``ingested_at``, then the greatest value of each remaining
 column in table order (NULL lowest) — the same as
 ``row_number() over (partition by key order by ingested_at desc nulls last, c1 desc nulls last, …) = 1``.
+
+Physically, a ``max`` whose buffer holds text is not fixed-width, so Spark runs it as a
+sort-based aggregate (``SortAggregate``) on both sides of the shuffle. It still combines on
+the map side, and a sort spills to disk, so neither a hot key nor a large input partition needs
+more memory than a sort buffer. An exact survivor over text columns has no fixed-width
+encoding; a hash of the row would make the choice depend on collisions.
 """
 
 from __future__ import annotations

@@ -63,8 +63,9 @@ def seller_revenue(fact_order_items: DataFrame, dim_seller: DataFrame) -> DataFr
 def order_trends(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Orders and GMV per day, with year and month from ``dim_date`` (join on yyyymmdd).
 
-    ``dim_date`` holds one row per day of a range, so its size is bounded by the number of
-    days and it is broadcast explicitly.
+    ``dim_date`` holds one row per day of a range; no hint is given, so the planner broadcasts
+    it from its size estimate (and AQE from its measured size) while it is under the
+    threshold, and a date table beyond that is shuffle-joined.
     """
     days = dim_date.select("date_key", "year", "month")
     joined = fact_orders.withColumn("date_key", S.date_key("order_date")).join(days, "date_key", "inner")
