@@ -8,6 +8,7 @@ Bronze keeps the source text (every source column is a string) so nothing is los
 from __future__ import annotations
 
 import re
+from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,11 +167,12 @@ FACTS = ("fact_orders", "fact_order_items", "fact_payments", "fact_inventory_sna
 CHECK_RESULT = schema("check_name string, passed boolean, failed_rows long, message string")
 
 
-def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
+def conform(df: DataFrame, contract: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """Project ``df`` onto ``contract``: contract order, contract types, missing columns NULL.
 
     Text is parsed with ``try_cast`` (NULL on bad input); columns already of the right type
-    pass through untouched. One ``select``, so it is a single projection in the plan.
+    pass through untouched. Columns named in ``keep`` follow the contract's, unchanged. One
+    ``select``, so it is a single projection in the plan.
     """
     present = {f.name: f.dataType for f in df.schema.fields}
     cols = []
@@ -181,4 +183,5 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
             cols.append(F.col(field.name))
         else:
             cols.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
+    cols += [F.col(c) for c in keep if c not in contract.fieldNames()]
     return df.select(*cols)

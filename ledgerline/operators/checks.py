@@ -126,6 +126,17 @@ def run_row_checks(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     return exploded.select(*_result(F.col("n"), F.col("f"), F.col("m")))
 
 
+def duplicated_groups(copies: str, columns: Sequence[str], name: str) -> RowCheck:
+    """``no_duplicates`` read off a deduplicated frame, fused with its other row checks.
+
+    ``copies`` holds each key's number of raw rows, counted by the dedupe's own aggregate
+    (``keep_latest(..., copies=...)``), so a key with copies > 1 is a duplicated group: the
+    same count as ``no_duplicates`` on the raw rows (a NULL key is a key value in both), with
+    no second grouping of the raw rows.
+    """
+    return RowCheck(name, F.col(copies) > 1, msg_duplicates(columns))
+
+
 def no_duplicates(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     """Number of key groups holding more than one row (a NULL key is a key value)."""
     groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
@@ -241,7 +252,7 @@ VALID_CITY_REGION_PAIRS = [
 
 
 def silver_suite(
-    raw_orders: DataFrame,
+    raw_orders: DataFrame | None,
     orders: DataFrame,
     items: DataFrame,
     payments: DataFrame,
@@ -251,17 +262,28 @@ def silver_suite(
     pairs: Sequence[tuple[str, str]] = VALID_CITY_REGION_PAIRS,
     tolerance: float = 1.0,
     include_orders_without_items: bool = False,
+    copies: str | None = None,
 ) -> DataFrame:
     """The 13-check silver suite (Q10), in the reference's order, as one result frame.
 
-    The duplicate check runs on the raw orders, before the dedupe that would make it pass
-    by construction; it is reported like every other check. Row checks on the same table
-    share one scan.
+    The duplicate check counts the raw orders, before the dedupe that would make it pass by
+    construction; it is reported like every other check. With ``copies`` (a column of
+    ``orders`` from ``clean(..., copies=...)``) it is read off the dedupe's own counts and
+    fused with the other order checks, and ``raw_orders`` is not needed; without it the raw
+    orders are grouped again. Row checks on the same table share one scan.
     """
-    order_rows = run_row_checks(orders, [
+    order_checks = [
         non_null(["order_id", "customer_id"], "orders_primary_keys"),
         valid_timestamp("order_timestamp", "orders_timestamp_valid"),
-    ])
+    ]
+    if copies:
+        order_checks.append(duplicated_groups(copies, ["order_id"], "orders_duplicates"))
+        duplicates = []
+    elif raw_orders is not None:
+        duplicates = [no_duplicates(raw_orders, ["order_id"], "orders_duplicates")]
+    else:
+        raise ValueError("the duplicate check needs raw_orders or a copies column")
+    order_rows = run_row_checks(orders, order_checks)
     item_rows = run_row_checks(items, [
         non_null(["product_id"], "order_items_product_id_present"),
         non_negative("unit_price_mmk", "order_item_price_non_negative"),
@@ -274,7 +296,7 @@ def silver_suite(
     recon = reconciliation(items, orders, include_orders_without_items)
     parts = [
         order_rows,
-        no_duplicates(raw_orders, ["order_id"], "orders_duplicates"),
+        *duplicates,
         payment_rows,
         allowed_pairs(orders, "city", "region", pairs, "orders_region_city_mapping"),
         allowed_pairs(deliveries, "city", "region", pairs, "deliveries_region_city_mapping"),

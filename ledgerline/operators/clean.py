@@ -60,17 +60,22 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     return df.fillna(dict(defaults)) if defaults else df
 
 
-def clean(df: DataFrame, spec: CleanSpec, dedupe: bool = True) -> DataFrame:
-    """Bronze rows of one entity → typed, deduplicated silver rows."""
+def clean(df: DataFrame, spec: CleanSpec, dedupe: bool = True, copies: str | None = None) -> DataFrame:
+    """Bronze rows of one entity → typed, deduplicated silver rows.
+
+    With ``copies`` (and ``dedupe``), a column of that name follows the contract's columns,
+    holding how many bronze rows each key had (see ``keep_latest``).
+    """
+    keep = (copies,) if copies and dedupe else ()
     if dedupe:
-        df = keep_latest(df, spec.keys)
+        df = keep_latest(df, spec.keys, copies=copies)
     if spec.title_case:
         df = df.withColumns({c: S.title_case(c) for c in spec.title_case if c in df.columns})
-    typed = conform(df, spec.contract)
+    typed = conform(df, spec.contract, keep=keep)
     if spec.derived:
         typed = typed.withColumns({name: make() for name, make in spec.derived.items()})
     return fill_defaults(typed, spec.defaults)
 
 
-def clean_entity(df: DataFrame, entity: str, dedupe: bool = True) -> DataFrame:
-    return clean(df, SPECS[entity], dedupe=dedupe)
+def clean_entity(df: DataFrame, entity: str, dedupe: bool = True, copies: str | None = None) -> DataFrame:
+    return clean(df, SPECS[entity], dedupe=dedupe, copies=copies)

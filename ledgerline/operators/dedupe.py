@@ -24,15 +24,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], order_first: Sequence[str] = ("ingested_at",)) -> DataFrame:
+def keep_latest(
+    df: DataFrame, keys: Sequence[str], order_first: Sequence[str] = ("ingested_at",), copies: str | None = None
+) -> DataFrame:
+    """One row per key: the survivor described above.
+
+    With ``copies``, a column of that name is appended holding the number of input rows of the
+    key, computed in the same aggregate; a duplicate check then reads it instead of grouping
+    the raw rows a second time.
+    """
     keys = list(keys)
     first = [c for c in order_first if c in df.columns and c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in first]
     ordered = first + rest
+    aggs = [F.count(F.lit(1)).alias(copies)] if copies else []
+    extra = [copies] if copies else []
     if not ordered:
-        return df.select(*keys).distinct()
+        return df.groupBy(*keys).agg(*aggs).select(*df.columns, *extra) if copies else df.select(*keys).distinct()
     survivor = F.max(F.struct(*[F.col(c) for c in ordered])).alias("_survivor")
-    return df.groupBy(*keys).agg(survivor).select(*keys, *[F.col("_survivor")[c].alias(c) for c in ordered]).select(*df.columns)
+    fields = [F.col("_survivor")[c].alias(c) for c in ordered]
+    return df.groupBy(*keys).agg(survivor, *aggs).select(*keys, *fields, *extra).select(*df.columns, *extra)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -37,6 +37,7 @@ from ledgerline.sources import csv_extract as X
 from ledgerline.sources.layers import as_date, filter_batches, table_path
 
 NON_BLOCKING = ("orders_duplicates",)
+COPIES = "_copies"  # staged orders only: bronze rows per order_id
 
 
 def _days(days: Sequence[dt.date | str] | dt.date | str) -> list[dt.date]:
@@ -120,17 +121,21 @@ def to_silver(
     bronze = {e: spark.read.parquet(table_path(root, "bronze", e)) for e in MASTER_ENTITIES}
     bronze.update({e: _read_days(spark, root, "bronze", e, days) for e in BATCH_ENTITIES})
 
+    # Orders keep their bronze copy count from the dedupe (staging only), so the duplicate
+    # check is one more fused row check on the staged copy, not a second pass over bronze.
     staged: dict[str, DataFrame] = {}
     for entity, df in bronze.items():
         path = table_path(root, "_staging", f"silver_{entity}")
-        P.write_snapshot(clean_entity(df, entity), path)
+        copies = COPIES if entity == "orders" else None
+        P.write_snapshot(clean_entity(df, entity, copies=copies), path)
         staged[entity] = spark.read.parquet(path)
 
     results = Q.silver_suite(
-        bronze["orders"], staged["orders"], staged["order_items"], staged["payments"], staged["deliveries"],
+        None, staged["orders"], staged["order_items"], staged["payments"], staged["deliveries"],
         staged["customers"], staged["products"], pairs=pairs, tolerance=tolerance,
-        include_orders_without_items=include_orders_without_items,
+        include_orders_without_items=include_orders_without_items, copies=COPIES,
     ).collect()
+    staged["orders"] = staged["orders"].drop(COPIES)
     results = Q.in_suite_order(results)
     blocking = [r for r in results if r["check_name"] not in NON_BLOCKING]
     try:

@@ -120,3 +120,34 @@ def test_suite_names_every_check_once_in_order(spark):
     failed = [r.check_name for r in rows if not r.passed]
     assert failed == ["orders_timestamp_valid", "payments_timestamp_valid", "deliveries_region_city_mapping",
                       "order_items_product_reference", "payment_amount_non_negative", "order_subtotal_reconciliation"]
+
+
+def test_copy_count_from_dedupe_equals_raw_duplicate_check(spark):
+    from ledgerline.operators.dedupe import keep_latest
+
+    raw = spark.createDataFrame(
+        [("A", "1"), ("A", "2"), ("A", "2"), ("B", "1"), ("B", "1"), (None, "x"), (None, "y"), ("C", "1"), (None, None)],
+        "order_id string, v string",
+    )
+    deduped = keep_latest(raw, ["order_id"], copies="_copies")
+    assert deduped.columns == ["order_id", "v", "_copies"]
+    got = {r.order_id: (r.v, r._copies) for r in deduped.collect()}
+    assert got == {"A": ("2", 3), "B": ("1", 2), None: ("y", 3), "C": ("1", 1)}
+    fused = _one(Q.single(deduped, Q.duplicated_groups("_copies", ["order_id"], "d")))
+    direct = _one(Q.no_duplicates(raw, ["order_id"], "d"))
+    assert (fused.failed_rows, fused.message) == (direct.failed_rows, direct.message) == (3, direct.message)
+
+
+def test_fused_suite_equals_suite_over_raw_orders(spark):
+    from tests.conftest import SF_SMALL
+    from ledgerline.plans import catalog as K
+
+    s = K.LazySilver(spark, SF_SMALL)
+    unfused = Q.silver_suite(
+        K.raw(spark, SF_SMALL, "orders"), s["orders"], s["order_items"], s["payments"], s["deliveries"],
+        s["customers"], s["products"], pairs=K.NATION_PAIRS,
+    )
+    fused = K.quality_report(spark, SF_SMALL)
+    assert sorted(map(tuple, fused.collect())) == sorted(map(tuple, unfused.collect()))
+    dup = [r for r in fused.collect() if r.check_name == "orders_duplicates"]
+    assert len(dup) == 1
