@@ -20,7 +20,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     ``min_partitions`` defaults to the default parallelism (the total cores of the
     executors). Reading the split count plans the scan (file listing) but runs no job.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except NotImplementedError:  # Spark Connect has no RDD view: leave the plan as it is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target)
