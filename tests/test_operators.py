@@ -1,9 +1,11 @@
 """Cleaners, dedupe, scalars, star schema and reports on hand-made frames."""
 
 import datetime as dt
+import re
 from decimal import Decimal as D
 
 import duckdb
+from pyspark.sql import functions as F
 
 from ledgerline.contracts import SILVER, bronze_schema
 from ledgerline.functions import scalars as S
@@ -194,3 +196,38 @@ def test_every_cleaner_types_dirty_text_without_errors(spark):
         got = out.first().asDict()
         for col, want in expected.items():
             assert got[col] == want, (entity, col, got[col])
+
+
+def test_exact_copies_holding_a_third_of_rows(spark):
+    """A third of the rows are one row copied: spread splits them evenly, dedupe counts them."""
+    from ledgerline.sources.spread import spread
+
+    n = 3_000
+    df = spark.range(n, numPartitions=1).selectExpr(
+        "IF(id % 3 = 0, 'HOT', CONCAT('O', CAST(id AS STRING))) AS order_id",
+        "IF(id % 3 = 0, 'same', CAST(id AS STRING)) AS note",
+    )
+    spread_out = spread(df)
+    target = spark.sparkContext.defaultParallelism
+    per_task = [r["count"] for r in spread_out.where("order_id = 'HOT'").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) == target and max(per_task) - min(per_task) <= 1  # copies are not kept together
+
+    survivors = keep_latest(spread_out, ["order_id"], copies="_copies")
+    assert survivors.count() == 1 + (n - n // 3)
+    hot = survivors.where("order_id = 'HOT'").first()
+    assert (hot.note, hot._copies) == ("same", n // 3)
+
+
+def test_distinct_count_spreads_a_hot_group(spark):
+    """B1 counts distinct orders per (region, city): the shuffle is on the group and the order
+    together, so a city with a third of all orders is spread over tasks by order."""
+    fact = spark.createDataFrame(
+        [(i, f"O{i}", D("1.00")) for i in range(30)], "region_key long, order_id string, order_total_mmk decimal(18,2)"
+    ).withColumn("region_key", F.when(F.col("region_key") % 3 == 0, F.lit(1)).otherwise(F.col("region_key") + 100))
+    dim = spark.createDataFrame([(1, "Yangon Region", "Yangon")], "region_key long, region string, city string")
+    out = R.gmv_by_city(fact, dim)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert any(re.match(r"region#\d+, city#\d+, order_id#\d+, \d+$", keys) for keys in exchanges), exchanges
+    row = out.where("city = 'Yangon'").first()
+    assert (row.total_orders, row.gmv_mmk) == (10, D("10.00"))
