@@ -25,6 +25,9 @@ RECOMMENDED_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.ansi.enabled": "true",
+    # Layer tables are written once and scanned by many jobs: zstd files are markedly smaller
+    # than snappy's at a small write-time cost, so every later scan reads fewer bytes.
+    "spark.sql.parquet.compression.codec": "zstd",
     # Python call-site capture for error messages costs about five JVM round trips per
     # DataFrame API call while a plan is built (measured: plan construction 37% faster
     # without it). Batch jobs keep Spark's own error context; only the Python file:line goes.
