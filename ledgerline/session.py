@@ -2,7 +2,8 @@
 
 Nothing here is required by the library functions themselves: every function takes a
 ``SparkSession`` or ``DataFrame`` from the caller. ``local_session`` is for tests and the
-benchmark; on a cluster the job's own session is used and only ``ensure_checkpoint_dir`` and
+benchmark (it also sets a scratch checkpoint folder when none is named); on a cluster the job's
+own session is used and only ``checkpoint_dir`` (which reads ``spark.checkpoint.dir``) and
 ``recommended_conf`` matter.
 """
 
@@ -54,22 +55,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    _scratch_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a scratch folder set up here; on a
-    cluster the setting points at shared storage and is used as it is.
+    Read from the session, never invented: a job that needs it on a cluster where it is unset
+    fails here, instead of falling back to a folder on one machine's disk that a restarted
+    driver or another executor could not see.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
-        return spark.sparkContext.getCheckpointDir() or configured
-    path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if not configured:
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage the whole cluster can reach")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(configured)
+    return spark.sparkContext.getCheckpointDir() or configured
+
+
+def _scratch_checkpoint_dir(spark: SparkSession) -> str:
+    """Tests and the local benchmark only: a scratch folder when the session names none."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", path)
+        spark.sparkContext.setCheckpointDir(path)
+    return checkpoint_dir(spark)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.contracts import SILVER, conform
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import checkpoint_dir
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -74,7 +74,7 @@ def daily_totals(payments: DataFrame, delay: str = "2 days") -> DataFrame:
 
 
 def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:
-    return location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    return location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
 
 
 def start(

@@ -1,5 +1,6 @@
 """Late and repeated payment events through the streaming path."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.streaming import late_payments as L
@@ -37,3 +38,17 @@ def test_stream_dedupes_and_totals_final_days(spark, workdir):
     # only days the watermark has closed are emitted, and those are final and exact
     assert totals.count() > 0
     assert totals.exceptAll(batch).count() == 0
+
+
+def test_checkpoint_dir_is_read_from_the_session_never_invented(spark):
+    from types import SimpleNamespace
+
+    from ledgerline.session import checkpoint_dir
+
+    assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()  # the session's setting
+    unset = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: default),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(unset)
