@@ -20,8 +20,9 @@ from __future__ import annotations
 import datetime as dt
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ledgerline.sources.layers import as_date
 
@@ -57,9 +58,10 @@ def write_batch(df: DataFrame, path: str, batch_date: dt.date | str) -> int:
 def write_batches(df: DataFrame, path: str, days: Iterable[dt.date | str]) -> int:
     """Replace every day in ``days`` (one day, or a backfill range) in one job.
 
-    Days with rows are replaced by dynamic partition overwrite; the days in ``days`` that
-    produced no rows are cleared afterwards, one empty overwrite each (bounded by the number
-    of days, never by the data). Rows outside ``days`` are not written.
+    Days with rows are replaced by dynamic partition overwrite; of the days in ``days`` that
+    produced no rows, those the table still holds rows for are cleared afterwards, one empty
+    overwrite each (bounded by the number of days, never by the data). Rows outside ``days``
+    are not written.
     """
     wanted = sorted({as_date(d) for d in days})
     if not wanted:
@@ -79,12 +81,31 @@ def write_batches(df: DataFrame, path: str, days: Iterable[dt.date | str]) -> in
     metrics = obs.get
     written = {as_date(d) for d in (metrics.get("days") or [])}
     empty = df.drop("batch_date").limit(0)
-    for day in wanted:
-        if day not in written:
-            empty.write.mode("overwrite").parquet(partition_path(path, day))
+    for day in stored_days(df.sparkSession, path, [d for d in wanted if d not in written]):
+        empty.write.mode("overwrite").parquet(partition_path(path, day))
     return int(metrics["rows"])
 
 
+def stored_days(spark: SparkSession, path: str, days: Sequence[dt.date]) -> list[dt.date]:
+    """Of ``days`` (days a write produced no rows for), those to clear with an empty overwrite.
+
+    Those are the days the table at ``path`` still holds rows for, found in one job pruned to
+    those days; a first load of a range clears nothing. A table with nothing stored yet gets
+    its first such day instead, so it exists with its schema for the stages that read it. At
+    most ``len(days)`` values reach the driver.
+    """
+    if not days:
+        return []
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException:  # nothing stored yet: one empty day gives the table its schema
+        return list(days[:1])
+    if "batch_date" not in stored.columns:
+        return []
+    held = stored.where(F.col("batch_date").isin(*[F.lit(d) for d in days])).select("batch_date").distinct()
+    return sorted(as_date(r.batch_date) for r in held.collect())
+
+
 def replace_by_key(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is absent from ``incoming``, plus all of ``incoming`` (K4)."""
     keys = list(keys)

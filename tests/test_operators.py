@@ -231,3 +231,16 @@ def test_distinct_count_spreads_a_hot_group(spark):
     assert any(re.match(r"region#\d+, city#\d+, order_id#\d+, \d+$", keys) for keys in exchanges), exchanges
     row = out.where("city = 'Yangon'").first()
     assert (row.total_orders, row.gmv_mmk) == (10, D("10.00"))
+
+
+def test_stored_days_only_clears_days_holding_rows(spark, workdir):
+    d1, d2, d3 = dt.date(2024, 3, 1), dt.date(2024, 3, 2), dt.date(2024, 3, 3)
+    path = f"{workdir}/fact"
+    assert P.stored_days(spark, path, [d2, d3]) == [d2]  # nothing stored yet: one day for the schema
+    assert P.stored_days(spark, path, []) == []
+    rows = spark.createDataFrame([("a", d1), ("b", d2)], "v string, batch_date date")
+    P.write_batches(rows, path, [d1, d2, d3])
+    assert P.stored_days(spark, path, [d2, d3]) == [d2]  # d3 never held rows: nothing to clear
+    P.write_batches(rows.where("batch_date = DATE'2024-03-01'"), path, [d1, d2])  # d2 now empty
+    stored = spark.read.parquet(path)
+    assert sorted((r.v, r.batch_date) for r in stored.collect()) == [("a", d1)]
