@@ -244,3 +244,31 @@ def test_stored_days_only_clears_days_holding_rows(spark, workdir):
     P.write_batches(rows.where("batch_date = DATE'2024-03-01'"), path, [d1, d2])  # d2 now empty
     stored = spark.read.parquet(path)
     assert sorted((r.v, r.batch_date) for r in stored.collect()) == [("a", d1)]
+
+
+def _python_survivors(rows):
+    """Reference: per key, the row greatest by (ingested_at, a, b) with NULL lowest."""
+    best = {}
+    for key, ing, a, b in rows:
+        rank = tuple((v is not None, v) for v in (ing, a, b))
+        if key not in best or rank > best[key][0]:
+            best[key] = (rank, (key, ing, a, b))
+    return sorted((v for _, v in best.values()), key=repr)
+
+
+def test_keep_latest_matches_an_ordered_pick_on_random_rows(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    texts = st.one_of(st.none(), st.sampled_from(["", "a", "b", "B", "ab", "zz"]))
+    stamps = st.one_of(st.none(), st.sampled_from([dt.datetime(2024, 1, d) for d in (1, 2, 3)]))
+    row = st.tuples(st.one_of(st.none(), st.sampled_from(["K1", "K2", "K3"])), stamps, texts, texts)
+
+    @settings(max_examples=15, deadline=None)
+    @given(st.lists(row, min_size=1, max_size=25))
+    def check(rows):
+        df = spark.createDataFrame(rows, "k string, ingested_at timestamp_ntz, a string, b string")
+        got = sorted((tuple(r) for r in keep_latest(df, ["k"]).collect()), key=repr)
+        assert got == _python_survivors(rows)
+
+    check()
