@@ -151,3 +151,24 @@ def test_fused_suite_equals_suite_over_raw_orders(spark):
     assert sorted(map(tuple, fused.collect())) == sorted(map(tuple, unfused.collect()))
     dup = [r for r in fused.collect() if r.check_name == "orders_duplicates"]
     assert len(dup) == 1
+
+
+def test_fused_duplicate_count_equals_raw_grouping_on_random_rows(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from ledgerline.operators.dedupe import keep_latest
+
+    key = st.one_of(st.none(), st.sampled_from(["A", "B", "C", "D"]))
+    row = st.tuples(key, st.one_of(st.none(), st.sampled_from(["x", "y"])))
+
+    @settings(max_examples=12, deadline=None)
+    @given(st.lists(row, min_size=0, max_size=20))
+    def check(rows):
+        raw = spark.createDataFrame(rows, "order_id string, v string")
+        fused = _one(Q.single(keep_latest(raw, ["order_id"], copies="_copies"), Q.duplicated_groups("_copies", ["order_id"], "d")))
+        direct = _one(Q.no_duplicates(raw, ["order_id"], "d"))
+        expected = sum(1 for k in {r[0] for r in rows} if sum(1 for r in rows if r[0] == k) > 1)
+        assert fused.failed_rows == direct.failed_rows == expected
+
+    check()
