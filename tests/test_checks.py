@@ -172,3 +172,24 @@ def test_fused_duplicate_count_equals_raw_grouping_on_random_rows(spark):
         assert fused.failed_rows == direct.failed_rows == expected
 
     check()
+
+
+def test_reference_and_pair_checks_on_random_rows(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    val = st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))
+    allowed = [("a", "a"), ("b", "c")]
+
+    @settings(max_examples=12, deadline=None)
+    @given(st.lists(st.tuples(val, val), min_size=0, max_size=20), st.lists(val, min_size=0, max_size=4))
+    def check(rows, dim_keys):
+        df = spark.createDataFrame(rows, "x string, y string")
+        dim = spark.createDataFrame([(k,) for k in dim_keys], "k string")
+        orphans = _one(Q.references(df, dim, "x", "k", "r")).failed_rows
+        known = {k for k in dim_keys if k is not None}
+        assert orphans == sum(1 for x, _ in rows if x is None or x not in known)  # NULL never matches
+        bad = _one(Q.allowed_pairs(df, "x", "y", allowed, "p")).failed_rows
+        assert bad == len({(x, y) for x, y in rows if (x, y) not in allowed})  # distinct pairs, NULL fails
+
+    check()
