@@ -272,3 +272,27 @@ def test_keep_latest_matches_an_ordered_pick_on_random_rows(spark):
         assert got == _python_survivors(rows)
 
     check()
+
+
+def test_replace_and_upsert_match_a_dict_model_on_random_tables(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    value = st.one_of(st.none(), st.sampled_from(["p", "q"]))
+    table = st.dictionaries(st.integers(0, 6), st.tuples(value, value), max_size=5)
+
+    @settings(max_examples=12, deadline=None)
+    @given(table, table)
+    def check(old, new):
+        schema = "k int, v string, w string"
+        target = spark.createDataFrame([(k, *vw) for k, vw in old.items()], schema)
+        incoming = spark.createDataFrame([(k, *vw) for k, vw in new.items()], schema)
+        replaced = {**old, **new}  # incoming rows win whole
+        assert sorted(map(tuple, P.replace_by_key(target, incoming, ["k"]).collect())) == sorted(
+            (k, *vw) for k, vw in replaced.items())
+        merged = {k: tuple(n if n is not None else o for n, o in zip(new.get(k, (None, None)), old.get(k, (None, None))))
+                  for k in {**old, **new}}  # per column, a non-NULL incoming value wins
+        assert sorted(map(tuple, P.upsert(target, incoming, ["k"]).collect())) == sorted(
+            (k, *vw) for k, vw in merged.items())
+
+    check()
