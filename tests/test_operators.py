@@ -296,3 +296,32 @@ def test_replace_and_upsert_match_a_dict_model_on_random_tables(spark):
             (k, *vw) for k, vw in merged.items())
 
     check()
+
+
+def _python_scd2(snaps):
+    """Reference: per key, a version starts on the first day and whenever the value changes."""
+    out = []
+    for key in {k for k, _, _ in snaps}:
+        days = sorted((d, v) for k, d, v in snaps if k == key)
+        starts = [(d, v) for i, (d, v) in enumerate(days) if i == 0 or v != days[i - 1][1]]
+        for i, (d, v) in enumerate(starts):
+            nxt = starts[i + 1][0] if i + 1 < len(starts) else None
+            out.append((key, v, d, nxt, nxt is None))
+    return sorted(out, key=repr)
+
+
+def test_scd2_versions_match_a_python_model_on_random_snapshots(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    snapshot = st.tuples(st.sampled_from(["A", "B"]), st.integers(1, 8), st.one_of(st.none(), st.sampled_from(["x", "y"])))
+
+    @settings(max_examples=12, deadline=None)
+    @given(st.lists(snapshot, max_size=14, unique_by=lambda s: (s[0], s[1])))  # one snapshot per key and day
+    def check(raw):
+        snaps = [(k, dt.date(2024, 1, d), v) for k, d, v in raw]
+        df = spark.createDataFrame(snaps, "k string, d date, v string")
+        got = sorted((tuple(r) for r in H.scd2_versions(df, ["k"], "d", ["v"]).collect()), key=repr)
+        assert got == _python_scd2(snaps)
+
+    check()
