@@ -193,3 +193,31 @@ def test_reference_and_pair_checks_on_random_rows(spark):
         assert bad == len({(x, y) for x, y in rows if (x, y) not in allowed})  # distinct pairs, NULL fails
 
     check()
+
+
+def test_reconciliation_and_amount_check_on_random_orders(spark):
+    from decimal import Decimal as Dec
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    money = st.sampled_from([Dec("0.00"), Dec("0.99"), Dec("1.00"), Dec("1.01"), Dec("5.00")])
+    orders_st = st.dictionaries(st.sampled_from(["O1", "O2", "O3"]), money, max_size=3)
+    items_st = st.lists(st.tuples(st.sampled_from(["O1", "O2", "O3", "O4"]), money), max_size=8)
+
+    @settings(max_examples=12, deadline=None)
+    @given(orders_st, items_st, st.booleans())
+    def check(orders, items, include_empty):
+        o = spark.createDataFrame(list(orders.items()), "order_id string, subtotal_amount_mmk decimal(18,2)")
+        i = spark.createDataFrame(items, "order_id string, net_line_amount_mmk decimal(18,2)")
+        recon = Q.reconciliation(i, o, include_orders_without_items=include_empty)
+        sums = {}
+        for oid, amount in items:
+            sums[oid] = sums.get(oid, Dec("0.00")) + amount
+        expected = {oid: (sums.get(oid, Dec("0.00")), sub) for oid, sub in orders.items() if include_empty or oid in sums}
+        assert {r.order_id: (r.recalc_subtotal_mmk, r.subtotal_amount_mmk) for r in recon.collect()} == expected
+        gap = Q.amount_match("recalc_subtotal_mmk", "subtotal_amount_mmk", 1.0, "m")
+        failed = _one(Q.single(recon, gap)).failed_rows
+        assert failed == sum(1 for a, b in expected.values() if abs(a - b) > Dec("1.00"))  # strict
+
+    check()
