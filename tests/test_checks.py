@@ -221,3 +221,25 @@ def test_reconciliation_and_amount_check_on_random_orders(spark):
         assert failed == sum(1 for a, b in expected.values() if abs(a - b) > Dec("1.00"))  # strict
 
     check()
+
+
+def test_fused_row_checks_equal_each_check_alone_on_random_rows(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    num = st.one_of(st.none(), st.sampled_from([-2.0, -0.5, 0.0, 0.5, 3.0]))
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.lists(st.tuples(num, num), max_size=15))
+    def check(rows):
+        df = spark.createDataFrame(rows, "a double, b double")
+        checks = [Q.non_null(["a", "b"], "nn"), Q.positive("a", "pos"), Q.non_negative("b", "nonneg")]
+        fused = {r.check_name: r.failed_rows for r in Q.run_row_checks(df, checks).collect()}
+        alone = {c.name: _one(Q.single(df, c)).failed_rows for c in checks}
+        assert fused == alone == {
+            "nn": sum(1 for a, b in rows if a is None or b is None),
+            "pos": sum(1 for a, _ in rows if a is not None and a <= 0),
+            "nonneg": sum(1 for _, b in rows if b is not None and b < 0),
+        }
+
+    check()
