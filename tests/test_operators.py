@@ -325,3 +325,25 @@ def test_scd2_versions_match_a_python_model_on_random_snapshots(spark):
         assert got == _python_scd2(snaps)
 
     check()
+
+
+def test_dim_date_attributes_match_python_on_random_ranges(spark):
+    import calendar
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.dates(dt.date(1992, 1, 1), dt.date(2030, 12, 31)), st.integers(0, 20))
+    def check(start, span):
+        end = start + dt.timedelta(days=span)
+        got = sorted(tuple(r) for r in G.dim_date_between(spark, start, end).collect())
+        want = sorted(
+            (int(d.strftime("%Y%m%d")), d, d.year, d.month, d.day, calendar.month_name[d.month], d.isocalendar()[1])
+            for d in (start + dt.timedelta(days=i) for i in range(span + 1))
+        )
+        assert got == want
+
+    check()
+    check_days = G.dim_date_between(spark, "2024-12-29", "2025-01-01").select("calendar_date", "week_of_year").collect()
+    assert [r.week_of_year for r in check_days] == [52, 1, 1, 1]  # ISO week across a year end
