@@ -1,0 +1,64 @@
+import hashlib
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ledgerline.llm import piece_codec, queries
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+OWN = piece_codec.codec(MODEL)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list(" \n\tab▁ é日本語😀thein\x00ﬁ.,-'()=_")) | st.characters(codec="utf-8"), max_size=60))
+def test_ids_and_text_equal_the_library(text):
+    ids = LIBRARY.encode(text)
+    assert OWN.encode(text) == ids
+    assert OWN.decode(ids) == LIBRARY.decode(ids)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 261) | st.integers(0, 31999), max_size=10))
+def test_any_ids_decode_as_the_library_does(ids):
+    assert OWN.decode(ids) == LIBRARY.decode(ids)
+
+
+@pytest.mark.parametrize("text", [" " * 67, "=" * 41, "a" * 5000, "\n" * 300, "the " * 20000, "", " "])
+def test_runs_and_long_texts(text):
+    assert OWN.encode(text) == LIBRARY.encode(text)
+
+
+def test_small_tables_of_segments_change_nothing(monkeypatch):
+    monkeypatch.setattr(piece_codec, "SEGMENTS_KEPT", 3)
+    small = piece_codec.PieceCodec(MODEL)
+    text = "one two three, four one two five. six one"
+    assert [small.encode(text) for _ in range(3)] == [LIBRARY.encode(text)] * 3
+
+
+def test_nulls_empty_tables_repeated_rows_and_other_columns(spark):
+    rows = [(1, "The words.", "x"), (1, "The words.", "x"), (None, None, None), (2, "", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
+    made = sorted(piece_codec.encode_digests(df, MODEL).collect(), key=str)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    ids = LIBRARY.encode("The words.")
+    full, none = (len(ids), sha(",".join(map(str, ids))), sha("The words.")), (0, sha(""), sha(""))
+    assert sorted(map(tuple, made), key=str) == sorted([(1, *full), (1, *full), (None, *none), (2, *none)], key=str)
+    assert piece_codec.encode_digests(df.limit(0), MODEL).count() == 0
+    back = piece_codec.decode(piece_codec.encode(df, MODEL), MODEL)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted([(1, "The words."), (1, "The words."), (None, ""), (2, "")], key=str)
+
+
+def test_query_equals_the_library_on_the_whole_table(spark):
+    sf = "/root/testdata/sf0.001"
+    made = {r.doc_id: r for r in queries.op2_sentencepiece(spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert len(made) == len(rows)
+    for r in rows:
+        ids = LIBRARY.encode(r.text or "")
+        assert made[r.doc_id].n_tokens == len(ids)
+        assert made[r.doc_id].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert made[r.doc_id].decoded_sha256 == hashlib.sha256(LIBRARY.decode(ids).encode()).hexdigest()
