@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from ledgerline.plans import registry
+from oracle import registry as oracle_registry
 from oracle.compare import compare, connect
 from tests.conftest import SF_SMALL
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +17,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(oracle_registry.SQL) == set(registry.QUERIES)
 
 
 @pytest.mark.parametrize("key", KEYS)

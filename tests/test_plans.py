@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 import __spark_entry__ as entry
+from ledgerline.plans import registry
 from ledgerline.sources.layers import filter_batch
 from tests.conftest import SF_SMALL
 
@@ -13,7 +14,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(registry.QUERIES))
 def test_no_python_in_plans(spark, key):
     plan = _plan(entry.queries()[key](spark, SF_SMALL))
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
