@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,3 +70,33 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str,
     split = left.withColumn(salt, F.pmod(F.xxhash64(F.col(f"`{spread}`")), F.lit(salts)))
     copies = right.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return split.join(copies, [*keys, salt], how).drop(salt)
+
+
+def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str, tag: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The rows of ``docs`` that ``decided`` (doc_id, tag: string, kept; a row for each row of docs) keeps, with all columns.
+
+    A doc_id (null included) that occurs once finds its decision by a join on it. Rows of a doc_id that
+    occurs more often are told apart by their tag, which ``tag(rows, column)`` works out again for
+    them alone; rows that share both are repeated rows, of which one stays.
+    """
+    key, name = fresh(docs, "key", "tag")
+    decided = stored(decided.select(F.col("doc_id").alias(key), F.col("tag").alias(name), "kept"), "decided")
+    per_key = decided.groupBy(key).agg(F.count("*").alias("n"), F.max("kept").alias("kept")).where("kept")
+    per_key = stored(per_key.select(key, "n"), "decided-keys")
+    keyed = docs.withColumn(key, F.col(f"`{id_col}`"))
+
+    def has(rows: DataFrame, wanted: DataFrame, *more: str) -> DataFrame:
+        match = rows[key].eqNullSafe(wanted[key])
+        for c in more:
+            match = match & (rows[c] == wanted[c])
+        return rows.join(wanted, match, "left_semi")
+
+    kept = has(keyed, per_key.where("n = 1").drop("n"))
+    several = per_key.where("n > 1").drop("n")
+    n_several = several.count()
+    if n_several:
+        wanted = F.broadcast(several) if n_several <= BROADCAST_ROWS_MAX else several
+        tags = has(decided.where("kept").drop("kept"), wanted).distinct()
+        found = has(tag(has(keyed, wanted), name), tags, name).dropDuplicates([key, name])
+        kept = kept.unionByName(found.drop(name))
+    return kept.drop(key)

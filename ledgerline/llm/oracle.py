@@ -2,4 +2,18 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_exact_dedup": r"""
+        WITH plain AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n_points,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS body
+            FROM documents),
+        placed AS (
+            SELECT doc_id, body,
+                   first_value(doc_id) OVER w AS keep_id,
+                   count(*) OVER (PARTITION BY body) AS group_size,
+                   row_number() OVER w AS place
+            FROM plain WINDOW w AS (PARTITION BY body ORDER BY n_points DESC, doc_id NULLS LAST))
+        SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM placed
+    """,
+}
