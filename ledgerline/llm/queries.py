@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import piece_codec
+from ledgerline.llm import exact_dedup, piece_codec, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,16 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.groups(table(spark, sf_dir, "documents")).drop("n_points")
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"), words=3, radius=3).select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op7_simhash": op7_simhash,
 }
