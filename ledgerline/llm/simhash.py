@@ -8,9 +8,9 @@ link is found, none by chance. For r = 3 there are 15 masks of about 34 of the 6
 
 Only distinct fingerprints are bucketed. A bucket of at most ``bucket_max`` is searched whole by a breadth-first
 walk that emits one link for each fingerprint it reaches (a spanning forest, not all pairs). A larger bucket
-is split by the same construction over the bits its mask leaves out, again without losing a link; after three such
-steps a bucket can't hold more than ``bucket_max`` fingerprints. Components of the forest are
-components of all links.
+is split by the same construction over the bits its mask leaves out, again without losing a link; a bucket
+whose fingerprints differ in fewer than 2^r bits (so at most 128 for r = 3) is always searched whole, which ends this.
+Components of the forest are components of all links. Radii up to 4.
 
 Null text counts as empty; a text without words has fingerprint zero and links like any other. Repeated
 rows share their fingerprint and component. doc_id null is never the smallest; a component of null ids
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,7 @@ def masks(radius: int, bits: list[int]) -> list[int]:
     return [sum(1 << b for k, b in enumerate(bits) if (1 + k % full & v).bit_count() % 2) for v in range(1, full + 1)]
 
 
+@lru_cache(8192)
 def bucket_mask(radius: int, path: int) -> int:
     """Bits that the fingerprints of a bucket share: the mask picked at each step of ``path``, joined."""
     steps, base = [], 1 << (radius + 1)
@@ -154,7 +156,7 @@ def _link(radius: int, bucket_max: int):
                     yield from finer(int(path[s]), fp[s:e].copy())
                     continue
                 held = np.concatenate([held, fp[s:e]])
-                if len(held) > bucket_max:
+                if len(held) > bucket_max and 64 - bucket_mask(radius, int(path[s])).bit_count() >= 1 << radius:
                     yield from finer(int(path[s]), held)
                     held, large = np.empty(0, np.uint64), True
             open_at = (path[-1], key[-1])
@@ -165,6 +167,8 @@ def _link(radius: int, bucket_max: int):
 
 def links(fps: DataFrame, radius: int, bucket_max: int = BUCKET_MAX) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fp`` that span all pairs within ``radius`` bits."""
+    if not 0 <= radius <= 4:
+        raise ValueError("radius: 0 to 4 bits")
     first = [F.struct(F.lit(v).cast("long").alias("path"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
              for v, m in enumerate(masks(radius, list(range(64))), 1)]
     rows = fps.select("fp", F.explode(F.array(*first)).alias("at")).select("at.path", "at.key", "fp")

@@ -1,0 +1,82 @@
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from ledgerline.llm import queries, simhash
+from ledgerline.llm.components import components
+from tests.llm import brute
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("text", ["", " \n", "One", "One two", "one two three", "A B c d É\x0be f " * 9, "x y " * 4000])
+@pytest.mark.parametrize("words", [1, 3, 5])
+def test_fingerprint(text, words, monkeypatch):
+    monkeypatch.setattr(simhash, "PIECE", 50)
+    assert simhash.fingerprint(text.encode(), words) == brute.fingerprint(text, words)
+
+
+@pytest.mark.parametrize("radius", [1, 2, 3])
+def test_some_mask_misses_any_differing_bits(radius):
+    bits = list(range(64)) if radius < 3 else list(range(0, 64, 2))
+    found = simhash.masks(radius, bits)
+    assert all(any(not any(m >> b & 1 for b in spots) for m in found) for spots in combinations(bits, radius))
+
+
+def spread(n, seed):
+    """Fingerprints in chains and clumps within 3 bits, and far ones."""
+    rnd = random.Random(seed)
+    out = [rnd.getrandbits(64) for _ in range(n // 3)]
+    while len(out) < n:
+        out.append(rnd.choice(out) ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 4))))
+    return out
+
+
+@pytest.mark.parametrize("bucket_max", [1, 5, 8192])
+def test_components_equal_all_pairs(spark, bucket_max):
+    fps = spread(400, 5)
+    signed = [simhash._signed(f) for f in fps]
+    df = spark.createDataFrame([(f,) for f in set(signed)], "fp long")
+    found = simhash.links(df, 3, bucket_max)
+    assert all((a ^ b).bit_count() <= 3 for a, b in ((r.a % 2**64, r.b % 2**64) for r in found.collect()))
+    roots = {r.node: r.root for r in components(found).collect()}
+    want = brute.components(signed, fps, 3)
+    assert {f: roots.get(f, f) for f in signed} == dict(zip(signed, want, strict=True))
+
+
+def test_forest_is_linear():
+    fps = np.array([0] + [1 << i for i in range(64)], np.uint64)
+    assert len(simhash._forest(fps, 3)) == 64
+
+
+def test_nulls_ties_repeated_rows_clashing_columns_and_empty_table(spark):
+    rows = [(5, "a b c d", "x"), (5, "a b c d", "x"), (2, "A b C d", "y"), (None, None, "z"), (7, "", "w"), (None, "q r s t", "v"), (None, "q r s t", "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, Component_ID string")
+    made = simhash.near_groups(df, 3, 3).collect()
+    fps = [brute.fingerprint(t, 3) for _, t, _ in rows]
+    want = brute.components([r[0] for r in rows], fps, 3)
+    key = lambda r: str(tuple(r))
+    assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in made), key=key) == sorted(
+        ((r[0], f"{f:016x}", w) for r, f, w in zip(rows, fps, want, strict=True)), key=key)
+    kept = simhash.keep_smallest(df, 3, 3)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(2, "A b C d", "y"), (7, "", "w"), (None, "q r s t", "v")], key=str)
+    assert simhash.near_groups(df.limit(0), 3, 3).count() == 0
+
+
+def test_one_hot_component(spark):
+    rows = [(i, "the same words again and again " * 3 + (str(i) if i % 3 else "")) for i in range(600)]
+    made = simhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 3, 3).collect()
+    fps = [brute.fingerprint(t, 3) for _, t in rows]
+    want = dict(zip([r[0] for r in rows], brute.components([r[0] for r in rows], fps, 3), strict=True))
+    assert {r.doc_id: r.component_id for r in made} == want
+
+
+def test_query_equals_all_pairs(spark):
+    made = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op7_simhash(spark, SF).collect()}
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    fps = [brute.fingerprint(r.text, 3) for r in rows]
+    want = brute.components([r.doc_id for r in rows], fps, 3)
+    assert made == {r.doc_id: (f"{f:016x}", c) for r, f, c in zip(rows, fps, want, strict=True)}
