@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import exact_dedup, piece_codec, simhash
+from ledgerline.llm import exact_dedup, piece_codec, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,8 +28,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), words=3, radius=3).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_simhash": op7_simhash,
+    "op9_quality": op9_quality,
 }
