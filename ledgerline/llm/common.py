@@ -64,12 +64,13 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str,
     """``left`` join ``right`` on ``keys``, each key split ``salts`` ways by the left column ``spread``.
 
     ``right`` has one row per key, so repeating it is bounded by ``salts`` rows a key, and a key
-    that holds a third of ``left`` is dealt to ``salts`` tasks. ``how`` is inner or left.
+    that holds a third of ``left`` is dealt to ``salts`` tasks. Always a merge join: the repeated
+    rows are never broadcast. ``how`` is inner or left.
     """
-    (salt,) = fresh(left.select("*"), "salt")
+    (salt,) = fresh(left, "salt")
     split = left.withColumn(salt, F.pmod(F.xxhash64(F.col(f"`{spread}`")), F.lit(salts)))
     copies = right.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return split.join(copies, [*keys, salt], how).drop(salt)
+    return split.join(copies.hint("merge"), [*keys, salt], how).drop(salt)
 
 
 def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str, tag: Callable[[DataFrame, str], DataFrame]) -> DataFrame:

@@ -16,4 +16,31 @@ SQL: dict[str, str] = {
             FROM plain WINDOW w AS (PARTITION BY body ORDER BY n_points DESC, doc_id NULLS LAST))
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM placed
     """,
+    "op8_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+            FROM sized GROUP BY source),
+        ranked AS (
+            SELECT *, 3 * source_size AS cap, 3 * source_size / weight AS most_share,
+                   sum(source_size) OVER () AS total, sum(weight) OVER () AS weights,
+                   coalesce(sum(3 * source_size) OVER w, 0) AS capped, coalesce(sum(weight) OVER w, 0) AS closed
+            FROM sources
+            WINDOW w AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        level AS (
+            SELECT (total - capped)::DOUBLE / (weights - closed)::DOUBLE AS share FROM ranked
+            WHERE (total - capped)::DOUBLE / (weights - closed)::DOUBLE <= most_share ORDER BY most_share, source NULLS LAST LIMIT 1),
+        rated AS (
+            SELECT r.source, source_size, least(weight * share, cap::DOUBLE) AS target,
+                   CASE WHEN source_size > 0 THEN least(least(weight * share, cap::DOUBLE) / source_size, 3.0::DOUBLE) ELSE 0 END AS rate
+            FROM ranked r, level),
+        drawn AS (
+            SELECT s.*, r.source_size, r.target, r.rate,
+                   ('0x' || substr(md5('17:' || coalesce(s.doc_id::VARCHAR, 'null')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS draw
+            FROM sized s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source),
+        copied AS (SELECT *, floor(rate)::BIGINT + (draw < rate - floor(rate))::BIGINT AS copies FROM drawn)
+        SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM copied
+    """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import exact_dedup, piece_codec, quality, simhash
+from ledgerline.llm import exact_dedup, mixing, piece_codec, quality, secret_scan, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owner: the source; repository: the source's documents of one language."""
+    return secret_scan.report(table(spark, sf_dir, "documents"), repository_cols=("source", "lang"), owner_cols=("source",))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -28,13 +33,19 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), words=3, radius=3).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_sentencepiece": op2_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_simhash": op7_simhash,
+    "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
 }
