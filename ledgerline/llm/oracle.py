@@ -43,4 +43,44 @@ SQL: dict[str, str] = {
         copied AS (SELECT *, floor(rate)::BIGINT + (draw < rate - floor(rate))::BIGINT AS copies FROM drawn)
         SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM copied
     """,
+    "op10_warc_revisits": r"""
+        WITH base AS (
+            SELECT page_id, url, 1700000000 + page_id * 60 AS stamp, coalesce(html, '') AS body,
+                   '"' || md5(coalesce(html, '')) || '"' AS tag FROM pages),
+        records AS (
+            SELECT page_id * 2 AS record_id, url, stamp AS captured, 0 AS revisit, tag AS etag, (stamp - 86400)::VARCHAR AS last_modified,
+                   sha1(body) AS payload_digest, tag AS own_tag, strlen(body) AS bytes FROM base
+            UNION ALL
+            SELECT page_id * 2 + 1, url, CASE WHEN page_id % 13 = 0 THEN stamp - 30 ELSE stamp + page_id % 9 * 3600 + 30 END, 1,
+                   CASE WHEN page_id % 11 = 0 OR page_id % 7 = 0 THEN NULL WHEN page_id % 5 = 0 THEN '"other"'
+                        WHEN page_id % 3 = 0 THEN 'W/' || tag ELSE tag END,
+                   CASE WHEN page_id % 11 <> 0 THEN (stamp - 86400)::VARCHAR END, NULL, NULL, NULL FROM base),
+        cut AS (
+            SELECT *, regexp_replace(regexp_replace(trim(url), '(?s)#.*$', ''), '(?i)^[a-z][a-z0-9+.-]*://', '') AS rest FROM records),
+        keyed AS (
+            SELECT *, regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), ':(80|443)$', '') AS host,
+                   CASE WHEN regexp_extract(rest, '^[^/?]*([^?]*)', 1) = '' THEN '/' ELSE regexp_extract(rest, '^[^/?]*([^?]*)', 1) END AS place,
+                   array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '(?s)^[^?]*\?(.*)$', 1), '&'),
+                       lambda x: x <> '' AND string_split(x, '=')[1] NOT IN ('ref', 'utm_campaign', 'utm_medium', 'utm_source'))), '&') AS query
+            FROM cut),
+        named AS (SELECT *, CASE WHEN coalesce(host, '') = '' THEN '' ELSE host || place || CASE WHEN query = '' THEN '' ELSE '?' || query END END AS canonical FROM keyed),
+        scanned AS (
+            SELECT *, last_value(CASE WHEN revisit = 0 THEN {'id': record_id, 'etag': etag, 'date': last_modified, 'digest': payload_digest,
+                                      'tag': own_tag, 'bytes': bytes, 'stamp': captured} END IGNORE NULLS)
+                      OVER (PARTITION BY canonical ORDER BY captured, revisit, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS f
+            FROM named),
+        judged AS (
+            SELECT *, CASE WHEN canonical = '' THEN 'no_url' WHEN f IS NULL THEN 'no_response'
+                           WHEN etag IS NOT NULL AND f.etag IS NOT NULL
+                                THEN CASE WHEN regexp_replace(etag, '^W/', '') = regexp_replace(f.etag, '^W/', '') THEN 'resolved' ELSE 'mismatch' END
+                           WHEN last_modified IS NOT NULL AND f.date IS NOT NULL
+                                THEN CASE WHEN last_modified = f.date THEN 'resolved' ELSE 'mismatch' END
+                           ELSE 'no_validator' END AS status
+            FROM scanned WHERE revisit = 1)
+        SELECT record_id, canonical, captured, status, CASE WHEN canonical <> '' THEN f.id END AS response_id,
+               CASE WHEN status = 'resolved' THEN f.digest END AS payload_digest,
+               CASE WHEN status = 'resolved' THEN 'Content-Type: text/html' || chr(10) || 'Content-Length: ' || f.bytes || chr(10) || 'ETag: ' || f.tag
+                    || chr(10) || 'date: ' || captured || chr(10) || 'Cache-Control: max-age=60' END AS headers
+        FROM judged
+    """,
 }

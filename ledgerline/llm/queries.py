@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, mixing, piece_codec, quality, secret_scan, simhash
+from ledgerline.llm import exact_dedup, mixing, piece_codec, quality, secret_scan, sharding, simhash, url_rules, warc_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,10 +26,31 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+HOST_RULES = [
+    url_rules.HostRule("org", "/", "allow"),
+    url_rules.HostRule("example.org", "/es/", "block"),
+    url_rules.HostRule("example.org", "/en/1", "block"),
+    url_rules.HostRule("com", "/fr/", "allow"),
+    url_rules.HostRule("com", "/de/", "block"),
+]
+
+
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of pages: the rows of labels with the page's id; bad if toxic or of low quality."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labelled = pages.select("page_id", "url").join(labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")), "page_id")
+    return url_rules.judge(pages, labelled.select("url", "bad"), HOST_RULES)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents")).drop("n_points")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), words=3, radius=3).select("doc_id", "fingerprint", "component_id")
 
@@ -41,11 +63,21 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers of the resolved records as text, a line for each."""
+    found = warc_revisits.resolve(warc_revisits.records_of_pages(table(spark, sf_dir, "pages")))
+    lines = F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"]))
+    return found.withColumn("headers", F.array_join(lines, "\n"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_sentencepiece": op2_sentencepiece,
+    "op4_url_rules": op4_url_rules,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_sharding": op6_sharding,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
+    "op10_warc_revisits": op10_warc_revisits,
 }
