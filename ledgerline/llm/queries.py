@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, mixing, piece_codec, quality, secret_scan, sharding, simhash, url_rules, warc_revisits
+from ledgerline.llm import exact_dedup, license_scan, mixing, piece_codec, quality, secret_scan, sharding, simhash, url_rules, warc_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return license_scan.scan(documents, license_scan.train(documents))
+
+
 HOST_RULES = [
     url_rules.HostRule("org", "/", "allow"),
     url_rules.HostRule("example.org", "/es/", "block"),
@@ -73,6 +78,7 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_license_scan": op3_license_scan,
     "op4_url_rules": op4_url_rules,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sharding": op6_sharding,

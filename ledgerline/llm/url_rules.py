@@ -2,7 +2,7 @@
 
 Labelled URLs become sets of tokens (scheme, host labels and suffixes, path segments, extension, query keys), with one item for a bad
 label. Spark's FP-growth mines the frequent sets; rules "tokens -> bad" stay if their support and
-confidence pass the limits, and if no rule on fewer of the tokens is as confident. They are matched by an inverted index:
+confidence pass the limits, and if no rule on all but one of the tokens is as confident. They are matched by an inverted index:
 each rule is listed under its rarest token, a URL looks up its own tokens, and the few rules found are checked
 in full. A URL that a rule fits is blocked, by the most confident one.
 
@@ -94,7 +94,7 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     frequency = model.freqItemsets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("anchor"), "freq")
     rarest = (found.select("items", F.explode("items").alias("anchor")).join(frequency, "anchor")
               .groupBy("items").agg(F.min_by("anchor", F.struct("freq", "anchor")).alias("anchor")))
-    # a rule is redundant if a part of its tokens makes a rule at least as confident; parts have one token less, then again one less
+    # redundant: without one of its tokens the rule is at least as confident
     parts = found.select("items", "confidence", F.explode("items").alias("left_out")).select(F.array_remove("items", F.col("left_out")).alias("part"), "items", "confidence")
     redundant = (parts.join(found.select(F.col("items").alias("part"), F.col("confidence").alias("of_part")), "part")
                  .where("of_part >= confidence").select("items").distinct())
