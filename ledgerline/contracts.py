@@ -43,6 +43,7 @@ def schema(spec: str) -> T.StructType:
 
 
 # ---- raw extracts: column names of each headered CSV (all read as text) ----------------------
+# fixed values: the column names and types of the tables, which files and warehouse share
 SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
     "customers": ("customer_id", "customer_name", "phone_number", "email", "city", "region",
                   "township", "segment", "created_at"),
@@ -119,6 +120,7 @@ SILVER = {
 }
 
 # ---- gold: the warehouse contracts (five dimensions, five facts, the audit table) ------------
+# fixed values: the column names and types of the warehouse
 GOLD = {
     "dim_customer": schema(
         "customer_id string, customer_name string, phone_number string, email string, city string, "
@@ -167,9 +169,24 @@ FACTS = ("fact_orders", "fact_order_items", "fact_payments", "fact_inventory_sna
 CHECK_RESULT = schema("check_name string, passed boolean, failed_rows long, message string")
 
 
+def layer_schema(layer: str, table: str) -> T.StructType:
+    """Declared schema of a stored table: a table without files yet reads as empty."""
+    if layer == "bronze":
+        return bronze_schema(table)
+    return SILVER[table] if layer == "silver" else GOLD[table]
+
+
+def require_columns(df: DataFrame, columns: Sequence[str], what: str) -> None:
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{what}: missing columns {', '.join(missing)}")
+
+
 def conform(df: DataFrame, contract: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """Project ``df`` onto ``contract``: contract order, contract types, missing columns NULL.
 
+    Where a missing column is a fault, call ``require_columns`` first.
+
     Text is parsed with ``try_cast`` (NULL on bad input); columns already of the right type
     pass through untouched. Columns named in ``keep`` follow the contract's, unchanged. One
     ``select``, so it is a single projection in the plan.

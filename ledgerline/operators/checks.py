@@ -180,25 +180,28 @@ def union_results(results: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), results)
 
 
-def empty_results(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], CHECK_RESULT)
+def _same_day(left: DataFrame, right: DataFrame) -> list[str]:
+    return ["batch_date"] if "batch_date" in left.columns and "batch_date" in right.columns else []
 
 
 def reconciliation(items: DataFrame, orders: DataFrame, include_orders_without_items: bool = False) -> DataFrame:
-    """Item net amounts summed per order beside the order's own subtotal (Q11).
+    """Item net amounts summed per order, within its batch day, beside the order's own subtotal (Q11).
 
     By default an inner join, as the reference does, which hides orders without items; with
     ``include_orders_without_items`` those orders get a recalculated subtotal of 0 so the
     amount check sees them.
     """
-    per_order = items.groupBy("order_id").agg(F.round(F.sum("net_line_amount_mmk"), 2).cast("decimal(18,2)").alias("recalc_subtotal_mmk"))
-    heads = orders.select("order_id", "subtotal_amount_mmk")
+    day = _same_day(items, orders)
+    per_order = items.groupBy("order_id", *day).agg(F.round(F.sum("net_line_amount_mmk"), 2).cast("decimal(18,2)").alias("recalc_subtotal_mmk"))
+    heads = orders.select("order_id", "subtotal_amount_mmk", *day)
+    match = per_order["order_id"] == heads["order_id"]
+    for c in day:
+        match = match & per_order[c].eqNullSafe(heads[c])
+    joined = heads.join(per_order, match, "left" if include_orders_without_items else "inner")
+    recalculated = F.col("recalc_subtotal_mmk")
     if include_orders_without_items:
-        joined = heads.join(per_order, "order_id", "left").withColumn(
-            "recalc_subtotal_mmk", F.coalesce("recalc_subtotal_mmk", F.lit(0).cast("decimal(18,2)"))
-        )
-        return joined.select("order_id", "recalc_subtotal_mmk", "subtotal_amount_mmk")
-    return per_order.join(heads, "order_id", "inner")
+        recalculated = F.coalesce(recalculated, F.lit(0).cast("decimal(18,2)"))
+    return joined.select(heads["order_id"], recalculated.alias("recalc_subtotal_mmk"), "subtotal_amount_mmk")
 
 
 class QualityCheckError(ValueError):
@@ -264,7 +267,12 @@ def silver_suite(
     include_orders_without_items: bool = False,
     copies: str | None = None,
 ) -> DataFrame:
-    """The 13-check silver suite (Q10), in the reference's order, as one result frame.
+    """The 13-check silver suite (Q10), in the reference's order, as one result frame, in one pass.
+
+    Each table is read once: its rows become tagged rows (row checks, pairs, references, order amounts), which
+    meet the dimensions' keys and the allow-list in a single aggregate on (tag, key, key). It combines
+    map-side, so a hot key or pair is one row per task, and nothing is joined or broadcast. A second aggregate
+    counts the failures.
 
     The duplicate check counts the raw orders, before the dedupe that would make it pass by
     construction; it is reported like every other check. With ``copies`` (a column of
@@ -272,43 +280,97 @@ def silver_suite(
     fused with the other order checks, and ``raw_orders`` is not needed; without it the raw
     orders are grouped again. Row checks on the same table share one scan.
     """
+    by_name = {}
+
+    def row_checks(group: str, checks: Sequence[RowCheck]) -> list[Column]:
+        """A tagged row that adds one to the sums of the checks it fails."""
+        for at, c in enumerate(checks):
+            by_name[c.name] = (group, f"s{at}", c.message)
+        return [_tagged(f"rows:{group}", sums=[F.when(c.bad, 1).otherwise(0) for c in checks])]
+
+    def pair(group: str, name: str) -> list[Column]:
+        by_name[name] = (group, "bad", msg_pairs("city", "region"))
+        return [_tagged(group, F.col("city"), F.col("region"), fact=1)]
+
+    def reference(group: str, key: str, name: str) -> list[Column]:
+        by_name[name] = (group, "orphans", msg_references(key))
+        return [_tagged(group, F.col(key), fact=1)]
+
     order_checks = [
         non_null(["order_id", "customer_id"], "orders_primary_keys"),
         valid_timestamp("order_timestamp", "orders_timestamp_valid"),
     ]
     if copies:
         order_checks.append(duplicated_groups(copies, ["order_id"], "orders_duplicates"))
-        duplicates = []
-    elif raw_orders is not None:
-        duplicates = [no_duplicates(raw_orders, ["order_id"], "orders_duplicates")]
-    else:
+    elif raw_orders is None:
         raise ValueError("the duplicate check needs raw_orders or a copies column")
-    order_rows = run_row_checks(orders, order_checks)
-    item_rows = run_row_checks(items, [
-        non_null(["product_id"], "order_items_product_id_present"),
-        non_negative("unit_price_mmk", "order_item_price_non_negative"),
-        non_negative("quantity", "order_item_quantity_non_negative"),
-    ])
-    payment_rows = run_row_checks(payments, [
-        valid_timestamp("paid_at", "payments_timestamp_valid"),
-        non_negative("payment_amount_mmk", "payment_amount_non_negative"),
-    ])
-    recon = reconciliation(items, orders, include_orders_without_items)
-    parts = [
-        order_rows,
-        *duplicates,
-        payment_rows,
-        allowed_pairs(orders, "city", "region", pairs, "orders_region_city_mapping"),
-        allowed_pairs(deliveries, "city", "region", pairs, "deliveries_region_city_mapping"),
-        item_rows,
-        references(orders, customers, "customer_id", "customer_id", "orders_customer_reference"),
-        references(items, products, "product_id", "product_id", "order_items_product_reference"),
-        single(recon, amount_match("recalc_subtotal_mmk", "subtotal_amount_mmk", tolerance, "order_subtotal_reconciliation")),
+    day = [F.col(c).cast("string") for c in _same_day(items, orders)] or [F.lit(None).cast("string")]
+    money = "decimal(38,2)"
+    subtotal, net = F.col("subtotal_amount_mmk").cast(money), F.col("net_line_amount_mmk").cast(money)
+    by_name["order_subtotal_reconciliation"] = ("recon", "unequal", msg_amount("recalc_subtotal_mmk", "subtotal_amount_mmk"))
+    emitted = [
+        _emit(orders, [*row_checks("orders", order_checks), *pair("pairs:orders", "orders_region_city_mapping"),
+                       *reference("refs:orders", "customer_id", "orders_customer_reference"),
+                       _tagged("recon", F.col("order_id"), *day, dim=1, header=subtotal)]),
+        _emit(items, [*row_checks("items", [
+            non_null(["product_id"], "order_items_product_id_present"),
+            non_negative("unit_price_mmk", "order_item_price_non_negative"),
+            non_negative("quantity", "order_item_quantity_non_negative")]),
+            *reference("refs:items", "product_id", "order_items_product_reference"),
+            F.when(F.col("order_id").isNotNull(), _tagged("recon", F.col("order_id"), *day, fact=1, amount=net))]),
+        _emit(payments, row_checks("payments", [
+            valid_timestamp("paid_at", "payments_timestamp_valid"),
+            non_negative("payment_amount_mmk", "payment_amount_non_negative")])),
+        _emit(deliveries, pair("pairs:deliveries", "deliveries_region_city_mapping")),
+        _emit(customers.where(F.col("customer_id").isNotNull()), [_tagged("refs:orders", F.col("customer_id"), dim=1)]),
+        _emit(products.where(F.col("product_id").isNotNull()), [_tagged("refs:items", F.col("product_id"), dim=1)]),
     ]
-    return union_results(parts)
+    if not copies:
+        by_name["orders_duplicates"] = ("copies", "repeated", msg_duplicates(["order_id"]))
+        raw_day = [F.col("batch_date").cast("string")] if "batch_date" in raw_orders.columns else []
+        emitted.append(_emit(raw_orders, [_tagged("copies", F.col("order_id"), *raw_day, fact=1)]))
+    listed = [(a, b) for a, b in pairs if a is not None and b is not None]
+    if listed:
+        allowed = orders.sparkSession.createDataFrame(listed, "city string, region string")
+        emitted.append(_emit(allowed, [_tagged(g, F.col("city"), F.col("region"), dim=1) for g in ("pairs:orders", "pairs:deliveries")]))
+
+    keys = ["tag", "k1", "k2"]
+    sums = [F.sum(c).alias(c) for c in (*_SUMS, "fact", "dim")]
+    groups = union_results(emitted).groupBy(*keys).agg(*sums, F.sum("amount").alias("amount"), F.max("header").alias("header"))
+    recalculated = F.round(F.col("amount"), 2).cast("decimal(18,2)")
+    if include_orders_without_items:
+        recalculated = F.coalesce(recalculated, F.lit(0).cast("decimal(18,2)"))
+    matched = (F.col("dim") > 0) & (F.lit(include_orders_without_items) | (F.col("fact") > 0))
+    unequal = matched & (F.abs(recalculated - F.col("header").cast("decimal(18,2)")) > F.lit(Decimal(str(tolerance))))
+    unknown = (F.col("fact") > 0) & (F.col("dim") == 0)
+    counts = {"bad": F.when(unknown, 1), "orphans": F.when(unknown, F.col("fact")), "unequal": F.when(unequal, 1),
+              "repeated": F.when(F.col("fact") > 1, 1)} | {c: F.col(c) for c in _SUMS}
+
+    def failed(name: str) -> Column:
+        group, what, _ = by_name[name]
+        tag = f"rows:{group}" if what in _SUMS else group
+        return F.sum(F.when(F.col("tag") == tag, counts[what])).alias(name)
+
+    totals = groups.agg(*[failed(name) for name in SUITE_CHECKS])
+    rows = F.array(*[F.struct(F.lit(n).alias("n"), F.col(n).cast("long").alias("f"), F.lit(by_name[n][2]).alias("m")) for n in SUITE_CHECKS])
+    return totals.select(F.inline(rows)).select(*_result(F.col("n"), F.col("f"), F.col("m")))
+
+
+_SUMS = ("s0", "s1", "s2")
+
+
+def _tagged(tag: str, *keys: Column, sums: Sequence[Column] = (), fact: int = 0, dim: int = 0,
+            amount: Column | None = None, header: Column | None = None) -> Column:
+    """One row of the suite's single aggregate: a group (tag, k1, k2) and what it adds to the group's sums."""
+    none, money = F.lit(None), "decimal(38,2)"
+    keys = [*keys, none, none][:2]
+    sums = [*sums, *[F.lit(0)] * len(_SUMS)][: len(_SUMS)]
+    return F.struct(
+        F.lit(tag).alias("tag"), *[k.cast("string").alias(n) for k, n in zip(keys, ("k1", "k2"))],
+        *[s.cast("long").alias(n) for s, n in zip(sums, _SUMS)], F.lit(fact).cast("long").alias("fact"), F.lit(dim).cast("long").alias("dim"),
+        (none if amount is None else amount).cast(money).alias("amount"), (none if header is None else header).cast(money).alias("header"))
 
 
-def require_non_empty(df: DataFrame, name: str = "gold_fact_orders_non_empty") -> None:
-    """Gate: raise when the batch produced no rows (Q12). Reads at most one row."""
-    if not df.take(1):
-        raise QualityCheckError(f"Data quality checks failed: {name}(0)")
+def _emit(df: DataFrame, tagged: Sequence[Column]) -> DataFrame:
+    """The tagged rows of each row of one table (a null one is left out)."""
+    return df.select(F.explode(F.array(*tagged)).alias("t")).where(F.col("t").isNotNull()).select("t.*")

@@ -1,6 +1,7 @@
 """Silver cleaners (L1–L8) as declarative specs run by one ``clean`` function.
 
-A spec names the key to deduplicate on, the text columns to title-case, the derived columns
+A spec names the key to deduplicate on (daily entities: within each batch day, so several days
+cleaned at once equal the days cleaned one by one), the text columns to title-case, the derived columns
 and the per-column defaults. Types come from the silver contract through ``conform``
 (``try_cast``), so a spec never lists casts. Geography is title-cased in every entity that
 carries it, so ``Yangon`` and ``YANGON`` are one place in ``dim_region`` and in the joins.
@@ -13,7 +14,7 @@ from typing import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 
-from ledgerline.contracts import SILVER, conform
+from ledgerline.contracts import BATCH_ENTITIES, SILVER, conform, require_columns
 from ledgerline.functions import scalars as S
 from ledgerline.operators.dedupe import keep_latest
 
@@ -30,6 +31,11 @@ class CleanSpec:
     def contract(self):
         return SILVER[self.entity]
 
+    @property
+    def row_keys(self) -> tuple[str, ...]:
+        """The key that identifies a row: a daily entity's id is unique within its batch day."""
+        return (*self.keys, "batch_date") if self.entity in BATCH_ENTITIES else self.keys
+
 
 SPECS: dict[str, CleanSpec] = {
     "customers": CleanSpec("customers", ("customer_id",), ("customer_name", "city", "region")),
@@ -66,9 +72,10 @@ def clean(df: DataFrame, spec: CleanSpec, dedupe: bool = True, copies: str | Non
     With ``copies`` (and ``dedupe``), a column of that name follows the contract's columns,
     holding how many bronze rows each key had (see ``keep_latest``).
     """
+    require_columns(df, [f.name for f in spec.contract.fields if f.name not in spec.derived], f"bronze {spec.entity}")
     keep = (copies,) if copies and dedupe else ()
     if dedupe:
-        df = keep_latest(df, spec.keys, copies=copies)
+        df = keep_latest(df, spec.row_keys, copies=copies)
     if spec.title_case:
         df = df.withColumns({c: S.title_case(c) for c in spec.title_case if c in df.columns})
     typed = conform(df, spec.contract, keep=keep)

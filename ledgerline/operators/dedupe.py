@@ -1,4 +1,4 @@
-"""Keep-one-row-per-key (D1), whole-row distinct (D2) and union by name.
+"""Keep-one-row-per-key.
 
 D1 is an aggregation, not a window: ``max(struct(order columns…, rest…))`` per key. The
 aggregate runs partially on the map side, so a key that holds a third of the table is first
@@ -17,7 +17,6 @@ encoding; a hash of the row would make the choice depend on collisions.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -45,10 +44,3 @@ def keep_latest(
     fields = [F.col("_survivor")[c].alias(c) for c in ordered]
     return df.groupBy(*keys).agg(survivor, *aggs).select(*keys, *fields, *extra).select(*df.columns, *extra)
 
-
-def distinct_rows(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
-
-
-def union_by_name(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)

@@ -3,7 +3,8 @@
 Plain Parquet has no transaction log, so idempotence comes from *replace* semantics chosen by
 the kind of table:
 
-* snapshot (master / dimension) — overwrite the whole table (K1);
+* snapshot (master / dimension) — a new version is written beside the table and swapped in by
+  rename once it is complete, so a failed write leaves the table as it was (K1);
 * daily (facts, daily silver) — replace exactly the batch days written (K2): for one day the
   partition directory ``…/batch_date=D`` itself is overwritten, which clears the day even when
   the new batch has zero rows; for a range, dynamic partition overwrite replaces the days that
@@ -18,12 +19,14 @@ second pass.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from typing import Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from ledgerline.sources import files
 from ledgerline.sources.layers import as_date
 
 
@@ -36,23 +39,27 @@ def _observed(df: DataFrame, name: str, with_days: bool = False) -> tuple[DataFr
 
 
 def write_snapshot(df: DataFrame, path: str) -> int:
-    """Overwrite a whole table; returns the number of rows written."""
+    """Replace a whole table; returns the number of rows written. ``df`` may read the table itself."""
+    spark = df.sparkSession
+    new = files.new_path(path, uuid.uuid4().hex)
     observed, obs = _observed(df, "snapshot")
-    observed.write.mode("overwrite").parquet(path)
+    try:
+        observed.write.parquet(new)
+    except Exception:
+        files.delete(spark, new)
+        raise
+    files.swap(spark, new, path)
     return int(obs.get["rows"])
 
 
-def partition_path(path: str, batch_date: dt.date | str) -> str:
-    return f"{path.rstrip('/')}/batch_date={as_date(batch_date).isoformat()}"
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table, or None if nothing was ever stored there. Any other fault is raised."""
+    files.recover(spark, path)
+    return spark.read.parquet(path) if files.exists(spark, path) else None
 
 
-def write_batch(df: DataFrame, path: str, batch_date: dt.date | str) -> int:
-    """Replace one batch day (F3: an empty batch clears the day too)."""
-    day = as_date(batch_date)
-    rows = df.where(F.col("batch_date") == F.lit(day)).drop("batch_date")
-    observed, obs = _observed(rows, "batch")
-    observed.write.mode("overwrite").parquet(partition_path(path, day))
-    return int(obs.get["rows"])
+def partition_path(path: str, batch_date: dt.date | str) -> str:
+    return f"{path.rstrip('/')}/batch_date={as_date(batch_date).isoformat()}"
 
 
 def write_batches(df: DataFrame, path: str, days: Iterable[dt.date | str]) -> int:
@@ -61,7 +68,7 @@ def write_batches(df: DataFrame, path: str, days: Iterable[dt.date | str]) -> in
     Days with rows are replaced by dynamic partition overwrite; of the days in ``days`` that
     produced no rows, those the table still holds rows for are cleared afterwards, one empty
     overwrite each (bounded by the number of days, never by the data). Rows outside ``days``
-    are not written.
+    are not written. A table without any rows yet has no files; read it by its declared schema.
     """
     wanted = sorted({as_date(d) for d in days})
     if not wanted:
@@ -87,21 +94,14 @@ def write_batches(df: DataFrame, path: str, days: Iterable[dt.date | str]) -> in
 
 
 def stored_days(spark: SparkSession, path: str, days: Sequence[dt.date]) -> list[dt.date]:
-    """Of ``days`` (days a write produced no rows for), those to clear with an empty overwrite.
+    """Of ``days`` (days a write produced no rows for), those the table at ``path`` still holds rows for.
 
-    Those are the days the table at ``path`` still holds rows for, found in one job pruned to
-    those days; a first load of a range clears nothing. A table with nothing stored yet gets
-    its first such day instead, so it exists with its schema for the stages that read it. At
-    most ``len(days)`` values reach the driver.
+    Found in one job pruned to those days; a first load of a range clears nothing. At most
+    ``len(days)`` values reach the driver.
     """
-    if not days:
-        return []
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:  # nothing stored yet: one empty day gives the table its schema
-        return list(days[:1])
-    if "batch_date" not in stored.columns:
+    if not days or not files.exists(spark, path):
         return []
+    stored = spark.read.schema("batch_date date").parquet(path)
     held = stored.where(F.col("batch_date").isin(*[F.lit(d) for d in days])).select("batch_date").distinct()
     return sorted(as_date(r.batch_date) for r in held.collect())
 
@@ -129,6 +129,33 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataF
     return joined.select(*cols)
 
 
+def delete_days_jdbc(spark: SparkSession, url: str, table: str, days: Sequence[dt.date], properties: dict[str, str] | None = None) -> int:
+    """Delete a fact table's rows of ``days`` before they are appended again; 0 if there is no such table yet.
+
+    One statement in one transaction on the driver, so a rerun replaces its days instead of doubling them.
+    """
+    jvm = spark.sparkContext._jvm
+    options = jvm.java.util.Properties()
+    for key, value in (properties or {}).items():
+        options.setProperty(key, value)
+    if "driver" in (properties or {}):
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(properties["driver"])
+    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
+    connection = jvm.java.sql.DriverManager.getConnection(url, options)
+    try:
+        try:
+            connection.createStatement().executeQuery(dialect.getSchemaQuery(table)).close()
+        except Py4JJavaError:
+            return 0
+        marks = ", ".join("?" for _ in days)
+        statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {dialect.quoteIdentifier('batch_date')} IN ({marks})")
+        for at, day in enumerate(days, 1):
+            statement.setDate(at, jvm.java.sql.Date.valueOf(as_date(day).isoformat()))
+        return statement.executeUpdate()
+    finally:
+        connection.close()
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,

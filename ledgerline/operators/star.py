@@ -1,8 +1,8 @@
 """Gold layer: five dimensions and five facts (G1–G10), projected onto the warehouse contracts.
 
 Joins are declared; Catalyst/AQE pick the strategy. ``dim_region`` is a distinct over
-geography (partial aggregation, so it is small however large the customer table is) and is
-broadcast by AQE when its measured size is under the threshold, with a shuffle join beyond it.
+geography (partial aggregation, so it is small however large the customer table is). Where it is not broadcast,
+orders meet it salted: a city that holds a third of the orders is dealt to ``REGION_SALTS`` tasks.
 ``dim_date`` is generated from the date range, so its size is bounded by the number of days.
 """
 
@@ -75,9 +75,15 @@ def _date_attributes(days: DataFrame) -> DataFrame:
     )
 
 
+REGION_SALTS = 64
+
+
 def fact_orders(orders: DataFrame, regions: DataFrame) -> DataFrame:
     """Orders with their geography's key; unknown geography keeps the order with a NULL key."""
-    joined = orders.join(regions.select("region", "city", "region_key"), ["region", "city"], "left")
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(REGION_SALTS - 1).cast("long"))
+    copies = regions.select("region", "city", "region_key", F.explode(salts).alias("_salt"))
+    salted = orders.withColumn("_salt", F.pmod(F.xxhash64("order_id"), F.lit(REGION_SALTS)))
+    joined = salted.join(copies, ["region", "city", "_salt"], "left")
     return conform(joined.withColumn("order_date", S.date_of("order_timestamp")), GOLD["fact_orders"])
 
 

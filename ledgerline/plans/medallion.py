@@ -1,32 +1,35 @@
 """Batch stages: raw CSV → bronze → silver → gold → warehouse.
 
-Every stage takes a list of batch days, so one day and a backfill range are the same job:
-one scan per table over all the days, one partitioned write, one audit row per day.
+Every stage takes a list of batch days, and a backfill range gives what its days one by one
+give: rows are deduplicated, counted and reconciled within their day. A range is one scan per table
+over all the days, one partitioned write, and one audit row per day and stage.
 
 Layout under ``root`` (shared storage on a cluster):
 
     bronze/<entity>[/batch_date=D]   source text + ingested_at
     silver/<entity>[/batch_date=D]   typed, deduplicated
     gold/<dim_* | fact_*/batch_date=D>
-    _staging/<layer>/<table>         the run's output before it is checked and published
+    _staging/<run>/<table>           one run's output before it is checked and published
     audit/pipeline_run_audit
 
-Reruns are idempotent: master tables are overwritten and daily tables replace exactly the
-days of the run (an empty day clears the day). Silver is staged first and the checks read the
-staged copy (no lineage is recomputed per check); nothing in silver changes unless every
-blocking check passes, and a failure is audited before it is raised.
+Reruns are idempotent: master tables are swapped in whole and daily tables replace exactly the
+days of the run (an empty day clears the day). Silver is staged first, in a folder of its run, and
+the checks read the staged copy (no lineage is recomputed per check); nothing in silver changes unless
+every blocking check passes, and a failure is audited, for each of the days, before it is raised.
+Layer tables are read by their declared schemas, so a table without rows yet is an empty table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from typing import Sequence
+import uuid
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
-from ledgerline.contracts import BATCH_ENTITIES, DIMENSIONS, FACTS, MASTER_ENTITIES
+from ledgerline.contracts import BATCH_ENTITIES, DIMENSIONS, FACTS, MASTER_ENTITIES, SILVER, layer_schema
 from ledgerline.operators import audit as A
 from ledgerline.operators import checks as Q
 from ledgerline.operators import publish as P
@@ -34,6 +37,7 @@ from ledgerline.operators import reports as R
 from ledgerline.operators import star as G
 from ledgerline.operators.clean import clean_entity
 from ledgerline.sources import csv_extract as X
+from ledgerline.sources import files
 from ledgerline.sources.layers import as_date, filter_batches, table_path
 
 NON_BLOCKING = ("orders_duplicates",)
@@ -54,29 +58,28 @@ def day_range(start: dt.date | str, end: dt.date | str) -> list[dt.date]:
     return [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
 
 
+def _read(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
+    return spark.read.schema(layer_schema(layer, table)).parquet(table_path(root, layer, table))
+
+
 def _read_days(spark: SparkSession, root: str, layer: str, table: str, days: list[dt.date]) -> DataFrame:
-    df = spark.read.parquet(table_path(root, layer, table))
+    df = _read(spark, root, layer, table)
     return filter_batches(df, days[0], days[-1]).where(F.col("batch_date").isin(*[F.lit(d) for d in days]))
 
 
-def _audit_per_day(
-    spark: SparkSession, root: str, layer: str, table: str, days: list[dt.date], stage: str, message: str | None = None
-) -> None:
-    """One SUCCESS audit row per day with the rows now stored for that day.
+def _day_counts(spark: SparkSession, root: str, layer: str, table: str, days: list[dt.date]) -> dict[dt.date, int]:
+    """Stored rows of each of ``days`` (0 where there are none), counted from the written files; a row a day."""
+    found = _read_days(spark, root, layer, table, days).groupBy("batch_date").agg(F.count(F.lit(1)).alias("n")).collect()
+    return {d: 0 for d in days} | {r.batch_date: r.n for r in found}
 
-    Counted from the written Parquet (a footer-only count per partition), grouped by day on
-    the executors; days with no rows are audited with 0.
-    """
-    stored = _read_days(spark, root, layer, table, days).groupBy("batch_date").agg(F.count(F.lit(1)).alias("row_count"))
-    wanted = spark.createDataFrame([(d,) for d in days], "batch_date date")
-    rows = wanted.join(stored, "batch_date", "left").select(
-        "batch_date",
-        F.lit(stage).alias("pipeline_stage"),
-        F.lit(A.SUCCESS).alias("status"),
-        F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
-        F.lit(message).cast("string").alias("message"),
-    )
-    A.with_audit_ids(rows).coalesce(1).write.mode("append").parquet(A.audit_path(root))
+
+def _audit_days(
+    spark: SparkSession, root: str, stage: str, counts: Mapping[dt.date, int | None], status: str = A.SUCCESS, message: str | None = None
+) -> None:
+    """One audit row per day, in one append."""
+    rows = [(day, stage, status, n, message) for day, n in sorted(counts.items())]
+    df = spark.createDataFrame(rows, "batch_date date, pipeline_stage string, status string, row_count long, message string")
+    A.with_audit_ids(df).coalesce(1).write.mode("append").parquet(A.audit_path(root))
 
 
 # ---- T1 ---------------------------------------------------------------------------------------
@@ -91,7 +94,7 @@ def to_bronze(spark: SparkSession, raw_root: str, root: str, days) -> dict[str,
     for entity in BATCH_ENTITIES:
         df, malformed = _count_malformed(X.read_batches(spark, raw_root, entity, days))
         written[entity] = P.write_batches(X.with_ingest_time(df), table_path(root, "bronze", entity), days)
-        _audit_per_day(spark, root, "bronze", entity, days, f"bronze_{entity}", _malformed_note(malformed))
+        _audit_days(spark, root, f"bronze_{entity}", _day_counts(spark, root, "bronze", entity, days), message=_malformed_note(malformed))
     return written
 
 
@@ -118,55 +121,49 @@ def to_silver(
 ) -> list:
     """Bronze → staged silver → 13 checks on the staged copy → publish (or audit FAILED + raise)."""
     days = _days(days)
-    bronze = {e: spark.read.parquet(table_path(root, "bronze", e)) for e in MASTER_ENTITIES}
+    bronze = {e: _read(spark, root, "bronze", e) for e in MASTER_ENTITIES}
     bronze.update({e: _read_days(spark, root, "bronze", e, days) for e in BATCH_ENTITIES})
 
     # Orders keep their bronze copy count from the dedupe (staging only), so the duplicate
-    # check is one more fused row check on the staged copy, not a second pass over bronze.
+    # check is one more sum over the staged copy, not a second pass over bronze.
+    run = table_path(root, "_staging", uuid.uuid4().hex)
     staged: dict[str, DataFrame] = {}
-    for entity, df in bronze.items():
-        path = table_path(root, "_staging", f"silver_{entity}")
-        copies = COPIES if entity == "orders" else None
-        P.write_snapshot(clean_entity(df, entity, copies=copies), path)
-        staged[entity] = spark.read.parquet(path)
-
-    results = Q.silver_suite(
-        None, staged["orders"], staged["order_items"], staged["payments"], staged["deliveries"],
-        staged["customers"], staged["products"], pairs=pairs, tolerance=tolerance,
-        include_orders_without_items=include_orders_without_items, copies=COPIES,
-    ).collect()
-    staged["orders"] = staged["orders"].drop(COPIES)
-    results = Q.in_suite_order(results)
-    blocking = [r for r in results if r["check_name"] not in NON_BLOCKING]
     try:
-        Q.raise_for_failed(blocking)
-    except Q.QualityCheckError as exc:
-        A.write_audit(spark, root, days[-1], "silver_transform", A.FAILED, None, str(exc))
-        raise
-
-    for entity in MASTER_ENTITIES:
-        P.write_snapshot(staged[entity], table_path(root, "silver", entity))
-    orders = 0
-    for entity in BATCH_ENTITIES:
-        n = P.write_batches(staged[entity], table_path(root, "silver", entity), days)
-        if entity == "orders":
-            orders = n
-    A.write_audit(spark, root, days[-1], "silver_transform", A.SUCCESS, orders)
+        for entity, df in bronze.items():
+            copies = COPIES if entity == "orders" else None
+            P.write_snapshot(clean_entity(df, entity, copies=copies), f"{run}/{entity}")
+            schema = SILVER[entity] if copies is None else T.StructType([*SILVER[entity].fields, T.StructField(COPIES, T.LongType())])
+            staged[entity] = spark.read.schema(schema).parquet(f"{run}/{entity}")
+
+        results = Q.silver_suite(
+            None, staged["orders"], staged["order_items"], staged["payments"], staged["deliveries"],
+            staged["customers"], staged["products"], pairs=pairs, tolerance=tolerance,
+            include_orders_without_items=include_orders_without_items, copies=COPIES,
+        ).collect()
+        staged["orders"] = staged["orders"].drop(COPIES)
+        results = Q.in_suite_order(results)
+        blocking = [r for r in results if r["check_name"] not in NON_BLOCKING]
+        try:
+            Q.raise_for_failed(blocking)
+        except Q.QualityCheckError as exc:
+            _audit_days(spark, root, "silver_transform", dict.fromkeys(days), A.FAILED, str(exc))
+            raise
+
+        for entity in MASTER_ENTITIES:
+            P.write_snapshot(staged[entity], table_path(root, "silver", entity))
+        for entity in BATCH_ENTITIES:
+            P.write_batches(staged[entity], table_path(root, "silver", entity), days)
+    finally:
+        files.delete(spark, run)
+    _audit_days(spark, root, "silver_transform", _day_counts(spark, root, "silver", "orders", days))
     return results
 
 
 # ---- T3 ---------------------------------------------------------------------------------------
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
 def to_gold(spark: SparkSession, root: str, days) -> dict[str, int]:
     """Silver → five dimensions and five facts; ``dim_date`` gains the run's days by key."""
     days = _days(days)
-    silver = {e: spark.read.parquet(table_path(root, "silver", e)) for e in MASTER_ENTITIES}
+    silver = {e: _read(spark, root, "silver", e) for e in MASTER_ENTITIES}
     silver.update({e: _read_days(spark, root, "silver", e, days) for e in BATCH_ENTITIES})
     star = G.build_star(silver, dim_date=G.dim_date_between(spark, days[0], days[-1]))
 
@@ -176,24 +173,26 @@ def to_gold(spark: SparkSession, root: str, days) -> dict[str, int]:
     # Facts join the dimensions as stored: their Parquet size is exact, so the planner
     # broadcasts a small dimension up front (and shuffles when it is not) instead of
     # shuffling the fact on an estimate and switching strategy afterwards.
-    stored = {n: spark.read.parquet(table_path(root, "gold", n)) for n in ("dim_region", "dim_product")}
+    stored = {n: _read(spark, root, "gold", n) for n in ("dim_region", "dim_product")}
     star["fact_orders"] = G.fact_orders(silver["orders"], stored["dim_region"])
     star["fact_order_items"] = G.fact_order_items(silver["order_items"], stored["dim_product"])
 
     date_path = table_path(root, "gold", "dim_date")
-    current = _existing(spark, date_path)
+    current = P.read_snapshot(spark, date_path)
     dates = star["dim_date"] if current is None else P.replace_by_key(current, star["dim_date"], ["date_key"])
-    staging = table_path(root, "_staging", "gold_dim_date")
-    P.write_snapshot(dates, staging)
-    written["dim_date"] = P.write_snapshot(spark.read.parquet(staging), date_path)
+    written["dim_date"] = P.write_snapshot(dates, date_path)
 
     for name in FACTS:
         written[name] = P.write_batches(star[name], table_path(root, "gold", name), days)
-    if written["fact_orders"] == 0:
-        message = "Data quality checks failed: gold_fact_orders_non_empty(0)"
-        A.write_audit(spark, root, days[-1], "gold_transform", A.FAILED, 0, message)
+    counts = _day_counts(spark, root, "gold", "fact_orders", days)
+    empty = [d for d, n in sorted(counts.items()) if not n]
+    if empty:
+        message = f"Data quality checks failed: gold_fact_orders_non_empty(0) on {', '.join(d.isoformat() for d in empty)}"
+        _audit_days(spark, root, "gold_transform", {d: 0 for d in empty}, A.FAILED, message)
+        if len(empty) < len(days):
+            _audit_days(spark, root, "gold_transform", {d: n for d, n in counts.items() if n})
         raise Q.QualityCheckError(message)
-    A.write_audit(spark, root, days[-1], "gold_transform", A.SUCCESS, written["fact_orders"])
+    _audit_days(spark, root, "gold_transform", counts)
     return written
 
 
@@ -203,29 +202,29 @@ def publish(spark: SparkSession, root: str, target_root: str, days, jdbc: dict |
 
     Dimensions are replaced whole, ``dim_date`` by key, facts by batch day. With ``jdbc``
     (``url``, optional ``properties``) the rows also go to a database: dimensions by
-    truncate-and-load, facts appended (the database side owns deleting a re-run day).
+    truncate-and-load, facts appended after the rows of their days are deleted, so a rerun counts once.
     """
     days = _days(days)
     written: dict[str, int] = {}
     for name in DIMENSIONS:
-        df = spark.read.parquet(table_path(root, "gold", name))
+        df = _read(spark, root, "gold", name)
+        path = table_path(target_root, "gold", name)
         if name == "dim_date":
-            current = _existing(spark, table_path(target_root, "gold", name))
+            current = P.read_snapshot(spark, path)
             keys = [int(d.strftime("%Y%m%d")) for d in days]
             incoming = df.where(F.col("date_key").isin(keys))
             df = incoming if current is None else P.replace_by_key(current, incoming, ["date_key"])
-            staging = table_path(target_root, "_staging", "publish_dim_date")
-            P.write_snapshot(df, staging)
-            df = spark.read.parquet(staging)
-        written[name] = P.write_snapshot(df, table_path(target_root, "gold", name))
+        written[name] = P.write_snapshot(df, path)
         if jdbc:
-            P.write_jdbc(df, jdbc["url"], name, mode="overwrite", properties=jdbc.get("properties"))
+            P.write_jdbc(spark.read.parquet(path), jdbc["url"], name, mode="overwrite", properties=jdbc.get("properties"))
     for name in FACTS:
         df = _read_days(spark, root, "gold", name, days)
         written[name] = P.write_batches(df, table_path(target_root, "gold", name), days)
         if jdbc:
+            P.delete_days_jdbc(spark, jdbc["url"], name, days, jdbc.get("properties"))
             P.write_jdbc(df, jdbc["url"], name, mode="append", properties=jdbc.get("properties"))
-    A.write_audit(spark, root, days[-1], "warehouse_load", A.SUCCESS, None, "Gold datasets published")
+    counts = _day_counts(spark, target_root, "gold", "fact_orders", days)
+    _audit_days(spark, root, "warehouse_load", counts, message="Gold datasets published")
     return written
 
 
@@ -239,7 +238,7 @@ def report(spark: SparkSession, root: str, name: str, days=None) -> DataFrame:
         if table in FACTS and days is not None:
             gold[table] = _read_days(spark, root, "gold", table, _days(days))
         else:
-            gold[table] = spark.read.parquet(table_path(root, "gold", table))
+            gold[table] = _read(spark, root, "gold", table)
     return R.run_report(name, gold)
 
 

@@ -2,15 +2,12 @@
 
 Nothing here is required by the library functions themselves: every function takes a
 ``SparkSession`` or ``DataFrame`` from the caller. ``local_session`` is for tests and the
-benchmark (it also sets a scratch checkpoint folder when none is named); on a cluster the job's
-own session is used and only ``checkpoint_dir`` (which reads ``spark.checkpoint.dir``) and
+benchmark; on a cluster the job's own session is used and only ``checkpoint_dir`` (which reads ``spark.checkpoint.dir``) and
 ``recommended_conf`` matter.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every session running this library should have. AQE re-plans joins from runtime
@@ -48,14 +45,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in RECOMMENDED_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    _scratch_checkpoint_dir(spark)
     return spark
 
 
@@ -73,11 +69,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
 
-
-def _scratch_checkpoint_dir(spark: SparkSession) -> str:
-    """Tests and the local benchmark only: a scratch folder when the session names none."""
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
-    return checkpoint_dir(spark)

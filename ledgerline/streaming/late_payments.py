@@ -40,7 +40,7 @@ def payments_from_events(events: DataFrame) -> DataFrame:
         F.col("event_id").cast("string").alias("payment_id"),
         F.col("user_id").cast("string").alias("customer_id"),
         F.when(F.col("event_type") == "purchase", "captured").otherwise("refunded").alias("payment_status"),
-        F.col("value").cast("decimal(18,2)").alias("payment_amount_mmk"),
+        F.col("value").try_cast("decimal(18,2)").alias("payment_amount_mmk"),
         F.col("ts").alias("paid_at"),
         F.to_date("ts").alias("batch_date"),
     )

@@ -16,6 +16,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("*", shuffle_partitions=8, app="ledgerline-tests")
+    session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-ckpt-"))  # on a cluster: spark.checkpoint.dir
     yield session
     session.stop()
 

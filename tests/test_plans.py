@@ -43,22 +43,33 @@ def test_reports_aggregate_before_dimension_join(spark):
     assert plan.count("partial_sum") >= 2
 
 
-def test_spread_only_narrow_scans(spark, workdir):
-    from ledgerline.sources.spread import spread
-
-    target = spark.sparkContext.defaultParallelism
-    spark.range(1000).coalesce(1).write.parquet(f"{workdir}/narrow")
-    narrow = spark.read.parquet(f"{workdir}/narrow")
-    assert narrow.rdd.getNumPartitions() == 1
-    spread_out = spread(narrow)
-    assert spread_out.rdd.getNumPartitions() == target
-    assert "RoundRobinPartitioning" in _plan(spread_out)
-    assert sorted(r.id for r in spread_out.collect()) == list(range(1000))  # every row kept once
-    wide = spark.range(0, 1000, numPartitions=target + 1)
-    assert spread(wide) is wide  # enough splits already: no exchange added
-
-
-def test_spread_keeps_pruning_and_pushdown(spark):
+def test_orders_meet_regions_and_reports_without_a_shuffle_on_few_keys(spark):
+    """No plan deals the unaggregated fact by (region, city) or by region_key alone."""
+    import re
+
+    for key in ("fact_orders", "report_gmv_by_city", "report_payment_mix"):
+        df = entry.queries()[key](spark, SF_SMALL)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = df._jdf.queryExecution().sparkPlan().toString() + _plan(entry.queries()[key](spark, SF_SMALL))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for line in plan.split("\n"):
+            if m := re.search(r"Exchange hashpartitioning\(([^)]*)\)", line):
+                keys = re.sub(r"#\d+L?", "", m[1]).split(", ")[:-1]
+                below = plan.split(line)[1].split("\n")[1]
+                aggregated = "Aggregate" in below
+                assert keys not in (["region", "city"], ["region_key"]) or aggregated, (key, line, below)
+
+
+def test_quality_report_reads_each_entity_once(spark):
+    plan = _plan(entry.queries()["quality_report"](spark, SF_SMALL))
+    survivors = [x for x in plan.split("\n") if "SortAggregate" in x and "functions=[max(struct" in x or "ObjectHashAggregate" in x and "functions=[max(struct" in x]
+    assert 0 < len(survivors) <= 6, survivors  # one dedupe per entity
+    assert "BroadcastNestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_event_filters_and_pruning_reach_the_scan(spark):
     plan = _plan(entry.queries()["fact_payments"](spark, SF_SMALL))
     assert "PushedFilters: [In(event_type, [error,purchase])]" in plan
     assert "props" not in plan.split("events.parquet")[1].split("\n")[0]  # unused column not read
