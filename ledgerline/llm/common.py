@@ -20,15 +20,14 @@ def scratch_root(spark: SparkSession) -> str:
 
     Only a local master may run without the setting; it then gets a folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = set_dir.get() if set_dir.isDefined() else tempfile.mkdtemp(prefix="ledgerline-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(root)
+        root = tempfile.mkdtemp(prefix="ledgerline-llm-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

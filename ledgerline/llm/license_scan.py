@@ -164,7 +164,10 @@ def train(docs: DataFrame, text_col: str = "text", rows: list[tuple[str, str]] |
     marks = templates(spark, rows).agg(F.array_distinct(F.flatten(F.collect_list("of_template"))).alias("marks")).first()["marks"]  # of the fixed templates
     lines = docs.select(F.explode(F.split(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), "\n")).alias("paragraph"))
     lines = lines.where(F.length("paragraph").between(1, SAMPLED_LENGTH))
-    picked = lines.orderBy(F.xxhash64("paragraph"), "paragraph").limit(2 * max_unknown).distinct().orderBy(F.xxhash64("paragraph")).limit(max_unknown)
+    whole = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    n_lines = docs.agg(F.sum(F.length(whole) - F.length(F.replace(whole, F.lit("\n"))) + 1)).first()[0] or 1
+    place = F.xxhash64("paragraph").bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)  # uniform in [0, 1), equal for equal lines
+    picked = lines.where(place < 2 * max_unknown / n_lines).distinct().orderBy(place, "paragraph").limit(max_unknown)
     picked = picked.select(F.lit(UNKNOWN).alias("family"), word_array(F.col("paragraph")).alias("words")).where(F.size("words") > 0)
     picked = picked.where(~F.arrays_overlap(triples(F.col("words")), F.array(*map(F.lit, marks))))
     examples = known.unionByName(neutral).unionByName(picked).withColumn("label", label)
