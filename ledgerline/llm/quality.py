@@ -184,12 +184,15 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     shares = shares.select("lang", "kind", "item", F.when(F.col("lower") >= 0, F.get("shares", F.col("lower").cast("int"))).otherwise(0.0).alias("share"))
     rows = shares.where(F.when(F.col("kind") == 1, F.col("share") >= COMMON_SHARE).otherwise(True)).collect()
     out: dict[str, Reference] = {}
-    for lang in {r.lang for r in rows}:
-        classes = np.zeros(N_CLASSES)
-        for r in rows:
-            if r.lang == lang and r.kind == 0:
-                classes[int(r.item)] = r.share
-        common = sorted((bytes(r.item), r.share) for r in rows if r.lang == lang and r.kind == 1)
+    by_lang: dict[str, tuple[np.ndarray, list[tuple[bytes, float]]]] = {}
+    for r in rows:
+        classes, common = by_lang.setdefault(r.lang, (np.zeros(N_CLASSES), []))
+        if r.kind == 0:
+            classes[int(r.item)] = r.share
+        else:
+            common.append((bytes(r.item), r.share))
+    for lang, (classes, common) in by_lang.items():
+        common.sort()
         words = np.array([s for _, s in common] + [max(0.0, 1 - sum(s for _, s in common))])
         out[lang] = Reference(classes / (classes.sum() or 1), {w: i for i, (w, _) in enumerate(common)}, words / words.sum())
     return out

@@ -9,8 +9,8 @@ Base kinds (``assign``, ``access``, ``hex``) are always reported. The kind ``own
 an unbroken run of 24 or more credential characters with letters of both cases and digits, without a match of a base kind in it, whose
 string has a single owner. So the method only adds spans.
 
-The scan emits candidates only (document, kind, span, 128-bit hash). Repeated (hash, repository, owner) rows collapse
-map-side before the counts, and the counts return by a join salted by document, so one example key in a third
+The scan emits candidates only (document, kind, span, 128-bit hash). Repeated (hash, repository) and (hash, owner) pairs collapse
+map-side before they are counted, and the counts return by a join salted by document, so one example key in a third
 of all documents is neither one task's work nor one row's.
 
 Null text is empty: no candidates. Null repository or owner is a value of its own. Repeated rows are scanned each; they
@@ -95,14 +95,12 @@ def scan(docs: DataFrame, repository_cols: tuple[str, ...], owner_cols: tuple[st
 
 def ownership(found: DataFrame) -> DataFrame:
     """(secret, n_repositories, n_owners) per hash, from rows (secret, repository, owner)."""
-    held = found.select("secret", "repository", "owner").distinct()
-    per_owner = held.groupBy("secret", "owner").agg(F.count("*").alias("n"))
-    return per_owner.groupBy("secret").agg(F.sum("n").alias("n_holders"), F.count("*").alias("n_owners"))
+    return found.groupBy("secret").agg(F.countDistinct("repository").alias("n_repositories"), F.countDistinct("owner").alias("n_owners"))
 
 
 def report(docs: DataFrame, repository_cols: tuple[str, ...], owner_cols: tuple[str, ...], text_col: str = "text", id_col: str = "doc_id",
            example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, owned_spans, example_spans, n_owned, n_examples, most_owners.
+    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, owned_spans, example_spans, n_owned, n_examples, most_owners, most_repositories.
 
     ``owned_spans`` are the spans of strings with fewer than ``example_owners`` owners, ``example_spans`` the rest.
     """
@@ -114,7 +112,7 @@ def report(docs: DataFrame, repository_cols: tuple[str, ...], owner_cols: tuple[
     span = F.concat_ws(":", F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1), F.col("start"), F.col("end"))
     listed = judged.groupBy("row_id").agg(  # as many as the one document holds
         F.sort_array(F.collect_list(F.struct("start", "kind", span.alias("span"), example.alias("example")))).alias("list"),
-        F.count(F.when(~example, 1)).alias("n_owned"), F.count(F.when(example, 1)).alias("n_examples"), F.max("n_owners").alias("most_owners"))
+        F.count(F.when(~example, 1)).alias("n_owned"), F.count(F.when(example, 1)).alias("n_examples"), F.max("n_owners").alias("most_owners"), F.max("n_repositories").alias("most_repositories"))
     text = lambda keep: F.coalesce(F.array_join(F.transform(F.filter("list", keep), lambda x: x["span"]), ","), F.lit(""))
     out = rows.drop("found", "owner", "repository").join(listed, "row_id", "left")
     return out.select(
@@ -122,5 +120,5 @@ def report(docs: DataFrame, repository_cols: tuple[str, ...], owner_cols: tuple[
         text(lambda x: F.lit(True)).alias("spans"),
         text(lambda x: ~x["example"]).alias("owned_spans"),
         text(lambda x: x["example"]).alias("example_spans"),
-        *[F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in ("n_owned", "n_examples", "most_owners")],
+        *[F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in ("n_owned", "n_examples", "most_owners", "most_repositories")],
     )

@@ -41,7 +41,7 @@ def test_owner_counts_split_examples_from_live_strings(spark):
     by = defaultdict(list)
     for r in made:
         by[r.doc_id].append(r)
-    assert all(by[i][0].example_spans == "access:4:24" and by[i][0].most_owners == 4 and not by[i][0].owned_spans for i in range(120))
+    assert all(by[i][0].example_spans == "access:4:24" and by[i][0].most_owners == 4 and by[i][0].most_repositories == 120 and not by[i][0].owned_spans for i in range(120))
     assert by[500][0].owned_spans == "access:5:27" and by[500][0].spans == "access:5:27"  # the odd string has two owners
     assert by[501][0].owned_spans == "access:0:22" and by[501][0].n_owned == 1
     assert len(by[503]) == 2 and all(r.spans == "" and r.n_assign == 0 for r in by[503])
