@@ -77,7 +77,8 @@ def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str, tag: Callable
 
     A doc_id (null included) that occurs once finds its decision by a join on it. Rows of a doc_id that
     occurs more often are told apart by their tag, which ``tag(rows, column)`` works out again for
-    them alone; rows that share both are repeated rows, of which one stays.
+    them alone; rows that share both are repeated rows, of which one stays. The join of the texts is a merge join at
+    every size.
     """
     key, name = fresh(docs, "key", "tag")
     decided = stored(decided.select(F.col("doc_id").alias(key), F.col("tag").alias(name), "kept"), "decided")
@@ -91,7 +92,7 @@ def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str, tag: Callable
             match = match & (rows[c] == wanted[c])
         return rows.join(wanted, match, "left_semi")
 
-    kept = has(keyed, per_key.where("n = 1").drop("n"))
+    kept = has(keyed, per_key.where("n = 1").drop("n").hint("merge"))
     several = per_key.where("n > 1").drop("n")
     n_several = several.count()
     if n_several:
