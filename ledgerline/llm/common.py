@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -46,6 +47,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_owner: list[str] = []
+_releases: list[Callable[[], object]] = []
+
+
+def on_change_of_owner(release: Callable[[], object]) -> None:
+    """Register what frees an operator's tables in a Python worker."""
+    _releases.append(release)
+
+
+def own_worker(name: str) -> None:
+    """Called by an operator's tasks: a Python worker that last ran another operator frees that one's tables first.
+
+    Workers outlive stages, so the tables of all operators would otherwise add up in each.
+    """
+    if _owner != [name]:
+        for release in _releases:
+            release()
+        gc.collect()
+        _owner[:] = [name]
+
+
 def fresh(df: DataFrame, *bases: str) -> list[str]:
     """For each base a column name that ``df`` doesn't have (names compare without case)."""
     taken = {c.lower() for c in df.columns}

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import keep_decided, salted_join, stored
+from ledgerline.llm.common import keep_decided, own_worker, salted_join, stored
 
 BLANK = b" \t\n\x0b\x0c\r"
 BLOCK_BYTES = 4096
@@ -45,6 +45,7 @@ def _cut(blocks_of: int):
     """Rows (row_id …, places) of documents and (batch_id, place, block) of blocks, in one stream."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("exact_dedup")
         base = TaskContext.get().partitionId() << 33
         row_id = batch_no = 0
         ids, points, shas, places, names, held = [], [], [], [], {}, 0

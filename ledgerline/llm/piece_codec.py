@@ -31,9 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from ledgerline.llm.common import on_change_of_owner, own_worker
+
 SPACE = "▁"  # the space mark of the library
 SEGMENTS_KEPT = 400_000  # segments in each of the two tables whose ids a worker keeps
-PAIRS_KEPT = 2_000_000  # pairs whose compatibility a worker keeps
+PAIRS_KEPT = 500_000  # pairs whose compatibility a worker keeps
 LONGEST_KEPT = 64  # characters of the longest segment that is kept
 
 
@@ -203,12 +205,16 @@ def codec(model_file: str) -> PieceCodec:
     return PieceCodec(model_file)
 
 
+on_change_of_owner(codec.cache_clear)
+
+
 def encode(df: DataFrame, model_file: str, text_col: str = "text", columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``columns`` of ``df`` and ``ids`` (array of int) of every whole text."""
     fields = [f for f in df.select(*[f"`{c}`" for c in columns]).schema.fields]
     schema = df.select(*[f"`{c}`" for c in columns]).schema.add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("piece_codec")
         own = codec(model_file)
         for batch in batches:
             ids = pa.array([own.encode(t.as_py()) for t in batch.column(len(fields))], pa.list_(pa.int32()))
@@ -222,6 +228,7 @@ def decode(df: DataFrame, model_file: str, ids_col: str = "ids", columns: tuple[
     schema = df.select(*[f"`{c}`" for c in columns]).schema.add("text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("piece_codec")
         own = codec(model_file)
         for batch in batches:
             text = pa.array([own.decode(i.as_py() or []) for i in batch.column(batch.num_columns - 1)], pa.string())
@@ -236,6 +243,7 @@ def encode_digests(df: DataFrame, model_file: str, text_col: str = "text", id_co
     schema = schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("piece_codec")
         own = codec(model_file)
         for batch in batches:
             rows = [own.digests(t.as_py()) for t in batch.column(1)]

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import fresh, stored
+from ledgerline.llm.common import fresh, own_worker, stored
 
 FOLDS = 9
 WORD_BYTES = 8
@@ -46,7 +46,7 @@ _BLANK = b" \t\n\x0b\x0c\r"
 _LATER_BYTES = bytes(range(0x80, 0xC0))  # of a character in UTF-8
 _SYMBOLS = b"#*$%&|<>"
 _TRIM = b".,;:!?\"'()"
-_ENTRIES = 400_000  # counts that a task holds before it passes them on
+_ENTRIES = 150_000  # counts that a task holds before it passes them on
 ALL = "\x00all"  # the reference of all documents together
 
 
@@ -136,6 +136,7 @@ class Reference:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, fold, kind, item, n): classes (kind 0), short words (1) and all words (2) of a task."""
+    own_worker("quality")
     held: dict[tuple[str, int, int, bytes], int] = Counter()
 
     def flush() -> pa.RecordBatch:
@@ -229,6 +230,7 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     schema = schema.add("base_failed", "boolean").add("kept", "boolean").add("class_distance", "double").add("word_distance", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("quality")
         for batch in batches:
             rows = [verdict(t.as_py(), lang.as_py(), refs) for lang, t in zip(batch.column(1), batch.column(2), strict=True)]
             columns = [pa.array([r[0][k] for r in rows], pa.int64()) for k in range(5)]
@@ -247,6 +249,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -
 
 def _filter(good: Callable[[bytes, str], bool]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("quality")
         for batch in batches:
             langs, texts = batch.columns[-2:]
             mask = pa.array([good(t.as_py(), lang.as_py()) for lang, t in zip(langs, texts, strict=True)], pa.bool_())

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import salted_join, stored
+from ledgerline.llm.common import own_worker, salted_join, stored
 
 KINDS = ("assign", "access", "hex", "owned")
 #: Owners from which a string counts as a widely copied example.
@@ -66,6 +66,7 @@ _SCAN = "row_id long, doc_id {id}, n_assign long, n_access long, n_hex long, bas
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own_worker("secret_scan")
     row = TaskContext.get().partitionId() << 33
     kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("secret", pa.binary())]))
     for batch in batches:

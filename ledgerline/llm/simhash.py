@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import keep_decided, salted_join, stored
+from ledgerline.llm.common import keep_decided, own_worker, salted_join, stored
 from ledgerline.llm.components import components
 
 PIECE = 1 << 20
@@ -67,6 +67,7 @@ def fingerprints(docs: DataFrame, words: int, text_col: str = "text", id_col: st
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("simhash")
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
@@ -122,6 +123,7 @@ def _link(radius: int, bucket_max: int):
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["path", "key", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("simhash")
         open_at, held, large = None, np.empty(0, np.uint64), False  # the bucket at the end of the last batch
 
         def close() -> Iterator[pa.RecordBatch]:
