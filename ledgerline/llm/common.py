@@ -5,10 +5,13 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows below which a per-key table may be broadcast; callers count the table first.
 BROADCAST_ROWS_MAX = 100_000
@@ -47,6 +50,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def map_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow``, with this package's modules sent along to the Python workers, wherever they run."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        here = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="ledgerline-llm-")).resolve() / "ledgerline_llm.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            out.writestr("ledgerline/__init__.py", "")
+            for module in sorted(here.glob("*.py")):
+                out.write(module, f"ledgerline/llm/{module.name}")
+        context.addPyFile(str(archive))  # Spark serves it to the executors
+        _shipped.add(context.applicationId)
+    return df.mapInArrow(run, schema)
+
+
 _owner: list[str] = []
 _releases: list[Callable[[], object]] = []
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import keep_decided, own_worker, salted_join, stored
+from ledgerline.llm.common import keep_decided, map_batches, own_worker, salted_join, stored
 
 BLANK = b" \t\n\x0b\x0c\r"
 BLOCK_BYTES = 4096
@@ -107,12 +107,11 @@ def identities(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.length(text).alias("n_points"), text.cast("binary").alias("text"))
     schema = _PASS.format(id=source.schema["doc_id"].dataType.simpleString())
-    cut = stored(source.mapInArrow(_cut(block_bytes), schema), "blocks")
+    cut = stored(map_batches(source, _cut(block_bytes), schema), "blocks")
     rows = cut.where("row_id is not null").select("row_id", "batch_id", "doc_id", "n_points", "text_sha256", "places")
     blocks = cut.where("block is not null").select("batch_id", "place", "block")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    names = (blocks.repartition(parts, "block").sortWithinPartitions("block")
-             .mapInArrow(_number_sorted, "batch_id long, place int, name long"))
+    names = map_batches(blocks.repartition(parts, "block").sortWithinPartitions("block"), _number_sorted, "batch_id long, place int, name long")
     cells = (rows.select("row_id", "batch_id", F.size("places").alias("n_blocks"), F.posexplode("places").alias("at", "place"))
              .join(names, ["batch_id", "place"]).select("row_id", "n_blocks", "at", "name"))
     level = stored(cells, "names")

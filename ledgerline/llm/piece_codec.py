@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from ledgerline.llm.common import on_change_of_owner, own_worker
+from ledgerline.llm.common import map_batches, on_change_of_owner, own_worker
 
 SPACE = "▁"  # the space mark of the library
 SEGMENTS_KEPT = 400_000  # segments in each of the two tables whose ids a worker keeps
@@ -220,7 +220,7 @@ def encode(df: DataFrame, model_file: str, text_col: str = "text", columns: tupl
             ids = pa.array([own.encode(t.as_py()) for t in batch.column(len(fields))], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], [*columns, "ids"])
 
-    return df.select(*[f"`{c}`" for c in columns], F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, schema)
+    return map_batches(df.select(*[f"`{c}`" for c in columns], F.col(f"`{text_col}`").cast("string").alias("__text")), run, schema)
 
 
 def decode(df: DataFrame, model_file: str, ids_col: str = "ids", columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -234,7 +234,7 @@ def decode(df: DataFrame, model_file: str, ids_col: str = "ids", columns: tuple[
             text = pa.array([own.decode(i.as_py() or []) for i in batch.column(batch.num_columns - 1)], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], text], [*columns, "text"])
 
-    return df.select(*[f"`{c}`" for c in columns], F.col(f"`{ids_col}`").alias("__ids")).mapInArrow(run, schema)
+    return map_batches(df.select(*[f"`{c}`" for c in columns], F.col(f"`{ids_col}`").alias("__ids")), run, schema)
 
 
 def encode_digests(df: DataFrame, model_file: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -250,4 +250,4 @@ def encode_digests(df: DataFrame, model_file: str, text_col: str = "text", id_co
             found = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *found], schema.names)
 
-    return df.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, schema)
+    return map_batches(df.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").cast("string").alias("__text")), run, schema)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import fresh, own_worker, stored
+from ledgerline.llm.common import fresh, map_batches, own_worker, stored
 
 FOLDS = 9
 WORD_BYTES = 8
@@ -169,7 +169,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, Reference]:
     """References by language, and of all documents under ``ALL``, from every row of ``docs``."""
     lang, text = _inputs(text_col, lang_col)
-    counted = docs.select(lang.alias("lang"), text.alias("text")).mapInArrow(_count, "lang string, fold int, kind int, item binary, n long")
+    counted = map_batches(docs.select(lang.alias("lang"), text.alias("text")), _count, "lang string, fold int, kind int, item binary, n long")
     sums = stored(counted.groupBy("lang", "fold", "kind", "item").agg(F.sum("n").alias("n")), "counts")
     total = sums.where("kind = 2").agg(F.sum("n")).first()[0]
     if not total:
@@ -237,14 +237,14 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
             columns += [pa.array([r[k] for r in rows], kind) for k, kind in ((1, pa.bool_()), (4, pa.bool_()), (2, pa.float64()), (3, pa.float64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema.names)
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns; rows never move."""
     refs = references(docs, text_col, lang_col)
     source = docs.withColumns(dict(zip(fresh(docs, "lang", "text"), _inputs(text_col, lang_col), strict=True)))
-    return source.mapInArrow(_filter(lambda text, lang: verdict(text, lang, refs)[-1]), docs.schema)
+    return map_batches(source, _filter(lambda text, lang: verdict(text, lang, refs)[-1]), docs.schema)
 
 
 def _filter(good: Callable[[bytes, str], bool]):

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import own_worker, salted_join, stored
+from ledgerline.llm.common import map_batches, own_worker, salted_join, stored
 
 KINDS = ("assign", "access", "hex", "owned")
 #: Owners from which a string counts as a widely copied example.
@@ -91,7 +91,7 @@ def scan(docs: DataFrame, repository_cols: tuple[str, ...], owner_cols: tuple[st
     joined = lambda cols: F.to_json(F.array(*[F.col(f"`{c}`").cast("string") for c in cols]))  # noqa: E731  null differs from any text
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), joined(owner_cols).alias("owner"), joined(repository_cols).alias("repository"),
                          F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    return stored(source.mapInArrow(_scan, _SCAN.format(id=source.schema["doc_id"].dataType.simpleString())), "secrets")
+    return stored(map_batches(source, _scan, _SCAN.format(id=source.schema["doc_id"].dataType.simpleString())), "secrets")
 
 
 def ownership(found: DataFrame) -> DataFrame:

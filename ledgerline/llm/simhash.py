@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import keep_decided, own_worker, salted_join, stored
+from ledgerline.llm.common import keep_decided, map_batches, own_worker, salted_join, stored
 from ledgerline.llm.components import components
 
 PIECE = 1 << 20
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, words: int, text_col: str = "text", id_col: st
             fps = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
 
-    return source.mapInArrow(run, source.select("doc_id").schema.add("fp", "long"))
+    return map_batches(source, run, source.select("doc_id").schema.add("fp", "long"))
 
 
 def masks(radius: int, bits: list[int]) -> list[int]:
@@ -177,7 +177,7 @@ def links(fps: DataFrame, radius: int, bucket_max: int = BUCKET_MAX) -> DataFram
     parts, found = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), []
     while True:
         dealt = rows.repartition(parts, "path", "key").sortWithinPartitions("path", "key")
-        step = stored(dealt.mapInArrow(_link(radius, bucket_max), "path long, key long, a long, b long"), "links")
+        step = stored(map_batches(dealt, _link(radius, bucket_max), "path long, key long, a long, b long"), "links")
         found.append(step.where("path = 0").select("a", "b"))
         rows = step.where("path > 0").select("path", "key", F.col("a").alias("fp"))
         if rows.isEmpty():
@@ -227,7 +227,7 @@ def keep_smallest(docs: DataFrame, words: int, radius: int, text_col: str = "tex
                 fps = pa.array([f"{fingerprint(t.as_py(), words):016x}" for t in batch.column(batch.num_columns - 1)], pa.string())
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], fps], schema.names)
 
-        return source.mapInArrow(run, schema)
+        return map_batches(source, run, schema)
 
     decided = near_groups(docs, words, radius, text_col, id_col)
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("first_fp"))

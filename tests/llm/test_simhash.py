@@ -36,7 +36,7 @@ def spread(n, seed):
 
 @pytest.mark.parametrize("bucket_max", [1, 5, 8192])
 def test_components_equal_all_pairs(spark, bucket_max):
-    fps = spread(400, 5)
+    fps = spread(150, 5)
     signed = [simhash._signed(f) for f in fps]
     df = spark.createDataFrame([(f,) for f in set(signed)], "fp long")
     found = simhash.links(df, 3, bucket_max)
