@@ -166,9 +166,6 @@ DIMENSIONS = ("dim_customer", "dim_seller", "dim_product", "dim_region", "dim_da
 FACTS = ("fact_orders", "fact_order_items", "fact_payments", "fact_inventory_snapshot",
          "fact_delivery_performance")
 
-CHECK_RESULT = schema("check_name string, passed boolean, failed_rows long, message string")
-
-
 def layer_schema(layer: str, table: str) -> T.StructType:
     """Declared schema of a stored table: a table without files yet reads as empty."""
     if layer == "bronze":

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.contracts import BATCH_ENTITIES, DIMENSIONS, FACTS, MASTER_ENTITIES, SILVER, layer_schema
+from ledgerline.contracts import BATCH_ENTITIES, DIMENSIONS, FACTS, MASTER_ENTITIES, SILVER
 from ledgerline.operators import audit as A
 from ledgerline.operators import checks as Q
 from ledgerline.operators import publish as P
@@ -38,7 +38,7 @@ from ledgerline.operators import star as G
 from ledgerline.operators.clean import clean_entity
 from ledgerline.sources import csv_extract as X
 from ledgerline.sources import files
-from ledgerline.sources.layers import as_date, filter_batches, table_path
+from ledgerline.sources.layers import as_date, filter_batches, scan, table_path
 
 NON_BLOCKING = ("orders_duplicates",)
 COPIES = "_copies"  # staged orders only: bronze rows per order_id
@@ -58,12 +58,8 @@ def day_range(start: dt.date | str, end: dt.date | str) -> list[dt.date]:
     return [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
 
 
-def _read(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    return spark.read.schema(layer_schema(layer, table)).parquet(table_path(root, layer, table))
-
-
 def _read_days(spark: SparkSession, root: str, layer: str, table: str, days: list[dt.date]) -> DataFrame:
-    df = _read(spark, root, layer, table)
+    df = scan(spark, root, layer, table)
     return filter_batches(df, days[0], days[-1]).where(F.col("batch_date").isin(*[F.lit(d) for d in days]))
 
 
@@ -121,7 +117,7 @@ def to_silver(
 ) -> list:
     """Bronze → staged silver → 13 checks on the staged copy → publish (or audit FAILED + raise)."""
     days = _days(days)
-    bronze = {e: _read(spark, root, "bronze", e) for e in MASTER_ENTITIES}
+    bronze = {e: scan(spark, root, "bronze", e) for e in MASTER_ENTITIES}
     bronze.update({e: _read_days(spark, root, "bronze", e, days) for e in BATCH_ENTITIES})
 
     # Orders keep their bronze copy count from the dedupe (staging only), so the duplicate
@@ -163,7 +159,7 @@ def to_silver(
 def to_gold(spark: SparkSession, root: str, days) -> dict[str, int]:
     """Silver → five dimensions and five facts; ``dim_date`` gains the run's days by key."""
     days = _days(days)
-    silver = {e: _read(spark, root, "silver", e) for e in MASTER_ENTITIES}
+    silver = {e: scan(spark, root, "silver", e) for e in MASTER_ENTITIES}
     silver.update({e: _read_days(spark, root, "silver", e, days) for e in BATCH_ENTITIES})
     star = G.build_star(silver, dim_date=G.dim_date_between(spark, days[0], days[-1]))
 
@@ -173,7 +169,7 @@ def to_gold(spark: SparkSession, root: str, days) -> dict[str, int]:
     # Facts join the dimensions as stored: their Parquet size is exact, so the planner
     # broadcasts a small dimension up front (and shuffles when it is not) instead of
     # shuffling the fact on an estimate and switching strategy afterwards.
-    stored = {n: _read(spark, root, "gold", n) for n in ("dim_region", "dim_product")}
+    stored = {n: scan(spark, root, "gold", n) for n in ("dim_region", "dim_product")}
     star["fact_orders"] = G.fact_orders(silver["orders"], stored["dim_region"])
     star["fact_order_items"] = G.fact_order_items(silver["order_items"], stored["dim_product"])
 
@@ -207,7 +203,7 @@ def publish(spark: SparkSession, root: str, target_root: str, days, jdbc: dict |
     days = _days(days)
     written: dict[str, int] = {}
     for name in DIMENSIONS:
-        df = _read(spark, root, "gold", name)
+        df = scan(spark, root, "gold", name)
         path = table_path(target_root, "gold", name)
         if name == "dim_date":
             current = P.read_snapshot(spark, path)
@@ -238,7 +234,7 @@ def report(spark: SparkSession, root: str, name: str, days=None) -> DataFrame:
         if table in FACTS and days is not None:
             gold[table] = _read_days(spark, root, "gold", table, _days(days))
         else:
-            gold[table] = _read(spark, root, "gold", table)
+            gold[table] = scan(spark, root, "gold", table)
     return R.run_report(name, gold)
 
 

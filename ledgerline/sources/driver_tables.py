@@ -157,7 +157,9 @@ def _lines_with_order(spark: SparkSession, sf_dir: str, geo: bool) -> DataFrame:
     lines = read_table(spark, sf_dir, "lineitem")
     o = _orders_geo(spark, sf_dir) if geo else read_table(spark, sf_dir, "orders")
     cols = ["o_orderkey", "o_orderdate"] + (["n_name", "r_name"] if geo else [])
-    return lines.join(o.select(*cols), lines.l_orderkey == o.o_orderkey, "left")
+    # lines and orders are both facts: a merge join at every size. Its exchange also deals the lines to all
+    # tasks before their text is rendered, however few files hold them.
+    return lines.join(o.select(*cols).hint("merge"), lines.l_orderkey == o.o_orderkey, "left")
 
 
 def _line_id(l: Column, n: Column) -> Column:

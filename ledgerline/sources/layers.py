@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.contracts import BATCH_ENTITIES, FACTS
+from ledgerline.contracts import BATCH_ENTITIES, FACTS, layer_schema
 
 PARTITIONED = set(BATCH_ENTITIES) | set(FACTS)
 LAYERS = ("bronze", "silver", "gold", "_staging", "audit")
@@ -41,8 +41,6 @@ def filter_batches(df: DataFrame, start: dt.date | str, end: dt.date | str, colu
 
 
 def scan(spark: SparkSession, root: str, layer: str, table: str, batch_date: dt.date | str | None = None) -> DataFrame:
-    """Read a layer table; daily tables are filtered to ``batch_date`` when one is given."""
-    df = spark.read.parquet(table_path(root, layer, table))
-    if table in PARTITIONED:
-        df = filter_batch(df, batch_date)
-    return df
+    """Read a layer table by its declared schema, so one without rows yet is empty; daily tables are filtered to ``batch_date`` if given."""
+    df = spark.read.schema(layer_schema(layer, table)).parquet(table_path(root, layer, table))
+    return filter_batch(df, batch_date) if table in PARTITIONED else df

@@ -17,6 +17,7 @@ from ledgerline.operators.checks import QualityCheckError
 from ledgerline.plans import medallion as M
 from ledgerline.sources import csv_extract as X
 from ledgerline.sources import files
+from ledgerline.sources.layers import scan
 from tests import fixtures as FX
 
 D1, D2, D3 = "2024-03-01", "2024-03-02", "2024-03-03"
@@ -211,7 +212,7 @@ def test_tables_without_any_rows_are_empty_tables(spark, workdir):
     FX.write_drop(raw)
     FX.write_day(raw, D2, FX.day2_orders(), FX.day2_items())  # no payments, deliveries or stock
     M.run_batch(spark, raw, root, D2)
-    assert M._read(spark, root, "gold", "fact_payments").count() == 0
+    assert scan(spark, root, "gold", "fact_payments").count() == 0
     assert M.report(spark, root, "report_delivery").count() == 0
 
 
@@ -224,7 +225,7 @@ def test_publishing_a_day_twice_to_a_database_counts_once(spark, workdir):
         M.publish(spark, root, f"{workdir}/wh", days, jdbc=jdbc)
     read = lambda t: spark.read.format("jdbc").options(url=jdbc["url"], dbtable=t, **jdbc["properties"]).load()
     for name in FACTS:
-        assert read(name).count() == M._read(spark, root, "gold", name).count(), name
+        assert read(name).count() == scan(spark, root, "gold", name).count(), name
 
 
 def _money(*values):
