@@ -22,7 +22,6 @@ import datetime as dt
 import uuid
 from typing import Iterable, Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,9 +142,9 @@ def delete_days_jdbc(spark: SparkSession, url: str, table: str, days: Sequence[d
     dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
     connection = jvm.java.sql.DriverManager.getConnection(url, options)
     try:
-        try:
-            connection.createStatement().executeQuery(dialect.getSchemaQuery(table)).close()
-        except Py4JJavaError:
+        schema, _, name = table.rpartition(".")
+        found = (connection.getMetaData().getTables(connection.getCatalog(), form(schema) or None, form(name), None) for form in (str, str.upper, str.lower))
+        if not any(names.next() for names in found):  # databases fold the case of unquoted names either way
             return 0
         marks = ", ".join("?" for _ in days)
         statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {dialect.quoteIdentifier('batch_date')} IN ({marks})")
