@@ -46,7 +46,7 @@ _BLANK = b" \t\n\x0b\x0c\r"
 _LATER_BYTES = bytes(range(0x80, 0xC0))  # of a character in UTF-8
 _SYMBOLS = b"#*$%&|<>"
 _TRIM = b".,;:!?\"'()"
-_ENTRIES = 150_000  # counts that a task holds before it passes them on
+_ENTRIES = 300_000  # counts that a task holds before it passes them on
 ALL = "\x00all"  # the reference of all documents together
 
 
@@ -137,33 +137,38 @@ class Reference:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, fold, kind, item, n): classes (kind 0), short words (1) and all words (2) of a task."""
     own_worker("quality")
-    held: dict[tuple[str, int, int, bytes], int] = Counter()
-
-    def flush() -> pa.RecordBatch:
-        langs, folds, kinds, items = zip(*held, strict=True)
-        out = pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(folds, pa.int32()), pa.array(kinds, pa.int32()), pa.array(items, pa.binary()), pa.array(held.values(), pa.int64())],
-            ["lang", "fold", "kind", "item", "n"])
+    held: dict[tuple[str, int], list] = {}  # by language and fold: class counts, counts of short words, all words
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for (lang, fold), (classes, short, total) in held.items():
+            kinds = [0] * N_CLASSES + [2] + [1] * len(short)
+            items = [b"%d" % c for c in range(N_CLASSES)] + [b""] + list(short)
+            n = len(items)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * n, pa.string()), pa.array([fold] * n, pa.int32()), pa.array(kinds, pa.int32()), pa.array(items, pa.binary()),
+                 pa.array([*classes.astype(np.int64).tolist(), total, *short.values()], pa.int64())],
+                ["lang", "fold", "kind", "item", "n"])
         held.clear()
-        return out
 
+    entries = 0
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1), strict=True):
             lang, text = lang.as_py(), text.as_py()
             words = text.split()
             if not words:
                 continue
-            fold = xxhash.xxh64_intdigest(text) % FOLDS
-            for cls, n in enumerate(class_counts(text)):
-                held[lang, fold, 0, b"%d" % cls] += int(n)
-            held[lang, fold, 2, b""] += len(words)
+            group = held.setdefault((lang, xxhash.xxh64_intdigest(text) % FOLDS), [np.zeros(N_CLASSES), {}, 0])
+            group[0] += class_counts(text)
+            group[2] += len(words)
+            short, before = group[1], len(group[1])
             for word, n in word_counts(words).items():
                 if len(word) <= WORD_BYTES:
-                    held[lang, fold, 1, word] += n
-            if len(held) >= _ENTRIES:
-                yield flush()
-    if held:
-        yield flush()
+                    short[word] = short.get(word, 0) + n
+            entries += len(short) - before
+            if entries >= _ENTRIES:
+                yield from flush()
+                entries = 0
+    yield from flush()
 
 
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, Reference]:
