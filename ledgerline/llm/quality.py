@@ -8,9 +8,10 @@ for short texts; texts of fewer than ``MIN_WORDS`` words are not judged. Documen
 over 20 % of the words in five-word windows found more than once.
 
 A reference is robust to copies: documents fall into ``FOLDS`` folds by a hash of the text, so all copies of a
-text fall into one, and each share is the median of the folds. Languages with under
-``LANGUAGE_SHARE`` of all words, and null, take the reference of all documents together. So at most
-1,000 references of at most 8 classes and 500 words reach the driver, whatever the input.
+text fall into one, and each share is the median of the folds. Every language with ``REFERENCE_WORDS`` words in
+``REFERENCE_FOLDS`` folds has one. Those of languages with ``LANGUAGE_SHARE`` of all words (so at most 1,000, of at most 8 classes
+and 500 words a fold) go along with the job; the others stay a table that meets the documents of such languages in a salted join.
+Documents without a language, or of one with fewer words, are not held against other languages: base rules alone judge them.
 
 Null text has no words. Repeated rows are judged alike. An empty table gives an empty result. Very long texts
 need memory in proportion to the text. Further columns play no part in ``judge`` and stay in
@@ -29,12 +30,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import fresh, map_batches, own_worker, stored
+from ledgerline.llm.common import BROADCAST_ROWS_MAX, fresh, map_batches, own_worker, salted_join, stored
 
 FOLDS = 9
 WORD_BYTES = 8
 COMMON_SHARE = 0.002
 LANGUAGE_SHARE = 0.001
+#: Least words of a language, and folds with its documents, for a reference of its own.
+REFERENCE_WORDS, REFERENCE_FOLDS = 2_000, 5
 MIN_WORDS = 50
 #: Limits of the two distances: at length infinity, and what is added times 1 / sqrt(words).
 CLASS_LIMIT, CLASS_WIDER = 0.22, 0.7
@@ -171,37 +174,72 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, Reference]:
-    """References by language, and of all documents under ``ALL``, from every row of ``docs``."""
+_ENTRY = "array<struct<kind:int,item:binary,share:double>>"
+
+
+def _reference(entries: list[tuple[int, bytes, float]]) -> Reference:
+    classes, common = np.zeros(N_CLASSES), sorted((item, share) for kind, item, share in entries if kind == 1)
+    for kind, item, share in entries:
+        if kind == 0:
+            classes[int(item)] = share
+    words = np.array([s for _, s in common] + [max(0.0, 1 - sum(s for _, s in common))])
+    return Reference(classes / (classes.sum() or 1), {w: i for i, (w, _) in enumerate(common)}, words / words.sum())
+
+
+def _meet(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Join with a row per key, broadcast if few, which is counted."""
+    return left.join(F.broadcast(right), keys) if right.count() <= BROADCAST_ROWS_MAX else salted_join(left, right, keys, "item")
+
+
+def _medians(shares: DataFrame, folds: DataFrame) -> DataFrame:
+    """(lang, kind, item, share): the median of the folds that have documents. Absent folds are zeros, and so may be shares under
+    ``COMMON_SHARE``: they don't change a median of at least that."""
+    shares = shares.groupBy("lang", "kind", "item").agg(F.sort_array(F.collect_list("share")).alias("shares"))  # FOLDS values at most
+    shares = _meet(shares, folds, ["lang"]).withColumn("lower", F.expr("folds div 2 - (folds - size(shares))"))
+    shares = shares.select("lang", "kind", "item", F.when(F.col("lower") >= 0, F.get("shares", F.col("lower").cast("int"))).otherwise(0.0).alias("share"))
+    return shares.where((F.col("kind") == 0) | (F.col("share") >= COMMON_SHARE))
+
+
+def _shares(counts: DataFrame) -> DataFrame:
+    """(lang, fold, kind, item, share): all shares of classes, and those of words from ``COMMON_SHARE``."""
+    of = counts.where("kind <> 1").groupBy("lang", "fold", F.when(F.col("kind") == 0, 0).otherwise(1).alias("kind")).agg(F.sum("n").alias("of"))
+    shares = _meet(counts.where("kind < 2"), of, ["lang", "fold", "kind"]).select("lang", "fold", "kind", "item", (F.col("n") / F.col("of")).alias("share"))
+    return shares.where((F.col("kind") == 0) | (F.col("share") >= COMMON_SHARE))
+
+
+def _measure(docs: DataFrame, text_col: str, lang_col: str) -> tuple[dict[str, Reference], DataFrame | None]:
+    """The references that go along with the job, and a table (lang, entries) of all others, None if there are none."""
     lang, text = _inputs(text_col, lang_col)
     counted = map_batches(docs.select(lang.alias("lang"), text.alias("text")), _count, "lang string, fold int, kind int, item binary, n long")
     sums = stored(counted.groupBy("lang", "fold", "kind", "item").agg(F.sum("n").alias("n")), "counts")
     total = sums.where("kind = 2").agg(F.sum("n")).first()[0]
     if not total:
-        return {}
-    large = sums.where("kind = 2").groupBy("lang").agg(F.sum("n").alias("words")).where(F.col("words") >= LANGUAGE_SHARE * total).where("lang <> ''")
-    named = sums.join(F.broadcast(large.select("lang")), "lang")  # at most 1 / LANGUAGE_SHARE languages
-    both = named.unionByName(sums.groupBy("fold", "kind", "item").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(ALL)))
-    fold_sums = both.where("kind <> 1").groupBy("lang", "fold", F.when(F.col("kind") == 0, 0).otherwise(1).alias("kind")).agg(F.sum("n").alias("of"))
-    shares = (both.where("kind < 2").join(F.broadcast(fold_sums), ["lang", "fold", "kind"])
-              .groupBy("lang", "kind", "item").agg(F.sort_array(F.collect_list(F.col("n") / F.col("of"))).alias("shares")))  # FOLDS values at most
-    folds = F.broadcast(fold_sums.groupBy("lang", "kind").agg(F.count("*").alias("folds")))  # folds that have documents
-    shares = shares.join(folds, ["lang", "kind"]).withColumn("lower", F.expr("folds div 2 - (folds - size(shares))"))  # absent folds are zeros
-    shares = shares.select("lang", "kind", "item", F.when(F.col("lower") >= 0, F.get("shares", F.col("lower").cast("int"))).otherwise(0.0).alias("share"))
-    rows = shares.where(F.when(F.col("kind") == 1, F.col("share") >= COMMON_SHARE).otherwise(True)).collect()
-    out: dict[str, Reference] = {}
-    by_lang: dict[str, tuple[np.ndarray, list[tuple[bytes, float]]]] = {}
-    for r in rows:
-        classes, common = by_lang.setdefault(r.lang, (np.zeros(N_CLASSES), []))
-        if r.kind == 0:
-            classes[int(r.item)] = r.share
-        else:
-            common.append((bytes(r.item), r.share))
-    for lang, (classes, common) in by_lang.items():
-        common.sort()
-        words = np.array([s for _, s in common] + [max(0.0, 1 - sum(s for _, s in common))])
-        out[lang] = Reference(classes / (classes.sum() or 1), {w: i for i, (w, _) in enumerate(common)}, words / words.sum())
-    return out
+        return {}, None
+    shares = stored(_shares(sums), "shares")
+    languages = sums.where("kind = 2").groupBy("lang").agg(F.sum("n").alias("words"), F.count("*").alias("folds"))
+    languages = stored(languages.where((F.col("words") >= REFERENCE_WORDS) & (F.col("folds") >= REFERENCE_FOLDS) & (F.col("lang") != "")), "languages")
+    # a word common in a fold of all documents is common there in some language
+    common = shares.where("kind = 1").select("kind", "item").distinct().unionByName(sums.sparkSession.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.lit(i).alias("item")) for k, i in [(2, b""), *[(0, b"%d" % c) for c in range(N_CLASSES)]]])).alias("x")).select("x.*"))
+    whole = _meet(sums, stored(common, "common"), ["kind", "item"]).groupBy("fold", "kind", "item").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(ALL))
+    whole = stored(whole, "whole")
+    all_folds = whole.where("kind = 2").groupBy("lang").agg(F.count("*").alias("folds"))
+    named = stored(_medians(shares, languages), "references")
+    large = languages.where(F.col("words") >= LANGUAGE_SHARE * total).select("lang")  # at most 1 / LANGUAGE_SHARE languages
+    by_lang: dict[str, list[tuple[int, bytes, float]]] = {}
+    for r in named.join(F.broadcast(large), "lang").unionByName(_medians(_shares(whole), all_folds)).collect():
+        by_lang.setdefault(r.lang, []).append((r.kind, bytes(r.item), r.share))
+    shipped = {name: _reference(entries) for name, entries in by_lang.items()}
+    rest = languages.where(F.col("words") < LANGUAGE_SHARE * total).select("lang")
+    if rest.isEmpty():
+        return shipped, None
+    entries = _meet(named, rest, ["lang"]).groupBy("lang").agg(F.collect_list(F.struct("kind", "item", "share")).cast(_ENTRY).alias("entries"))
+    return shipped, stored(entries, "rare-references")  # as many entries a language as COMMON_SHARE allows
+
+
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, Reference]:
+    """References of the languages with ``LANGUAGE_SHARE`` of all words, and of all documents under ``ALL``, from every row of ``docs``."""
+    return _measure(docs, text_col, lang_col)[0]
 
 
 def _inputs(text_col: str, lang_col: str) -> tuple[Column, Column]:
@@ -209,23 +247,50 @@ def _inputs(text_col: str, lang_col: str) -> tuple[Column, Column]:
     return F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
 
 
-def verdict(text: bytes, lang: str, refs: dict[str, Reference]) -> tuple[tuple[int, int, int, int, int], bool, float | None, float | None, bool]:
-    """The five base figures, base_failed, the two distances (null if not judged), kept."""
+def verdict(text: bytes, lang: str, refs: dict[str, Reference], own: Reference | None = None) -> tuple[tuple[int, int, int, int, int], bool, float | None, float | None, bool]:
+    """The five base figures, base_failed, the two distances (null if not judged), kept. ``own``: the language's reference if not in ``refs``."""
     figures = base(text)
     failed = figures[0] < LEAST_WORDS or 100 * figures[4] > REPEAT_PERCENT * figures[0]
-    if figures[0] < MIN_WORDS or not refs:
+    own = own or refs.get(lang)
+    if figures[0] < MIN_WORDS or own is None:
         return figures, failed, None, None, not failed
     wide, near, by_class, by_word = figures[0] ** -0.5, False, None, None
-    for ref in (refs.get(lang), refs[ALL]):  # a wrong language mark alone is no fault
-        if ref is not None and not near:
+    for ref in (own, refs[ALL]):  # a wrong language mark alone is no fault
+        if not near:
             by_class, by_word = ref.distances(text, text.split())
             near = by_class <= CLASS_LIMIT + CLASS_WIDER * wide and by_word <= WORD_LIMIT + WORD_WIDER * wide
     return figures, failed, by_class, by_word, near and not failed
 
 
+def _judged(source: DataFrame, refs: tuple[dict[str, Reference], DataFrame | None], run: Callable, schema) -> DataFrame:
+    """``run`` on the batches of ``source``, whose last columns are language and text; a third gives the entries of a language's
+    reference if it doesn't go along with the job. Then only rows of such languages move, split by text."""
+    lang, text = source.columns[-2:]
+    (own,) = fresh(source, "entries")
+    direct = source.withColumn(own, F.lit(None).cast(_ENTRY))
+    shipped, rare = refs
+    if rare is not None:
+        here = F.col(f"`{lang}`").isin("", *[name for name in shipped if name != ALL])
+        found = salted_join(source.where(~here), rare.toDF(lang, own), [lang], text, "left")
+        direct = direct.where(here).unionByName(found.select(*[F.col(f"`{c}`") for c in direct.columns]))
+    return map_batches(direct, run, schema)
+
+
+def _verdicts(batch: pa.RecordBatch, refs: dict[str, Reference]) -> Iterator[tuple]:
+    """Verdicts of a batch from ``_judged``."""
+    last, own = None, None
+    for k, (lang, text) in enumerate(zip(*batch.columns[-3:-1], strict=True)):
+        lang = lang.as_py()
+        if lang != last:
+            entries = batch.column(batch.num_columns - 1)[k].as_py()
+            last, own = lang, entries and _reference([(e["kind"], e["item"], e["share"]) for e in entries])
+        yield verdict(text.as_py(), lang, refs, own)
+
+
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> DataFrame:
     """Per row: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, class_distance, word_distance."""
-    refs = references(docs, text_col, lang_col)
+    refs = _measure(docs, text_col, lang_col)
+    shipped = refs[0]
     lang, text = _inputs(text_col, lang_col)
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), lang.alias("lang"), text.alias("text"))
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -237,27 +302,26 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_worker("quality")
         for batch in batches:
-            rows = [verdict(t.as_py(), lang.as_py(), refs) for lang, t in zip(batch.column(1), batch.column(2), strict=True)]
+            rows = list(_verdicts(batch, shipped))
             columns = [pa.array([r[0][k] for r in rows], pa.int64()) for k in range(5)]
             columns += [pa.array([r[k] for r in rows], kind) for k, kind in ((1, pa.bool_()), (4, pa.bool_()), (2, pa.float64()), (3, pa.float64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema.names)
 
-    return map_batches(source, run, schema)
+    return _judged(source, refs, run, schema)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns; rows never move."""
-    refs = references(docs, text_col, lang_col)
+    """The rows of ``docs`` that the rules keep, with all their columns; rows of languages whose reference goes along never move."""
+    refs = _measure(docs, text_col, lang_col)
     source = docs.withColumns(dict(zip(fresh(docs, "lang", "text"), _inputs(text_col, lang_col), strict=True)))
-    return map_batches(source, _filter(lambda text, lang: verdict(text, lang, refs)[-1]), docs.schema)
+    return _judged(source, refs, _filter(refs[0]), docs.schema)
 
 
-def _filter(good: Callable[[bytes, str], bool]):
+def _filter(refs: dict[str, Reference]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_worker("quality")
         for batch in batches:
-            langs, texts = batch.columns[-2:]
-            mask = pa.array([good(t.as_py(), lang.as_py()) for lang, t in zip(langs, texts, strict=True)], pa.bool_())
-            yield batch.select(range(batch.num_columns - 2)).filter(mask)
+            mask = pa.array([v[-1] for v in _verdicts(batch, refs)], pa.bool_())
+            yield batch.select(range(batch.num_columns - 3)).filter(mask)
 
     return run

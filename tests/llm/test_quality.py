@@ -120,3 +120,32 @@ def test_nulls_repeated_rows_clashing_columns_and_empty_tables(spark):
     kept = quality.keep_good(df)
     assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == rows[-1:]
     assert quality.judge(df.limit(0)).count() == 0 and quality.keep_good(df.limit(0)).count() == 0
+
+
+def texts_of(words, n, seed, length=60):
+    """Texts of 35 % common words, the others from 2,000 made ones."""
+    rnd = random.Random(seed)
+    made = ["".join(rnd.choices(words[0], k=rnd.randint(4, 9))) for _ in range(2000)]
+    pool = made + rnd.choices(words[1], k=len(made) * 35 // 65)
+    return [" ".join(rnd.choices(pool, k=length)) for _ in range(n)]
+
+
+LATIN = ("abcdefghilmnoprstu", ["the", "of", "and", "to", "in", "is", "for", "that"])
+CYRILLIC = ("абвгдеиклмнопрсту", ["и", "в", "не", "на", "что", "он", "как", "это"])
+
+
+@pytest.mark.parametrize("broadcast_max", [0, 100000])
+def test_clean_texts_stay_whatever_else_the_table_holds(spark, monkeypatch, broadcast_max):
+    monkeypatch.setattr(quality, "BROADCAST_ROWS_MAX", broadcast_max)
+    rare, null, junk = texts_of(CYRILLIC, 50, 1), texts_of(CYRILLIC, 50, 2), [" | ".join(f"X{i}{j} #{i * j}" for j in range(60)) for i in range(5)]
+    groups = {"en": texts_of(LATIN, 1200, 3, 4000), "ru": rare + junk, None: null, "xx": texts_of(CYRILLIC, 2, 4)}
+    rows = [(f"{lang}{i}", t, lang) for lang, texts in groups.items() for i, t in enumerate(texts)]
+    assert sum(len(t.split()) for t in groups["ru"]) < quality.LANGUAGE_SHARE * sum(len(t.split()) for _, t, _ in rows)
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string").repartition(8)
+    made = {r.doc_id: r for r in quality.judge(df).collect()}
+    assert len(made) == len(rows)
+    assert all(made[f"ru{i}"].kept and made[f"ru{i}"].class_distance is not None for i in range(50))
+    assert not any(made[f"ru{i}"].kept for i in range(50, 55))
+    assert all(made[f"None{i}"].kept for i in range(50)) and made["xx0"].kept and made["xx1"].kept
+    kept = quality.keep_good(df)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {k for k, r in made.items() if r.kept}
