@@ -1,7 +1,7 @@
 """Quality rules by distribution divergence.
 
 Each language (column ``lang``) has two references worked out from all documents: the shares of character
-classes, and the shares of its common words (words of at most ``WORD_BYTES`` bytes that make up at least
+classes, and the shares of its common words (words of any length that make up at least
 ``COMMON_SHARE`` of its words; all others share one bin). A document fails if the Jensen-Shannon distance (base 2) of its own
 histograms to those of its language, and to those of all documents together, passes a limit that widens
 for short texts; texts of fewer than ``MIN_WORDS`` words are not judged. Documents also fail by the base rules: fewer than 10 words, or
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import BROADCAST_ROWS_MAX, fresh, map_batches, own_worker, salted_join, stored
 
 FOLDS = 9
-WORD_BYTES = 8
+WORD_BYTES = float("inf")  # longest word that is counted: any
 COMMON_SHARE = 0.002
 LANGUAGE_SHARE = 0.001
 #: Least words of a language, and folds with its documents, for a reference of its own.
@@ -49,7 +49,7 @@ _BLANK = b" \t\n\x0b\x0c\r"
 _LATER_BYTES = bytes(range(0x80, 0xC0))  # of a character in UTF-8
 _SYMBOLS = b"#*$%&|<>"
 _TRIM = b".,;:!?\"'()"
-_ENTRIES = 300_000  # counts that a task holds before it passes them on
+_ENTRIES, _BYTES = 300_000, 16 << 20  # counts, and bytes of their words, that a task holds before it passes them on
 ALL = "\x00all"  # the reference of all documents together
 
 
@@ -138,22 +138,22 @@ class Reference:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, fold, kind, item, n): classes (kind 0), short words (1) and all words (2) of a task."""
+    """(lang, fold, kind, item, n): classes (kind 0), each word (1) and all words (2) of a task."""
     own_worker("quality")
-    held: dict[tuple[str, int], list] = {}  # by language and fold: class counts, counts of short words, all words
+    held: dict[tuple[str, int], list] = {}  # by language and fold: class counts, counts by word, all words
 
     def flush() -> Iterator[pa.RecordBatch]:
-        for (lang, fold), (classes, short, total) in held.items():
-            kinds = [0] * N_CLASSES + [2] + [1] * len(short)
-            items = [b"%d" % c for c in range(N_CLASSES)] + [b""] + list(short)
+        for (lang, fold), (classes, each, total) in held.items():
+            kinds = [0] * N_CLASSES + [2] + [1] * len(each)
+            items = [b"%d" % c for c in range(N_CLASSES)] + [b""] + list(each)
             n = len(items)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * n, pa.string()), pa.array([fold] * n, pa.int32()), pa.array(kinds, pa.int32()), pa.array(items, pa.binary()),
-                 pa.array([*classes.astype(np.int64).tolist(), total, *short.values()], pa.int64())],
+                 pa.array([*classes.astype(np.int64).tolist(), total, *each.values()], pa.int64())],
                 ["lang", "fold", "kind", "item", "n"])
         held.clear()
 
-    entries = 0
+    entries = size = 0
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1), strict=True):
             lang, text = lang.as_py(), text.as_py()
@@ -163,14 +163,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             group = held.setdefault((lang, xxhash.xxh64_intdigest(text) % FOLDS), [np.zeros(N_CLASSES), {}, 0])
             group[0] += class_counts(text)
             group[2] += len(words)
-            short, before = group[1], len(group[1])
+            each = group[1]
             for word, n in word_counts(words).items():
-                if len(word) <= WORD_BYTES:
-                    short[word] = short.get(word, 0) + n
-            entries += len(short) - before
-            if entries >= _ENTRIES:
+                if word not in each:
+                    each[word] = 0
+                    entries += 1
+                    size += len(word)
+                each[word] += n
+            if entries >= _ENTRIES or size >= _BYTES:
                 yield from flush()
-                entries = 0
+                entries = size = 0
     yield from flush()
 
 

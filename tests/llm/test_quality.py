@@ -149,3 +149,29 @@ def test_clean_texts_stay_whatever_else_the_table_holds(spark, monkeypatch, broa
     assert all(made[f"None{i}"].kept for i in range(50)) and made["xx0"].kept and made["xx1"].kept
     kept = quality.keep_good(df)
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {k for k, r in made.items() if r.kept}
+
+
+@pytest.mark.parametrize("alphabet, word", [("абвгдеиклмнопрсту", "который"), ("가나다라마바사아자차카타파하", "그러나"), ("abcdefghilmnoprstu", "nevertheless")])
+def test_common_words_of_any_length_and_script_are_counted(spark, alphabet, word):
+    assert len(word.encode()) > 8
+    texts = texts_of((alphabet, [word, word[:2]]), 60, 7)
+    made = quality.references(spark.createDataFrame([(t, "xx") for t in texts], "text string, lang string").repartition(4))
+    want = brute_references([(t, "xx") for t in texts])
+    for name in ("xx", quality.ALL):
+        assert set(made[name].places) == set(want[name][1])
+        assert made[name].words[made[name].places[word.encode()]] > 0.1
+
+
+def test_counts_are_passed_on_by_number_and_by_bytes(spark, monkeypatch):
+    import pyarrow as pa
+
+    texts = [b"a" * 50 + b" %d word" % i for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 40), pa.array(texts, pa.binary())], ["lang", "text"])
+    for entries, size in ((10, 1 << 30), (1 << 30, 200)):
+        monkeypatch.setattr(quality, "_ENTRIES", entries)
+        monkeypatch.setattr(quality, "_BYTES", size)
+        out = list(quality._count(iter([batch])))
+        sums = Counter()
+        for r in pa.Table.from_batches(out).to_pylist():
+            sums[r["kind"], r["item"]] += r["n"]
+        assert len(out) > 9 and sums[1, b"word"] == sums[1, b"a" * 50] == 40 and sums[2, b""] == 120
