@@ -41,11 +41,9 @@ HOST_RULES = [
 
 
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels of pages: the rows of labels with the page's id; bad if toxic or of low quality."""
-    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
-    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
-    labelled = pages.select("page_id", "url").join(labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")), "page_id")
-    return url_rules.judge(pages, labelled.select("url", "bad"), HOST_RULES)
+    """Labels: the verdicts of the given rules on the pages' own URLs."""
+    pages = table(spark, sf_dir, "pages")
+    return url_rules.judge(pages, url_rules.labels_of(pages, HOST_RULES), HOST_RULES)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,9 @@ confidence pass the limits, and if no rule on all but one of the tokens is as co
 each rule is listed under its rarest token, a URL looks up its own tokens, and the few rules found are checked
 in full. A URL that a rule fits is blocked, by the most confident one.
 
+``labels_of`` takes the labels from the URLs themselves: the verdicts of the given rules, so what these block on some hosts is
+mined and then also found on hosts that no given rule names. Support is a number of labelled rows, the same in a table of any size.
+
 Given rules on (host, path prefix) go first: a rule fits its host and all subdomains if the path starts
 with the rule's, the longest one decides, and only URLs without one go to the mined rules.
 
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import BROADCAST_ROWS_MAX, salted_join, stored
 
-MIN_SUPPORT = 0.01
+MIN_SUPPORT = 5  # bad rows; below 1 a share of all labelled rows
 MIN_CONFIDENCE = 0.8
 BAD = "label=bad"  # no token has this prefix
 
@@ -81,14 +84,23 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(scheme, F.transform(labels, lambda x: F.concat(F.lit("host="), x)), suffixes, segments, keys))
 
 
+def labels_of(pages: DataFrame, rules: list[HostRule], url_col: str = "url") -> DataFrame:
+    """(url, bad) of the distinct URLs that one of the given rules fits; bad if it blocks."""
+    urls = pages.select(F.col(f"`{url_col}`").cast("string").alias("url"))
+    verdict = host_rule(host(F.col("url")), path(F.col("url")), rules)["verdict"]
+    return urls.select("url", (verdict == "block").alias("bad")).where("bad is not null").distinct()
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules (rule_id, items, anchor, confidence, support) from rows (url, bad: boolean); null labels are left out."""
     items = labelled.where(F.col("url").isNotNull() & F.col("bad").isNotNull()).select(tokens(F.col("url")).alias("tokens"), "bad")
     items = stored(items.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items")), "transactions")
     none = "rule_id string, items array<string>, anchor string, confidence double, support double"
-    if items.isEmpty():
+    n = items.count()
+    if not n:
         return labelled.sparkSession.createDataFrame([], none)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    share = min_support if min_support < 1 else min(1.0, (min_support - 0.5) / n)  # rounded up to whole rows by FPGrowth
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(items)
     found = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select(F.array_sort("antecedent").alias("items"), "confidence", "support")
     found = stored(found, "mined")
     frequency = model.freqItemsets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("anchor"), "freq")

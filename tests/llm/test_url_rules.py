@@ -96,3 +96,23 @@ def test_query(spark):
         rule, verdict = brute_rule(host, path)
         r = made[p.page_id]
         assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict or ("block" if r.mined_rule else "allow"))
+
+
+def test_rules_mined_from_a_few_urls_of_a_large_table_reach_other_hosts(spark):
+    rules = [url_rules.HostRule(*r) for r in RULES]
+    rows = [f"http://h{i % 7}.some.org/read/{i}" for i in range(900)]
+    rows += [f"http://h{i % 3}.example.org/es/{i}" for i in range(6)] + ["http://one.example.org/en/1?odd=1"] * 40  # one URL
+    rows += ["https://other.net/es/1", "https://other.net/read/1", "https://other.net/?odd=1"]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    labels = url_rules.labels_of(pages, rules)
+    assert (labels.count(), labels.where("bad").count()) == (907, 7)
+    mined = {tuple(r["items"]) for r in url_rules.mine(labels).collect()}
+    assert ("path=es",) in mined and not any("odd" in t for r in mined for t in r)
+    made = {r.page_id: r.verdict for r in url_rules.judge(pages, labels, rules).collect()}
+    assert [made[len(rows) - k] for k in (3, 2, 1)] == ["block", "allow", "allow"]
+
+
+def test_query_mines_rules_that_block_pages_without_a_given_rule(spark):
+    made = queries.op4_url_rules(spark, "/root/testdata/sf0.1")
+    blocked = made.where("rule is null and verdict = 'block'")
+    assert blocked.count() and not blocked.where("mined_rule is null").count()
