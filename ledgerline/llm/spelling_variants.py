@@ -8,7 +8,7 @@ the letter counts by 1 (lengths that differ by one) or 2 (equal lengths). Words
 ``CLASSES`` classes (code point modulo the number of classes). An edit leads to the same block (a letter replaced within its class) or to an
 adjacent one, so a word is dealt to its own block and, as a guest, to the blocks that adding a letter or moving one between two classes leads to, once for
 each pair of blocks. A block's members and guests are cut into tiles of at most ``TILE`` words, so a hot block is many cells; in a cell NumPy
-multiplies the count matrices, which gives all squared distances at once, and the pairs at most two apart have their edit verified. No pair is lost and none is found twice.
+multiplies the count matrices, which gives all squared distances at once, and the pairs at most two apart have their edit verified, after a look at hashes of their halves. No pair is lost and none is found twice.
 
 ``variants`` gives each word its near words and form: the near word of largest count (ties: smallest in code-point order) if that
 is ``FACTOR`` times the word's own; and the root that following forms leads to, by as many joins as counts can grow.
@@ -80,11 +80,18 @@ def _counted(held: Counter[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
 
 
+#: Code points of letters, all under 256, and each one's column in a matrix of counts.
+_LETTERS = np.array([*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100)])
+_COLUMN = np.zeros(256, np.int64)
+_COLUMN[_LETTERS] = np.arange(len(_LETTERS))
+
+
 def _counts(words: list[str]) -> np.ndarray:
-    """Letter counts, a row a word; columns are code points under 256, which all letters have."""
+    """Letter counts, a row a word."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    letters = np.frombuffer("".join(words).encode("latin-1"), np.uint8)
-    return np.bincount(np.repeat(np.arange(len(words)) * 256, lengths) + letters, minlength=256 * len(words)).reshape(-1, 256)
+    letters = _COLUMN[np.frombuffer("".join(words).encode("latin-1"), np.uint8)]
+    width = len(_LETTERS)
+    return np.bincount(np.repeat(np.arange(len(words)) * width, lengths) + letters, minlength=width * len(words)).reshape(-1, width)
 
 
 def _deal(classes: int):
@@ -94,7 +101,7 @@ def _deal(classes: int):
         for batch in batches:
             for part in (batch.slice(at, 4096) for at in range(0, batch.num_rows, 4096)):
                 words, counts = part.column(0), _counts(part.column(0).to_pylist())
-                own = np.stack([counts[:, k::classes].sum(axis=1) for k in range(classes)], axis=1).astype(">u4")
+                own = np.stack([counts[:, _LETTERS % classes == k].sum(axis=1) for k in range(classes)], axis=1).astype(">u4")
                 more = [(k, None) for k in range(classes)] + [(j, k) for k in range(classes) for j in range(k + 1, classes)]
                 for up, down in [(None, None), *more]:
                     block, rows = own.copy(), part
@@ -156,10 +163,15 @@ def gram_pairs(left: list[str], right: list[str]) -> Iterator[tuple[int, int]]:
     # (-2a, |a|^2, 1) times (b, 1, |b|^2) is the squared distance
     a = np.hstack([-2 * a, (a * a).sum(axis=1, keepdims=True), np.ones((len(a), 1), kind)])
     b = np.ascontiguousarray(np.hstack([b, np.ones((len(b), 1), kind), (b * b).sum(axis=1, keepdims=True)]).T)
+    # an edit lies before or behind a cut, so one edit apart either the texts before it or those behind it are equal
+    least = min(map(len, [*left, *right]))
+    ends = [[np.fromiter((hash(w[:least // 2]) for w in side), np.int64, len(side)), np.fromiter((hash(w[least // 2 - least :]) for w in side), np.int64, len(side))] for side in (left, right)]
     step = max(1, _PRODUCT // len(right))
     for at in range(0, len(left), step):
-        for k in np.flatnonzero((a[at : at + step] @ b).ravel() <= 2).tolist():
-            i, j = at + k // len(right), k % len(right)
+        rows, cols = np.divmod(np.flatnonzero((a[at : at + step] @ b).ravel() <= 2), len(right))
+        rows += at
+        likely = (ends[0][0][rows] == ends[1][0][cols]) | (ends[0][1][rows] == ends[1][1][cols])
+        for i, j in zip(rows[likely].tolist(), cols[likely].tolist(), strict=True):
             if one_edit(left[i], right[j]):
                 yield i, j
 
