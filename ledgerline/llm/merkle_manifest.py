@@ -61,7 +61,8 @@ def leaves(docs: DataFrame, group_col: str, id_col: str, fields: tuple[str, ...]
     changed = leaf_digest(tamper(own)) if tamper else F.lit(None).cast("binary")
     group = F.coalesce(F.concat(F.lit("+"), F.col(f"`{group_col}`").cast("string")), F.lit(""))
     slim = docs.select(group.alias("group"), F.col(f"`{id_col}`").alias("id"), leaf_digest(own).alias("digest"), changed.alias("changed"))
-    return positions(slim, ["group"], [F.col("id"), F.col("digest")], {"at": F.lit(1)}, "leaves")
+    hashed = stored(slim, "hashed")  # the range partitioning reads its input twice; texts are hashed once
+    return positions(hashed, ["group"], [F.col("id"), F.col("digest")], {"at": F.lit(1)}, "leaves")
 
 
 def _runs(nodes: DataFrame, kind: str, level: int, fan: int, sizes: DataFrame | None, more: list[str]) -> DataFrame:
