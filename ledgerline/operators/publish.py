@@ -128,33 +128,6 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataF
     return joined.select(*cols)
 
 
-def delete_days_jdbc(spark: SparkSession, url: str, table: str, days: Sequence[dt.date], properties: dict[str, str] | None = None) -> int:
-    """Delete a fact table's rows of ``days`` before they are appended again; 0 if there is no such table yet.
-
-    One statement in one transaction on the driver, so a rerun replaces its days instead of doubling them.
-    """
-    jvm = spark.sparkContext._jvm
-    options = jvm.java.util.Properties()
-    for key, value in (properties or {}).items():
-        options.setProperty(key, value)
-    if "driver" in (properties or {}):
-        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(properties["driver"])
-    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
-    connection = jvm.java.sql.DriverManager.getConnection(url, options)
-    try:
-        schema, _, name = table.rpartition(".")
-        found = (connection.getMetaData().getTables(connection.getCatalog(), form(schema) or None, form(name), None) for form in (str, str.upper, str.lower))
-        if not any(names.next() for names in found):  # databases fold the case of unquoted names either way
-            return 0
-        marks = ", ".join("?" for _ in days)
-        statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {dialect.quoteIdentifier('batch_date')} IN ({marks})")
-        for at, day in enumerate(days, 1):
-            statement.setDate(at, jvm.java.sql.Date.valueOf(as_date(day).isoformat()))
-        return statement.executeUpdate()
-    finally:
-        connection.close()
-
-
 def write_jdbc(
     df: DataFrame,
     url: str,
@@ -163,11 +136,13 @@ def write_jdbc(
     properties: dict[str, str] | None = None,
     num_partitions: int = 8,
     batch_size: int = 10000,
+    column_types: str | None = None,
 ) -> None:
     """Write to a database table over JDBC (K5); the URL and credentials come from the caller.
 
     ``numPartitions`` bounds the number of concurrent connections (Spark coalesces to it) and
-    ``batchsize`` the rows per insert round trip.
+    ``batchsize`` the rows per insert round trip. ``column_types`` are those of a table that the write
+    makes. A load that replaces rows goes through ``warehouse.load``.
     """
     writer = (
         df.write.format("jdbc")
@@ -179,6 +154,8 @@ def write_jdbc(
     )
     if mode == "overwrite":
         writer = writer.option("truncate", "true")
+    if column_types:
+        writer = writer.option("createTableColumnTypes", column_types)
     for key, value in (properties or {}).items():
         writer = writer.option(key, value)
     writer.save()

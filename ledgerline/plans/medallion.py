@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from typing import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,11 +37,13 @@ from ledgerline.operators import checks as Q
 from ledgerline.operators import publish as P
 from ledgerline.operators import reports as R
 from ledgerline.operators import star as G
+from ledgerline.operators import warehouse as W
 from ledgerline.operators.clean import clean_entity
 from ledgerline.sources import csv_extract as X
 from ledgerline.sources import files
 from ledgerline.sources.layers import as_date, filter_batches, scan, table_path
 
+_MESSAGE = W.TEXT_LENGTHS["message"]
 NON_BLOCKING = ("orders_duplicates",)
 COPIES = "_copies"  # staged orders only: bronze rows per order_id
 
@@ -70,43 +74,85 @@ def _day_counts(spark: SparkSession, root: str, layer: str, table: str, days: li
 
 
 def _audit_days(
-    spark: SparkSession, root: str, stage: str, counts: Mapping[dt.date, int | None], status: str = A.SUCCESS, message: str | None = None
+    spark: SparkSession, root: str, stage: str, counts: Mapping[dt.date, int | None], status: str = A.SUCCESS, message: str | Mapping[dt.date, str | None] | None = None
 ) -> None:
-    """One audit row per day, in one append."""
-    rows = [(day, stage, status, n, message) for day, n in sorted(counts.items())]
-    df = spark.createDataFrame(rows, "batch_date date, pipeline_stage string, status string, row_count long, message string")
-    A.with_audit_ids(df).coalesce(1).write.mode("append").parquet(A.audit_path(root))
+    """One audit row per day, in one append. ``message`` is one for all days, or a mapping."""
+    _append_audit(root, _audit_rows(spark, stage, counts, status, message))
+
+
+def _append_audit(root: str, rows: DataFrame) -> None:
+    rows.coalesce(1).write.mode("append").parquet(A.audit_path(root))
+
+
+def _audit_rows(
+    spark: SparkSession, stage: str, counts: Mapping[dt.date, int | None], status: str = A.SUCCESS, message: str | Mapping[dt.date, str | None] | None = None
+) -> DataFrame:
+    note = message if isinstance(message, Mapping) else dict.fromkeys(counts, message)
+    rows = [(day, stage, status, n, note.get(day)) for day, n in sorted(counts.items())]
+    return A.with_audit_ids(spark.createDataFrame(rows, "batch_date date, pipeline_stage string, status string, row_count long, message string"))
+
+
+@contextmanager
+def _audited(spark: SparkSession, root: str, stage: str, days: list[dt.date]) -> Iterator[None]:
+    """Audit any failure of a stage, a row a day, before it is raised; failed checks have their own rows."""
+    try:
+        yield
+    except Q.QualityCheckError:
+        raise
+    except Exception as exc:
+        _audit_days(spark, root, stage, dict.fromkeys(days), A.FAILED, f"{type(exc).__name__}: {exc}".split("\n")[0][:_MESSAGE])
+        raise
+
+
+def _audits(stage: str) -> Callable:
+    """Decorator of a stage (spark, root, days, …) with ``_audited``."""
+
+    def wrap(run: Callable) -> Callable:
+        @wraps(run)
+        def audited(spark: SparkSession, root: str, days, *args, **options):
+            with _audited(spark, root, stage, _days(days)):
+                return run(spark, root, days, *args, **options)
+
+        return audited
+
+    return wrap
 
 
 # ---- T1 ---------------------------------------------------------------------------------------
 def to_bronze(spark: SparkSession, raw_root: str, root: str, days) -> dict[str, int]:
-    """Raw CSV → bronze. Master snapshots are overwritten; daily files replace their days."""
+    """Raw CSV → bronze. Master snapshots are overwritten and count for each day; daily files replace their days."""
     days = _days(days)
     written: dict[str, int] = {}
     for entity in MASTER_ENTITIES:
-        df, malformed = _count_malformed(X.read_master(spark, raw_root, entity))
-        written[entity] = P.write_snapshot(X.with_ingest_time(df), table_path(root, "bronze", entity))
-        A.write_audit(spark, root, days[-1], f"bronze_{entity}", A.SUCCESS, written[entity], _malformed_note(malformed))
+        with _audited(spark, root, f"bronze_{entity}", days):
+            df, malformed = _count_malformed(X.read_master(spark, raw_root, entity), None)
+            written[entity] = P.write_snapshot(X.with_ingest_time(df), table_path(root, "bronze", entity))
+            _audit_days(spark, root, f"bronze_{entity}", dict.fromkeys(days, written[entity]), message=_malformed_note(malformed.get["malformed"]))
     for entity in BATCH_ENTITIES:
-        df, malformed = _count_malformed(X.read_batches(spark, raw_root, entity, days))
-        written[entity] = P.write_batches(X.with_ingest_time(df), table_path(root, "bronze", entity), days)
-        _audit_days(spark, root, f"bronze_{entity}", _day_counts(spark, root, "bronze", entity, days), message=_malformed_note(malformed))
+        with _audited(spark, root, f"bronze_{entity}", days):
+            df, malformed = _count_malformed(X.read_batches(spark, raw_root, entity, days), days)
+            written[entity] = P.write_batches(X.with_ingest_time(df), table_path(root, "bronze", entity), days)
+            found = malformed.get
+            notes = {d: _malformed_note(found.get(d.isoformat())) for d in days}
+            _audit_days(spark, root, f"bronze_{entity}", _day_counts(spark, root, "bronze", entity, days), message=notes)
     return written
 
 
-def _count_malformed(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows whose field count didn't fit the header while they are written (no extra pass)."""
+def _count_malformed(df: DataFrame, days: list[dt.date] | None) -> tuple[DataFrame, Observation]:
+    """Count rows whose field count didn't fit the header while they are written (no extra pass), each day's if there are days."""
     obs = Observation("malformed")
-    bad = F.sum(F.when(F.col(X.CORRUPT).isNotNull(), 1).otherwise(0)).alias("malformed")
-    return df.observe(obs, bad).drop(X.CORRUPT), obs
+    bad = F.col(X.CORRUPT).isNotNull()
+    of = {"malformed": bad} if days is None else {d.isoformat(): bad & (F.col("batch_date") == F.lit(d)) for d in days}
+    counts = [F.sum(F.when(which, 1).otherwise(0)).alias(name) for name, which in of.items()]
+    return df.observe(obs, *counts).drop(X.CORRUPT), obs
 
 
-def _malformed_note(obs: Observation) -> str | None:
-    n = obs.get.get("malformed") or 0
+def _malformed_note(n: int | None) -> str | None:
     return f"malformed_rows={n}" if n else None
 
 
 # ---- T2 ---------------------------------------------------------------------------------------
+@_audits("silver_transform")
 def to_silver(
     spark: SparkSession,
     root: str,
@@ -156,12 +202,14 @@ def to_silver(
 
 
 # ---- T3 ---------------------------------------------------------------------------------------
+@_audits("gold_transform")
 def to_gold(spark: SparkSession, root: str, days) -> dict[str, int]:
     """Silver → five dimensions and five facts; ``dim_date`` gains the run's days by key."""
     days = _days(days)
     silver = {e: scan(spark, root, "silver", e) for e in MASTER_ENTITIES}
     silver.update({e: _read_days(spark, root, "silver", e, days) for e in BATCH_ENTITIES})
-    star = G.build_star(silver, dim_date=G.dim_date_between(spark, days[0], days[-1]))
+    dates = G.dim_date_between(spark, days[0], days[-1]).where(F.col("calendar_date").isin(*[F.lit(d) for d in days]))
+    star = G.build_star(silver, dim_date=dates)
 
     written: dict[str, int] = {}
     for name in ("dim_customer", "dim_seller", "dim_product", "dim_region"):
@@ -193,34 +241,42 @@ def to_gold(spark: SparkSession, root: str, days) -> dict[str, int]:
 
 
 # ---- T4 ---------------------------------------------------------------------------------------
-def publish(spark: SparkSession, root: str, target_root: str, days, jdbc: dict | None = None) -> dict[str, int]:
+def publish(spark: SparkSession, root: str, target_root: str, days, jdbc: W.Target | dict | None = None) -> dict[str, int]:
     """Gold → serving copy with replace semantics per table kind (K4/K6).
 
     Dimensions are replaced whole, ``dim_date`` by key, facts by batch day. With ``jdbc``
-    (``url``, optional ``properties``) the rows also go to a database: dimensions by
-    truncate-and-load, facts appended after the rows of their days are deleted, so a rerun counts once.
+    (a ``warehouse.Target``, or its fields: ``url``, ``schema``, ``properties``, …) the same rows and the run's audit rows also go to a
+    database, all tables in one transaction.
     """
     days = _days(days)
-    written: dict[str, int] = {}
-    for name in DIMENSIONS:
-        df = scan(spark, root, "gold", name)
-        path = table_path(target_root, "gold", name)
-        if name == "dim_date":
-            current = P.read_snapshot(spark, path)
-            keys = [int(d.strftime("%Y%m%d")) for d in days]
-            incoming = df.where(F.col("date_key").isin(keys))
-            df = incoming if current is None else P.replace_by_key(current, incoming, ["date_key"])
-        written[name] = P.write_snapshot(df, path)
-        if jdbc:
-            P.write_jdbc(spark.read.parquet(path), jdbc["url"], name, mode="overwrite", properties=jdbc.get("properties"))
-    for name in FACTS:
-        df = _read_days(spark, root, "gold", name, days)
-        written[name] = P.write_batches(df, table_path(target_root, "gold", name), days)
+    with _audited(spark, root, "warehouse_load", days):
+        written: dict[str, int] = {}
+        keys = [int(d.strftime("%Y%m%d")) for d in days]
+        loads: list[W.Load] = []
+        for name in DIMENSIONS:
+            df = scan(spark, root, "gold", name)
+            path = table_path(target_root, "gold", name)
+            replace = W.Replace(all=True)
+            if name == "dim_date":
+                current = P.read_snapshot(spark, path)
+                incoming = df.where(F.col("date_key").isin(keys))
+                df, replace = incoming, W.Replace("date_key", keys)
+                if current is not None:
+                    df = P.replace_by_key(current, incoming, ["date_key"])
+                loads.append(W.Load(name, incoming, replace))
+            else:
+                loads.append(W.Load(name, df, replace))
+            written[name] = P.write_snapshot(df, path)
+        for name in FACTS:
+            df = _read_days(spark, root, "gold", name, days)
+            loads.append(W.Load(name, df, W.Replace("batch_date", days)))
+            written[name] = P.write_batches(df, table_path(target_root, "gold", name), days)
+        counts = _day_counts(spark, target_root, "gold", "fact_orders", days)
+        done = _audit_rows(spark, "warehouse_load", counts, message="Gold datasets published").collect()  # a row a day
+        audit = spark.createDataFrame(done, A.AUDIT)
         if jdbc:
-            P.delete_days_jdbc(spark, jdbc["url"], name, days, jdbc.get("properties"))
-            P.write_jdbc(df, jdbc["url"], name, mode="append", properties=jdbc.get("properties"))
-    counts = _day_counts(spark, target_root, "gold", "fact_orders", days)
-    _audit_days(spark, root, "warehouse_load", counts, message="Gold datasets published")
+            W.load(spark, W.target_of(jdbc), [*loads, W.Load("pipeline_run_audit", audit, W.Replace())])
+        _append_audit(root, audit)
     return written
 
 
@@ -239,16 +295,18 @@ def report(spark: SparkSession, root: str, name: str, days=None) -> DataFrame:
 
 
 # ---- T5 / T6 ----------------------------------------------------------------------------------
-def run_batch(spark: SparkSession, raw_root: str, root: str, days, target_root: str | None = None, **silver_options) -> None:
-    """All stages in order for one day or a list of days, on one session."""
+def run_batch(spark: SparkSession, raw_root: str, root: str, days, target_root: str | None = None, jdbc: W.Target | dict | None = None, **silver_options) -> None:
+    """All stages in order for one day or a list of days, on one session; the last with ``target_root``, into a database too with ``jdbc``."""
     days = _days(days)
+    if jdbc and not target_root:
+        raise ValueError("jdbc loads the rows published to target_root")
     to_bronze(spark, raw_root, root, days)
     to_silver(spark, root, days, **silver_options)
     to_gold(spark, root, days)
     if target_root:
-        publish(spark, root, target_root, days)
+        publish(spark, root, target_root, days, jdbc)
 
 
-def run_range(spark: SparkSession, raw_root: str, root: str, start, end, target_root: str | None = None, **silver_options) -> None:
+def run_range(spark: SparkSession, raw_root: str, root: str, start, end, target_root: str | None = None, jdbc: W.Target | dict | None = None, **silver_options) -> None:
     """Backfill: every day in [start, end] as one job per stage."""
-    run_batch(spark, raw_root, root, day_range(start, end), target_root, **silver_options)
+    run_batch(spark, raw_root, root, day_range(start, end), target_root, jdbc, **silver_options)

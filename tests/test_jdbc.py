@@ -1,28 +1,21 @@
-"""JDBC sink (K5) against an in-process Derby database (no server, no port)."""
+"""JDBC sink (K5): the options of a write, recorded. No database is opened."""
 
-import datetime as dt
-from decimal import Decimal as D
+from pyspark.sql import DataFrameWriter
 
 from ledgerline.operators.publish import write_jdbc
 
-URL = "jdbc:derby:memory:ledgerline_wh;create=true"
-PROPS = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 
-
-def _read(spark, table):
-    return spark.read.format("jdbc").option("url", URL).option("dbtable", table).options(**PROPS).load()
-
-
-def test_jdbc_truncate_load_and_append(spark):
-    dim = spark.createDataFrame([(1, "Yangon Region", "Yangon")], "region_key long, region string, city string")
-    write_jdbc(dim, URL, "dim_region", mode="overwrite", properties=PROPS)
-    write_jdbc(dim, URL, "dim_region", mode="overwrite", properties=PROPS)
-    assert _read(spark, "dim_region").count() == 1  # truncate and load: a rerun doesn't duplicate
-
-    fact = spark.createDataFrame(
-        [("O1", D("10.50"), dt.date(2024, 3, 1)), ("O2", D("3.25"), dt.date(2024, 3, 1))],
-        "order_id string, order_total_mmk decimal(18,2), batch_date date",
-    )
-    write_jdbc(fact, URL, "fact_orders", mode="append", properties=PROPS, num_partitions=2, batch_size=1)
-    back = _read(spark, "fact_orders")
-    assert sorted((r[0], r[1]) for r in back.select("order_id", "order_total_mmk").collect()) == [("O1", D("10.50")), ("O2", D("3.25"))]
+def test_options_of_a_write(spark, monkeypatch):
+    seen = []
+    for name in ("format", "mode"):
+        monkeypatch.setattr(DataFrameWriter, name, lambda self, value, name=name: seen.append((name, value)) or self)
+    monkeypatch.setattr(DataFrameWriter, "option", lambda self, key, value: seen.append((key, value)) or self)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: seen.append(("save", None)))
+    df = spark.createDataFrame([(1, "Yangon Region")], "region_key long, region string")
+    write_jdbc(df, "jdbc:x:y", "analytics.dim_region", mode="overwrite", properties={"user": "u", "driver": "d"}, num_partitions=3, batch_size=7, column_types="region VARCHAR(9)")
+    got = dict(seen)
+    assert got == {"format": "jdbc", "mode": "overwrite", "url": "jdbc:x:y", "dbtable": "analytics.dim_region", "numPartitions": "3", "batchsize": "7", "truncate": "true",
+                   "createTableColumnTypes": "region VARCHAR(9)", "user": "u", "driver": "d", "save": None}
+    seen.clear()
+    write_jdbc(df, "jdbc:x:y", "dim_region")
+    assert "truncate" not in dict(seen) and dict(seen)["mode"] == "append" and seen[-1] == ("save", None)

@@ -216,16 +216,34 @@ def test_tables_without_any_rows_are_empty_tables(spark, workdir):
     assert M.report(spark, root, "report_delivery").count() == 0
 
 
-def test_publishing_a_day_twice_to_a_database_counts_once(spark, workdir):
+def test_a_malformed_row_is_noted_on_its_day_alone(spark, workdir):
     raw, root = f"{workdir}/raw", f"{workdir}/lake"
     FX.write_drop(raw)
-    M.run_batch(spark, raw, root, [D1, D2])
-    jdbc = {"url": "jdbc:derby:memory:rerun;create=true", "properties": {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}}
-    for days in ([D1, D2], D1, D1, [D1, D2]):
-        M.publish(spark, root, f"{workdir}/wh", days, jdbc=jdbc)
-    read = lambda t: spark.read.format("jdbc").options(url=jdbc["url"], dbtable=t, **jdbc["properties"]).load()
-    for name in FACTS:
-        assert read(name).count() == scan(spark, root, "gold", name).count(), name
+    FX.write_day(raw, D2, FX.day2_orders(), [*FX.day2_items(), ["I9", "O1"]])
+    M.to_bronze(spark, raw, root, [D1, D2])
+    notes = {r.batch_date: r.message for r in A.read_audit(spark, root).where("pipeline_stage = 'bronze_order_items'").collect()}
+    assert notes == {dt.date.fromisoformat(D1): None, dt.date.fromisoformat(D2): "malformed_rows=1"}
+    masters = A.read_audit(spark, root).where("pipeline_stage = 'bronze_customers'").collect()
+    assert sorted(r.batch_date.isoformat() for r in masters) == [D1, D2] and len({r.row_count for r in masters}) == 1
+
+
+def test_any_failure_is_audited_for_each_day(spark, workdir):
+    raw, root = f"{workdir}/raw", f"{workdir}/lake"
+    FX.write_drop(raw)
+    missing = "2025-01-01"
+    with pytest.raises(Exception):  # noqa: B017
+        M.to_bronze(spark, raw, root, [D1, missing])
+    rows = A.read_audit(spark, root).where("status = 'FAILED'").collect()
+    assert {(r.batch_date.isoformat(), r.pipeline_stage) for r in rows} == {(D1, "bronze_orders"), (missing, "bronze_orders")} and all(r.message for r in rows)
+
+
+def test_dates_of_a_list_of_days_are_those_days(spark, workdir):
+    raw, root = f"{workdir}/raw", f"{workdir}/lake"
+    FX.write_drop(raw)
+    late = "2024-03-10"
+    FX.write_day(raw, late, FX.day2_orders(), FX.day2_items())
+    M.run_batch(spark, raw, root, [D1, late])
+    assert sorted(r.calendar_date.isoformat() for r in scan(spark, root, "gold", "dim_date").collect()) == [D1, late]
 
 
 def _money(*values):
