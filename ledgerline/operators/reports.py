@@ -66,17 +66,11 @@ def seller_revenue(fact_order_items: DataFrame, dim_seller: DataFrame) -> DataFr
 def order_trends(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Orders and GMV per day, with year and month from ``dim_date`` (join on yyyymmdd).
 
-    ``dim_date`` holds one row per day of a range; no hint is given, so the planner broadcasts
-    it from its size estimate (and AQE from its measured size) while it is under the
-    threshold, and a date table beyond that is shuffle-joined.
+    The fact is aggregated per day first, so the join sees one row a day on both sides.
     """
-    days = dim_date.select("date_key", "year", "month")
-    joined = fact_orders.withColumn("date_key", S.date_key("order_date")).join(days, "date_key", "inner")
-    return (
-        joined.groupBy("year", "month", "order_date")
-        .agg(F.countDistinct("order_id").alias("total_orders"), _sum_money("order_total_mmk").alias("gmv_mmk"))
-        .orderBy(F.asc_nulls_last("order_date"))
-    )
+    per_day = fact_orders.groupBy("order_date").agg(F.countDistinct("order_id").alias("total_orders"), _sum_money("order_total_mmk").alias("gmv_mmk"))
+    joined = per_day.withColumn("date_key", S.date_key("order_date")).join(dim_date.select("date_key", "year", "month"), "date_key", "inner")
+    return joined.select("year", "month", "order_date", "total_orders", "gmv_mmk").orderBy(F.asc_nulls_last("order_date"))
 
 
 def delivery_performance(fact_delivery: DataFrame) -> DataFrame:
@@ -141,6 +135,10 @@ REPORTS = {
 }
 
 
+#: Reports that read the region key of ``fact_orders``.
+BY_REGION = frozenset({"report_gmv_by_city", "report_payment_mix"})
+
+
 def run_report(name: str, gold: dict[str, DataFrame]) -> DataFrame:
     fn, inputs = REPORTS[name]
     return fn(*[gold[t] for t in inputs])

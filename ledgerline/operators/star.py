@@ -1,8 +1,8 @@
 """Gold layer: five dimensions and five facts (G1–G10), projected onto the warehouse contracts.
 
 Joins are declared; Catalyst/AQE pick the strategy. ``dim_region`` is a distinct over
-geography (partial aggregation, so it is small however large the customer table is). Where it is not broadcast,
-orders meet it salted: a city that holds a third of the orders is dealt to ``REGION_SALTS`` tasks.
+geography (partial aggregation, so it is small however large the customer table is). A dimension beyond the broadcast
+threshold meets its fact through ``skew.join_one``: a city or product that holds a third of the rows is split.
 ``dim_date`` is generated from the date range, so its size is bounded by the number of days.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.contracts import GOLD, conform
 from ledgerline.functions import scalars as S
+from ledgerline.operators.skew import join_one
 
 
 def dim_customer(customers: DataFrame) -> DataFrame:
@@ -75,20 +76,18 @@ def _date_attributes(days: DataFrame) -> DataFrame:
     )
 
 
-REGION_SALTS = 64
+def fact_orders(orders: DataFrame, regions: DataFrame | None) -> DataFrame:
+    """Orders with their geography's key; unknown geography keeps the order with a NULL key.
 
-
-def fact_orders(orders: DataFrame, regions: DataFrame) -> DataFrame:
-    """Orders with their geography's key; unknown geography keeps the order with a NULL key."""
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(REGION_SALTS - 1).cast("long"))
-    copies = regions.select("region", "city", "region_key", F.explode(salts).alias("_salt"))
-    salted = orders.withColumn("_salt", F.pmod(F.xxhash64("order_id"), F.lit(REGION_SALTS)))
-    joined = salted.join(copies, ["region", "city", "_salt"], "left")
-    return conform(joined.withColumn("order_date", S.date_of("order_timestamp")), GOLD["fact_orders"])
+    Without ``regions`` all keys are NULL: for readers that don't use the key, so that their plans have no lookup.
+    """
+    if regions is not None:
+        orders = join_one(orders, regions.select("region", "city", "region_key"), ["region", "city"], ["order_id"])
+    return conform(orders.withColumn("order_date", S.date_of("order_timestamp")), GOLD["fact_orders"])
 
 
 def fact_order_items(items: DataFrame, products: DataFrame) -> DataFrame:
-    joined = items.join(products.select("product_id", "category", "brand"), "product_id", "left")
+    joined = join_one(items, products.select("product_id", "category", "brand"), ["product_id"], ["order_item_id"])
     return conform(joined, GOLD["fact_order_items"])
 
 

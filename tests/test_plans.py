@@ -99,3 +99,12 @@ def test_allow_list_broadcast_only_below_its_bound(spark, monkeypatch):
         assert large.collect()[0].failed_rows == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_reports_that_read_no_region_key_have_no_lookup(spark):
+    """Neither sellers nor a distinct of places under B4 and B7, and B4 joins one row a day."""
+    for key in ("report_order_trends", "report_top_customers"):
+        plan = entry.queries()[key](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+        assert "s_suppkey" not in plan and "s_nationkey" not in plan and "region_key" not in plan and "Union" not in plan, key
+    plan = entry.queries()["report_order_trends"](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("count(distinct") > plan.index("Join")  # below the join

@@ -290,10 +290,8 @@ def test_a_hot_city_is_dealt_to_many_tasks(spark, no_broadcast):
     regions = orders.select("region", "city").distinct().withColumn("region_key", F.xxhash64("city"))
     out = G.fact_orders(orders, regions)
     assert out.where(F.col("region_key") == F.xxhash64(F.lit("Yangon"))).count() == n // 3 and out.count() == n
-    salted = orders.withColumn("_salt", F.pmod(F.xxhash64("order_id"), F.lit(G.REGION_SALTS))).repartition(32, "region", "city", "_salt")
-    hot = [r["count"] for r in salted.where("city = 'Yangon'").groupBy(F.spark_partition_id()).count().collect()]
-    assert len(hot) >= 20 and max(hot) <= n // 3 / 5
-    assert "_salt" in out._jdf.queryExecution().executedPlan().toString()
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "_salt" in plan and "SortMergeJoin" in plan
 
 
 def test_a_hot_product_without_broadcast(spark, no_broadcast):
