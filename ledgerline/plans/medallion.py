@@ -42,6 +42,7 @@ from ledgerline.operators.clean import clean_entity
 from ledgerline.sources import csv_extract as X
 from ledgerline.sources import files
 from ledgerline.sources.layers import as_date, filter_batches, scan, table_path
+from ledgerline.streaming.merge_payments import with_accepted
 
 _MESSAGE = W.TEXT_LENGTHS["message"]
 NON_BLOCKING = ("orders_duplicates",)
@@ -173,7 +174,10 @@ def to_silver(
     try:
         for entity, df in bronze.items():
             copies = COPIES if entity == "orders" else None
-            P.write_snapshot(clean_entity(df, entity, copies=copies), f"{run}/{entity}")
+            clean = clean_entity(df, entity, copies=copies)
+            if entity == "payments":
+                clean = with_accepted(spark, root, clean, days)  # late ones that the stream brought stay
+            P.write_snapshot(clean, f"{run}/{entity}")
             schema = SILVER[entity] if copies is None else T.StructType([*SILVER[entity].fields, T.StructField(COPIES, T.LongType())])
             staged[entity] = spark.read.schema(schema).parquet(f"{run}/{entity}")
 

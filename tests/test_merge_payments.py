@@ -1,0 +1,150 @@
+"""Late payments from the stream reach exactly their days of silver and fact_payments."""
+
+import datetime as dt
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.operators import audit as A
+from ledgerline.plans import medallion as M
+from ledgerline.sources import files
+from ledgerline.sources.layers import scan
+from ledgerline.streaming import late_payments as L
+from ledgerline.streaming import merge_payments as S
+from tests import fixtures as FX
+
+D1, D2 = dt.date(2024, 3, 1), dt.date(2024, 3, 2)
+AT = dt.datetime(2024, 3, 1, 12)
+DAY = dt.timedelta(days=1)
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def event(k, at, value=10.0, kind="purchase"):
+    return (k, at, 7, kind, value, "")
+
+
+def frame(spark, rows):
+    return L.payments_from_events(spark.createDataFrame(rows, EVENTS).repartition(3))
+
+
+def ids(spark, root, layer="silver", table="payments"):
+    return sorted((r.payment_id, r.batch_date) for r in scan(spark, root, layer, table).select("payment_id", "batch_date").collect())
+
+
+def folders(path):
+    import os
+
+    return {f: sorted(os.listdir(f"{path}/{f}")) for f in os.listdir(path) if f.startswith("batch_date=")}
+
+
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("late"))
+    FX.write_drop(f"{root}/raw")
+    M.run_batch(spark, f"{root}/raw", f"{root}/lake", [D1, D2])
+    return root
+
+
+@pytest.fixture()
+def lake(built, workdir):
+    shutil.copytree(built, workdir, dirs_exist_ok=True)
+    return f"{workdir}/lake"
+
+
+def test_late_repeated_and_too_late_events(spark, lake):
+    before = ids(spark, lake)
+    S.merge_batch(frame(spark, [event(1, AT), event(1, AT), event(2, AT + DAY), event(3, AT, -5.0), event(4, None), event(9, AT, kind="view")]), 0, lake, DAY)
+    assert ids(spark, lake) == sorted([*before, ("1", D1), ("2", D2)])
+    untouched = folders(f"{lake}/silver/payments")["batch_date=2024-03-02"]
+    # 1 again (repeat), 5 late but within a day of the latest event, 6 past the watermark
+    S.merge_batch(frame(spark, [event(1, AT + dt.timedelta(hours=1)), event(5, AT + dt.timedelta(minutes=1)), event(6, AT - DAY)]), 1, lake, DAY)
+    assert ids(spark, lake) == sorted([*before, ("1", D1), ("2", D2), ("5", D1)])
+    assert folders(f"{lake}/silver/payments")["batch_date=2024-03-02"] == untouched, "a day without late payments is not written"
+    assert ids(spark, lake, "gold", "fact_payments") == ids(spark, lake)
+    rejected = {(r.payment_id, r.reason, r.merge_batch) for r in S.stored(spark, lake, "rejected").collect()}
+    assert rejected == {("3", "negative_amount", 0), ("4", "no_time", 0), ("6", "too_late", 1)}
+    counts = {r.batch: (r.accepted, r.rejected, r.repeated) for r in S.metrics(spark, lake).collect()}
+    assert counts == {0: (2, 2, 1), 1: (1, 1, 1)}
+    audit = A.read_audit(spark, lake).where(F.col("pipeline_stage") == S.STAGE).collect()
+    assert sorted((r.batch_date, r.row_count) for r in audit) == [(D1, 1), (D1, 1), (D2, 1)]
+
+
+def test_a_replayed_micro_batch_changes_nothing(spark, lake):
+    rows = [event(1, AT), event(2, AT + DAY)]
+    S.merge_batch(frame(spark, rows), 0, lake, DAY)
+    state = ids(spark, lake), ids(spark, lake, "gold", "fact_payments"), folders(f"{lake}/silver/payments")
+    S.merge_batch(frame(spark, rows), 0, lake, DAY)
+    for step in (["merged"], ["merged", "sorted"]):  # as if the driver had stopped before the marker
+        for name in step:
+            files.delete(spark, S._step(lake, name, 0))
+        if step == ["merged"]:
+            S.merge_batch(frame(spark, rows), 0, lake, DAY)
+            assert (ids(spark, lake), ids(spark, lake, "gold", "fact_payments")) == state[:2]
+    assert folders(f"{lake}/silver/payments").keys() == state[2].keys()
+
+
+@pytest.mark.parametrize("stop_at", ["rejected", "accepted", "sorted", "silver", "gold", "merged"])
+def test_a_stop_anywhere_is_made_good_by_the_replay(spark, lake, monkeypatch, stop_at):
+    before, rows = ids(spark, lake), [event(1, AT), event(2, AT + DAY), event(3, AT, -1.0)]
+    S.merge_batch(frame(spark, [event(8, AT)]), 0, lake, DAY)
+    if stop_at in ("silver", "gold"):
+        append, calls = S._append, []
+
+        def failing(frame_, path):
+            calls.append(path)
+            if f"/{stop_at}/" in path:
+                raise OSError("stopped")
+            append(frame_, path)
+
+        monkeypatch.setattr(S, "_append", failing)
+    elif stop_at in ("sorted", "merged"):
+        mark = S._mark
+        monkeypatch.setattr(S, "_mark", lambda spark_, root, step, *a, **k: (_ for _ in ()).throw(OSError("stopped")) if step == stop_at else mark(spark_, root, step, *a, **k))
+    else:
+        path = S.late_path
+        seen = []
+
+        def late_path(root, name):
+            seen.append(name)
+            if name == stop_at and seen.count(name) > (1 if name == "accepted" else 0):
+                raise OSError("stopped")
+            return path(root, name)
+
+        monkeypatch.setattr(S, "late_path", late_path)
+    with pytest.raises(OSError, match="stopped"):
+        S.merge_batch(frame(spark, rows), 1, lake, DAY)
+    monkeypatch.undo()
+    S.merge_batch(frame(spark, rows), 1, lake, DAY)
+    want = sorted([*before, ("1", D1), ("2", D2), ("8", D1)])
+    assert ids(spark, lake) == want and ids(spark, lake, "gold", "fact_payments") == want
+    assert [(r.payment_id, r.reason) for r in S.stored(spark, lake, "rejected").collect()] == [("3", "negative_amount")]
+
+
+def test_a_batch_rerun_keeps_late_payments_and_the_extract_wins(spark, lake, workdir):
+    S.merge_batch(frame(spark, [event(1, AT), event(2, AT + DAY)]), 0, lake, DAY)
+    want = ids(spark, lake)
+    M.run_batch(spark, f"{workdir}/raw", lake, [D1])
+    assert ids(spark, lake) == want and ids(spark, lake, "gold", "fact_payments") == want
+    FX.write_day(f"{workdir}/raw", "2024-03-01", FX.day1_orders(), FX.day1_items(), [*FX.day1_payments(), ["1", "O1", "C1", "kbzpay", "captured", "99.00", "2024-03-01 12:00:00"]],
+                 FX.day1_deliveries(), FX.day1_inventory())
+    M.run_batch(spark, f"{workdir}/raw", lake, [D1])
+    assert ids(spark, lake) == want
+    assert scan(spark, lake, "silver", "payments").where("payment_id = '1'").first().payment_method == "kbzpay"
+
+
+def test_the_stream_merges_what_arrives(spark, lake, workdir):
+    source, want = f"{workdir}/events", ids(spark, lake)
+    for k, rows in enumerate([[event(1, AT), event(2, AT + DAY)], [event(1, AT), event(5, AT)]]):
+        spark.createDataFrame(rows, EVENTS).write.parquet(f"{source}/part={k}")
+        query = S.start(spark, source, lake, DAY, checkpoint=f"{workdir}/ckpt")
+        query.awaitTermination(300)
+        assert query.exception() is None
+    assert ids(spark, lake) == sorted([*want, ("1", D1), ("2", D2), ("5", D1)])
+
+
+def test_no_silver_yet(spark, workdir):
+    S.merge_batch(frame(spark, [event(1, AT)]), 0, f"{workdir}/new", DAY)
+    S.merge_batch(frame(spark, [event(4, None)]), 1, f"{workdir}/new", DAY)
+    S.merge_batch(frame(spark, []), 2, f"{workdir}/new", DAY)
+    assert ids(spark, f"{workdir}/new") == [("1", D1)] == ids(spark, f"{workdir}/new", "gold", "fact_payments")
