@@ -230,3 +230,25 @@ def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = silver(spark, sf_dir, "orders")
     snaps = H.daily_snapshots(orders, ["customer_id"], "batch_date", ["payment_method"], ["order_id"])
     return H.scd2_versions(snaps, ["customer_id"], "batch_date", ["payment_method"])
+
+
+def _late_day(snaps: DataFrame, keys: list[str], attrs: list[str]) -> DataFrame:
+    """History over all days but one, into which that day's snapshot is spliced: the versions over all days."""
+    day = F.lit(SCAN_DAY)
+    versions = H.scd2_versions(snaps.where(F.col("batch_date") != day), keys, "batch_date", attrs)
+    seen = snaps.select(*keys, F.col("batch_date").alias("as_of"))
+    return H.spliced(versions, snaps.where(F.col("batch_date") == day), day, keys, attrs, seen)
+
+
+def scd2_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seller and unit price of a product as of each day, from its last item that day; SCAN_DAY arrives last."""
+    items = silver(spark, sf_dir, "order_items")
+    attrs = ["seller_id", "unit_price_mmk"]
+    return _late_day(H.daily_snapshots(items, ["product_id"], "batch_date", attrs, ["order_item_id"]), ["product_id"], attrs)
+
+
+def scd2_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seller's tier as of each day, by the price of its last item that day; SCAN_DAY arrives last."""
+    tier = F.when(F.col("unit_price_mmk") >= 1500, "premium").otherwise("standard")
+    items = silver(spark, sf_dir, "order_items").withColumn("seller_tier", tier)
+    return _late_day(H.daily_snapshots(items, ["seller_id"], "batch_date", ["seller_tier"], ["order_item_id"]), ["seller_id"], ["seller_tier"])

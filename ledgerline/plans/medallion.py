@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from ledgerline.contracts import BATCH_ENTITIES, DIMENSIONS, FACTS, MASTER_ENTITIES, SILVER
 from ledgerline.operators import audit as A
 from ledgerline.operators import checks as Q
+from ledgerline.operators import history as H
 from ledgerline.operators import publish as P
 from ledgerline.operators import reports as R
 from ledgerline.operators import star as G
@@ -205,6 +206,33 @@ def to_silver(
     return results
 
 
+# ---- history of the masters (2.16) --------------------------------------------------------------
+# keys and tracked attributes of the masters with a history
+HISTORY = {
+    "sellers": (("seller_id",), ("seller_name", "city", "region", "seller_type", "rating")),
+    "products": (("product_id",), ("seller_id", "product_name", "category", "brand", "unit_price_mmk", "is_active")),
+}
+
+
+@_audits("history")
+def to_history(spark: SparkSession, root: str, days) -> dict[str, int]:
+    """Silver masters as the snapshot of the run's last day → their versions; keys changed per entity. Days may come in any order."""
+    day = _days(days)[-1]
+    changed = {}
+    for entity, (keys, attrs) in HISTORY.items():
+        rows = scan(spark, root, "silver", entity)
+        known = rows.where(F.col(keys[0]).isNotNull()).select(*keys, *attrs)  # silver has a row per key
+        changed[entity] = H.apply_day(known, root, entity, day, keys, attrs)
+        _audit_days(spark, root, f"history_{entity}", {day: changed[entity]}, message="keys changed")
+    return changed
+
+
+def history(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """The versions of an entity of ``HISTORY``."""
+    keys, attrs = HISTORY[entity]
+    return H.read_versions(spark, root, entity, SILVER[entity], keys, attrs).drop("bucket")
+
+
 # ---- T3 ---------------------------------------------------------------------------------------
 @_audits("gold_transform")
 def to_gold(spark: SparkSession, root: str, days) -> dict[str, int]:
@@ -299,13 +327,17 @@ def report(spark: SparkSession, root: str, name: str, days=None) -> DataFrame:
 
 
 # ---- T5 / T6 ----------------------------------------------------------------------------------
-def run_batch(spark: SparkSession, raw_root: str, root: str, days, target_root: str | None = None, jdbc: W.Target | dict | None = None, **silver_options) -> None:
-    """All stages in order for one day or a list of days, on one session; the last with ``target_root``, into a database too with ``jdbc``."""
+def run_batch(spark: SparkSession, raw_root: str, root: str, days, target_root: str | None = None, jdbc: W.Target | dict | None = None, with_history: bool = False,
+              **silver_options) -> None:
+    """All stages in order for one day or a list of days, on one session; the last with ``target_root``, into a database too with ``jdbc``.
+    ``with_history``: the masters' versions too."""
     days = _days(days)
     if jdbc and not target_root:
         raise ValueError("jdbc loads the rows published to target_root")
     to_bronze(spark, raw_root, root, days)
     to_silver(spark, root, days, **silver_options)
+    if with_history:
+        to_history(spark, root, days)
     to_gold(spark, root, days)
     if target_root:
         publish(spark, root, target_root, days, jdbc)

@@ -46,6 +46,6 @@ for _name in (
     "check_non_null", "check_valid_timestamp", "check_positive", "check_non_negative",
     "check_no_duplicates", "check_references", "reconcile_orders", "check_amount_match",
     "check_allowed_pairs", "quality_report", "audit_counts", "publish_replace_key",
-    "upsert_dimension", "scd2_history",
+    "upsert_dimension", "scd2_history", "scd2_products", "scd2_sellers",
 ):
     QUERIES[_name] = getattr(K, _name)

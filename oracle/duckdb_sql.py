@@ -524,6 +524,22 @@ FROM (SELECT customer_id, payment_method, batch_date AS valid_from
                   FROM silver_orders GROUP BY customer_id, batch_date)
             WINDOW w AS (PARTITION BY customer_id ORDER BY batch_date))
       WHERE rn = 1 OR payment_method IS DISTINCT FROM prev)"""),
+    "scd2_products": (["order_items"], [], """
+SELECT product_id, last.seller_id AS seller_id, last.unit_price_mmk AS unit_price_mmk, batch_date AS valid_from,
+       lead(batch_date) OVER k AS valid_to, lead(batch_date) OVER k IS NULL AS is_current
+FROM (SELECT product_id, batch_date, last, lag(last) OVER (PARTITION BY product_id ORDER BY batch_date) AS prev
+      FROM (SELECT product_id, batch_date, max_by({'seller_id': seller_id, 'unit_price_mmk': unit_price_mmk}, order_item_id) AS last
+            FROM silver_order_items GROUP BY product_id, batch_date))
+WHERE prev IS NULL OR last.seller_id IS DISTINCT FROM prev.seller_id OR last.unit_price_mmk IS DISTINCT FROM prev.unit_price_mmk
+WINDOW k AS (PARTITION BY product_id ORDER BY batch_date)"""),
+    "scd2_sellers": (["order_items"], [], """
+SELECT seller_id, tier AS seller_tier, batch_date AS valid_from,
+       lead(batch_date) OVER k AS valid_to, lead(batch_date) OVER k IS NULL AS is_current
+FROM (SELECT *, lag(tier) OVER (PARTITION BY seller_id ORDER BY batch_date) AS prev
+      FROM (SELECT seller_id, batch_date, CASE WHEN max_by({'p': unit_price_mmk}, order_item_id).p >= 1500 THEN 'premium' ELSE 'standard' END AS tier
+            FROM silver_order_items GROUP BY seller_id, batch_date))
+WHERE prev IS NULL OR tier <> prev
+WINDOW k AS (PARTITION BY seller_id ORDER BY batch_date)"""),
 }
 
 

@@ -1,0 +1,122 @@
+"""SCD2 kept up day by day equals the versions over all snapshots, in whatever order the days come."""
+
+import datetime as dt
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.operators import history as H
+from ledgerline.plans import medallion as M
+from tests import fixtures as FX
+
+D0 = dt.date(2024, 1, 1)
+KEYS, ATTRS = ["k"], ["v", "w"]
+SCHEMA = "k string, v string, w int"
+
+
+def model(days):
+    """(k, v, w, valid_from, valid_to, is_current) of {day: {key: (v, w)}}."""
+    out, by_key = [], {}
+    for day in sorted(days):
+        for k, a in days[day].items():
+            if not by_key.get(k) or by_key[k][-1][1] != a:
+                by_key.setdefault(k, []).append((day, a))
+    for k, steps in by_key.items():
+        for (day, a), till in zip(steps, [*[s[0] for s in steps[1:]], None], strict=True):
+            out.append((k, *a, day, till, till is None))
+    return sorted(out, key=repr)
+
+
+def stored(spark, root):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    return sorted(map(tuple, H.read_versions(spark, root, "e", schema, KEYS, ATTRS).drop("bucket").collect()), key=repr)
+
+
+def apply(spark, root, day, rows):
+    return H.apply_day(spark.createDataFrame([(k, *a) for k, a in rows.items()], SCHEMA), root, "e", day, KEYS, ATTRS)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_order_of_days_and_repeated_days(spark, workdir, seed):
+    rnd = random.Random(seed)
+    draw = lambda: {f"k{i}": (rnd.choice(["a", "b", None]), rnd.choice([1, None])) for i in range(12) if rnd.random() < 0.7}
+    days = {D0 + dt.timedelta(days=i): draw() for i in range(6)}
+    order = [*days, *rnd.sample(sorted(days), 2)]
+    rnd.shuffle(order)
+    now = {}
+    for day in order:
+        now[day] = days[day] if day not in now else draw()  # a day that comes again may differ and lack keys
+        apply(spark, workdir, day, now[day])
+        assert stored(spark, workdir) == model(now)
+
+
+@pytest.mark.parametrize("trusting", ["true", "false"])
+def test_splicing_equals_versions_over_all_snapshots(spark, trusting):
+    spark.conf.set("spark.sql.unionOutputPartitioning", trusting)
+    rnd = random.Random(7)
+    rows = [(f"k{i}", rnd.choice("ab"), rnd.choice([1, 2]), D0 + dt.timedelta(days=d)) for i in range(40) for d in range(9) if rnd.random() < 0.6]
+    snaps = spark.createDataFrame(rows, SCHEMA + ", d date")
+    want = sorted(map(tuple, H.scd2_versions(snaps, KEYS, "d", ATTRS).collect()), key=repr)
+    for late in (0, 4, 8):
+        day = F.lit(D0 + dt.timedelta(days=late))
+        versions = H.scd2_versions(snaps.where(F.col("d") != day), KEYS, "d", ATTRS)
+        made = H.spliced(versions, snaps.where(F.col("d") == day), day, KEYS, ATTRS, snaps.select("k", F.col("d").alias("as_of")))
+        assert sorted(map(tuple, made.collect()), key=repr) == want
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+
+def test_only_buckets_with_changed_keys_are_rewritten(spark, workdir):
+    rows = {f"k{i}": ("a", 1) for i in range(300)}
+    assert apply(spark, workdir, D0, rows) == 300
+    listing = lambda: {b: sorted(f for f in os.listdir(f"{workdir}/history/e/versions/{b}") if f.endswith(".parquet")) for b in os.listdir(f"{workdir}/history/e/versions") if b.startswith("bucket=")}
+    before = listing()
+    assert apply(spark, workdir, D0 + dt.timedelta(days=1), rows) == 0 and listing() == before
+    assert apply(spark, workdir, D0 + dt.timedelta(days=2), rows | {"k5": ("b", 1), "new": ("a", 1)}) == 2
+    after = listing()
+    assert sum(before.get(b) != after[b] for b in after) <= 2 and len(after) >= H.BUCKETS - 2
+    assert apply(spark, workdir, D0 + dt.timedelta(days=2), {}) == 2  # both came that day
+    assert [r for r in stored(spark, workdir) if r[0] in ("k5", "new")] == [("k5", "a", 1, D0, None, True)]
+
+
+def test_a_day_that_stopped_half_way_is_run_again(spark, workdir, monkeypatch):
+    days = {D0: {"x": ("a", 1), "y": ("a", 1)}, D0 + dt.timedelta(days=4): {"x": ("a", 1)}}
+    for day, rows in days.items():
+        apply(spark, workdir, day, rows)
+    late, rows = D0 + dt.timedelta(days=2), {"x": ("b", 1), "z": ("c", 2)}
+    path = H.history_path
+    monkeypatch.setattr(H, "BUCKETS", H.BUCKETS)
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", _fail_on(type(spark.range(1).write).parquet, "/seen/"))
+    with pytest.raises(OSError, match="stopped"):
+        apply(spark, workdir, late, rows)
+    monkeypatch.undo()
+    assert H.history_path is path
+    apply(spark, workdir, late, rows)
+    assert stored(spark, workdir) == model(days | {late: rows})
+    assert not [f for f in os.listdir(f"{workdir}/history/e") if f.startswith("_staging")]
+
+
+def _fail_on(write, part):
+    def parquet(self, path, *args, **options):
+        if part in path:
+            raise OSError("stopped")
+        return write(self, path, *args, **options)
+
+    return parquet
+
+
+def test_masters_of_the_pipeline(spark, workdir):
+    raw, root = f"{workdir}/raw", f"{workdir}/lake"
+    FX.write_drop(raw)
+    M.to_bronze(spark, raw, root, "2024-03-01")
+    M.to_silver(spark, root, "2024-03-01")
+    assert M.to_history(spark, root, "2024-03-01") == {"sellers": 2, "products": 3}
+    products = [list(p) for p in FX.PRODUCTS]
+    products[1][5] = "3500.00"
+    FX.write_csv(f"{raw}/master/products.csv", "products", products)
+    M.to_bronze(spark, raw, root, "2024-03-02")
+    M.to_silver(spark, root, "2024-03-02")
+    assert M.to_history(spark, root, "2024-03-02") == {"sellers": 0, "products": 1}
+    rows = M.history(spark, root, "products").where("product_id = 'P2'").orderBy("valid_from").collect()
+    assert [(str(r.unit_price_mmk), str(r.valid_from), r.is_current) for r in rows] == [("3000.50", "2024-03-01", False), ("3500.00", "2024-03-02", True)]
