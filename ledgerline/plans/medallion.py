@@ -37,6 +37,7 @@ from ledgerline.operators import checks as Q
 from ledgerline.operators import history as H
 from ledgerline.operators import publish as P
 from ledgerline.operators import reports as R
+from ledgerline.operators import serving as V
 from ledgerline.operators import star as G
 from ledgerline.operators import warehouse as W
 from ledgerline.operators.clean import clean_entity
@@ -274,36 +275,34 @@ def to_gold(spark: SparkSession, root: str, days) -> dict[str, int]:
 
 # ---- T4 ---------------------------------------------------------------------------------------
 def publish(spark: SparkSession, root: str, target_root: str, days, jdbc: W.Target | dict | None = None) -> dict[str, int]:
-    """Gold → serving copy with replace semantics per table kind (K4/K6).
+    """Gold → serving copy with replace semantics per table kind (K4/K6), all ten tables at once (``serving``).
 
     Dimensions are replaced whole, ``dim_date`` by key, facts by batch day. With ``jdbc``
     (a ``warehouse.Target``, or its fields: ``url``, ``schema``, ``properties``, …) the same rows and the run's audit rows also go to a
-    database, all tables in one transaction.
+    database, all tables in one transaction. Read the copy with ``published``.
     """
     days = _days(days)
     with _audited(spark, root, "warehouse_load", days):
+        run = V.Publish(spark, target_root)
         written: dict[str, int] = {}
         keys = [int(d.strftime("%Y%m%d")) for d in days]
         loads: list[W.Load] = []
         for name in DIMENSIONS:
             df = scan(spark, root, "gold", name)
-            path = table_path(target_root, "gold", name)
-            replace = W.Replace(all=True)
             if name == "dim_date":
-                current = P.read_snapshot(spark, path)
-                incoming = df.where(F.col("date_key").isin(keys))
-                df, replace = incoming, W.Replace("date_key", keys)
-                if current is not None:
-                    df = P.replace_by_key(current, incoming, ["date_key"])
-                loads.append(W.Load(name, incoming, replace))
+                df = df.where(F.col("date_key").isin(keys))
+                loads.append(W.Load(name, df, W.Replace("date_key", keys)))
+                written[name] = run.keyed(name, df, ["date_key"])
             else:
-                loads.append(W.Load(name, df, replace))
-            written[name] = P.write_snapshot(df, path)
+                loads.append(W.Load(name, df, W.Replace(all=True)))
+                written[name] = run.dimension(name, df)
         for name in FACTS:
             df = _read_days(spark, root, "gold", name, days)
             loads.append(W.Load(name, df, W.Replace("batch_date", days)))
-            written[name] = P.write_batches(df, table_path(target_root, "gold", name), days)
-        counts = _day_counts(spark, target_root, "gold", "fact_orders", days)
+            written[name] = run.fact(name, df, days)
+        pointer = run.commit()
+        found = V.read(spark, target_root, "fact_orders", days, pointer).groupBy("batch_date").agg(F.count(F.lit(1)).alias("n")).collect()
+        counts = {d: 0 for d in days} | {r.batch_date: r.n for r in found}
         done = _audit_rows(spark, "warehouse_load", counts, message="Gold datasets published").collect()  # a row a day
         audit = spark.createDataFrame(done, A.AUDIT)
         if jdbc:
@@ -312,6 +311,11 @@ def publish(spark: SparkSession, root: str, target_root: str, days, jdbc: W.Targ
     return written
 
 
+def published(spark: SparkSession, target_root: str, table: str, days=None) -> DataFrame:
+    """A table of the serving copy as of its last publish; of a fact the ``days``, all if None."""
+    return V.read(spark, target_root, table, None if days is None else _days(days))
+
+
 # ---- reports over the stored star schema -------------------------------------------------------
 def report(spark: SparkSession, root: str, name: str, days=None) -> DataFrame:
     """One of the eight business reports over the stored gold tables (facts limited to

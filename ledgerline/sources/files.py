@@ -5,6 +5,8 @@ Used on the driver only, for a handful of calls per table: existence, rename, de
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -40,6 +42,49 @@ def first_line(spark: SparkSession, path: str) -> str:
         reader.close()
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, jpath = _open(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file in UTF-8."""
+    fs, jpath = _open(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small text file in one step, written beside and renamed; False if there is such a file already."""
+    jvm = spark.sparkContext._jvm
+    fs, jpath = _open(spark, path)
+    parent, name = _siblings(path)
+    beside = jvm.org.apache.hadoop.fs.Path(f"{parent}/_{name}.{uuid.uuid4().hex}")
+    stream = fs.create(beside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    source, target = fs.makeQualified(beside), fs.makeQualified(jpath)
+    try:
+        if fs.getUri().getScheme() == "file":  # a local rename replaces, a hard link doesn't
+            jvm.java.nio.file.Files.createLink(jvm.java.io.File(target.toUri().getPath()).toPath(), jvm.java.io.File(source.toUri().getPath()).toPath())
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+            context.rename(source, target, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        return True
+    except Exception as exc:
+        if "FileAlreadyExistsException" in str(exc):
+            return False
+        raise
+    finally:
+        fs.delete(beside, False)
+
+
 def _siblings(path: str) -> tuple[str, str]:
     parent, _, name = path.rstrip("/").rpartition("/")
     return parent, name
