@@ -1,13 +1,15 @@
 """URL filter by mined association rules.
 
-Labelled URLs become sets of tokens (scheme, host labels and suffixes, path segments, extension, query keys), with one item for a bad
-label. Spark's FP-growth mines the frequent sets; rules "tokens -> bad" stay if their support and
-confidence pass the limits, and if no rule on all but one of the tokens is as confident. They are matched by an inverted index:
-each rule is listed under its rarest token, a URL looks up its own tokens, and the few rules found are checked
-in full. A URL that a rule fits is blocked, by the most confident one.
+Labelled URLs become sets of tokens (scheme, host labels and suffixes, path segments, query keys). Spark's FP-growth mines
+the sets that are frequent among the bad ones; a set's support is its bad rows. How many labelled rows of either kind hold it is then
+counted by an inverted index: each set is listed under its rarest token, a row looks up its own tokens, and the few sets found are checked
+in full. Rules "tokens -> bad" stay if support, confidence and the lower bound of the confidence (Wilson, one-sided 95 %) pass the limits, so
+that a few rows of one host make no rule, and if no rule on all but one of the tokens is as confident. URLs find the rules by the same index;
+one that a rule fits is blocked, by the most confident one.
 
 ``labels_of`` takes the labels from the URLs themselves: the verdicts of the given rules, so what these block on some hosts is
-mined and then also found on hosts that no given rule names. Support is a number of labelled rows, the same in a table of any size.
+mined and then also found on hosts that no given rule names. Support is at least ``MIN_SUPPORT`` rows and ``MIN_SHARE`` of the bad rows: the frequent
+tokens, which FP-growth gathers on the driver, are then at most the tokens of a URL over ``MIN_SHARE``, however large the table.
 
 Given rules on (host, path prefix) go first: a rule fits its host and all subdomains if the path starts
 with the rule's, the longest one decides, and only URLs without one go to the mined rules.
@@ -23,6 +25,7 @@ empty result. Further columns play no part.
 
 from __future__ import annotations
 
+import math
 import string
 from dataclasses import dataclass
 
@@ -33,8 +36,11 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import BROADCAST_ROWS_MAX, salted_join, stored
 
 MIN_SUPPORT = 5  # bad rows; below 1 a share of all labelled rows
+MIN_SHARE = 0.01  # of the bad rows
 MIN_CONFIDENCE = 0.8
-BAD = "label=bad"  # no token has this prefix
+#: Lower bound of the confidence: five bad rows of five pass, five of six don't.
+MIN_BOUND = 0.6
+_Z = 1.645
 
 
 @dataclass(frozen=True)
@@ -91,49 +97,66 @@ def labels_of(pages: DataFrame, rules: list[HostRule], url_col: str = "url") ->
     return urls.select("url", (verdict == "block").alias("bad")).where("bad is not null").distinct()
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def _bound(bad: Column, n: Column) -> Column:
+    """Wilson's lower bound of the share ``bad`` of ``n``."""
+    p, z = bad / n, F.lit(_Z)
+    return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def _looked_up(rows: DataFrame, listed: DataFrame, spread: str) -> DataFrame:
+    """Each row of ``rows`` (tokens, …) with each of ``listed`` (items, anchor, …) whose items it has, found under its anchor."""
+    open_rows = rows.withColumn("anchor", F.explode("tokens"))
+    if listed.count() <= BROADCAST_ROWS_MAX:
+        found = open_rows.join(F.broadcast(listed), "anchor")
+    else:
+        fields = [c for c in listed.columns if c != "anchor"]
+        grouped = listed.groupBy("anchor").agg(F.collect_list(F.struct(*fields)).alias("listed"))
+        found = salted_join(open_rows, grouped, ["anchor"], spread).select(*open_rows.columns, F.inline("listed"))
+    return found.where(F.size(F.array_except("items", "tokens")) == 0)
+
+
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_share: float = MIN_SHARE, min_bound: float = MIN_BOUND) -> DataFrame:
     """Rules (rule_id, items, anchor, confidence, support) from rows (url, bad: boolean); null labels are left out."""
-    items = labelled.where(F.col("url").isNotNull() & F.col("bad").isNotNull()).select(tokens(F.col("url")).alias("tokens"), "bad")
-    items = stored(items.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items")), "transactions")
-    none = "rule_id string, items array<string>, anchor string, confidence double, support double"
-    n = items.count()
-    if not n:
-        return labelled.sparkSession.createDataFrame([], none)
-    share = min_support if min_support < 1 else min(1.0, (min_support - 0.5) / n)  # rounded up to whole rows by FPGrowth
-    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(items)
-    found = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select(F.array_sort("antecedent").alias("items"), "confidence", "support")
-    found = stored(found, "mined")
-    frequency = model.freqItemsets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("anchor"), "freq")
-    rarest = (found.select("items", F.explode("items").alias("anchor")).join(frequency, "anchor")
+    rows = labelled.where(F.col("url").isNotNull() & F.col("bad").isNotNull())
+    rows = stored(rows.select(tokens(F.col("url")).alias("tokens"), "bad", F.xxhash64("url").alias("hash")), "transactions")
+    n, n_bad = rows.agg(F.count("*"), F.count(F.when(F.col("bad"), 1))).first()
+    if not n_bad:
+        return labelled.sparkSession.createDataFrame([], "rule_id string, items array<string>, anchor string, confidence double, support double")
+    least = math.ceil(min_support * n) if min_support < 1 else max(min_support, math.ceil(min_share * n_bad))
+    bad = rows.where("bad").select(F.col("tokens").alias("items"))
+    parts = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / n_bad), numPartitions=parts).fit(bad)
+    sets = stored(model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("bad_rows")), "frequent-sets")
+    single = sets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("anchor"))
+    frequency = rows.select(F.explode("tokens").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("freq")).join(single, "anchor")
+    rarest = (sets.select("items", F.explode("items").alias("anchor")).join(stored(frequency, "frequencies"), "anchor")
               .groupBy("items").agg(F.min_by("anchor", F.struct("freq", "anchor")).alias("anchor")))
+    listed = stored(sets.join(rarest, "items"), "listed-sets")
+    held = _looked_up(rows.select("tokens", "hash"), listed.select("items", "anchor"), "hash").groupBy("items").agg(F.count("*").alias("all_rows"))
+    passed = listed.join(held, "items").where((F.col("bad_rows") / F.col("all_rows") >= min_confidence) & (_bound(F.col("bad_rows"), F.col("all_rows")) >= min_bound))
+    passed = passed.select("items", "anchor", (F.col("bad_rows") / F.col("all_rows")).alias("confidence"), (F.col("bad_rows") / F.lit(n)).alias("support"))
+    found = stored(passed, "mined")
     # redundant: without one of its tokens the rule is at least as confident
-    parts = found.select("items", "confidence", F.explode("items").alias("left_out")).select(F.array_remove("items", F.col("left_out")).alias("part"), "items", "confidence")
-    redundant = (parts.join(found.select(F.col("items").alias("part"), F.col("confidence").alias("of_part")), "part")
+    left_out = found.select("items", "confidence", F.explode("items").alias("left_out")).select(F.array_remove("items", F.col("left_out")).alias("part"), "items", "confidence")
+    redundant = (left_out.join(found.select(F.col("items").alias("part"), F.col("confidence").alias("of_part")), "part")
                  .where("of_part >= confidence").select("items").distinct())
-    kept = found.join(rarest, "items").join(redundant, "items", "left_anti")
+    kept = found.join(redundant, "items", "left_anti")
     return stored(kept.select(F.array_join("items", " ").alias("rule_id"), "items", "anchor", "confidence", "support"), "rules")
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(url, mined_rule, confidence) of the distinct URLs that a mined rule fits, by the most confident one."""
     distinct = urls.where("url is not null").select("url").distinct()
-    looked_up = distinct.select("url", tokens(F.col("url")).alias("tokens")).select("url", "tokens", F.explode("tokens").alias("anchor"))
-    found = looked_up.join(F.broadcast(rules), "anchor") if rules.count() <= BROADCAST_ROWS_MAX else _spread(looked_up, rules)
-    fits = found.where(F.size(F.array_except("items", "tokens")) == 0)
+    fits = _looked_up(distinct.select("url", tokens(F.col("url")).alias("tokens")), rules, "url")
     best = F.max(F.struct("confidence", "support", "rule_id")).alias("best")
     return fits.groupBy("url").agg(best).select("url", F.col("best.rule_id").alias("mined_rule"), F.col("best.confidence").alias("confidence"))
 
 
-def _spread(looked_up: DataFrame, rules: DataFrame) -> DataFrame:
-    listed = rules.groupBy("anchor").agg(F.collect_list(F.struct("rule_id", "items", "confidence", "support")).alias("listed"))
-    return salted_join(looked_up, listed, ["anchor"], "url").select("url", "tokens", "anchor", F.inline("listed"))
-
-
 def judge(pages: DataFrame, labelled: DataFrame, host_rules: list[HostRule], url_col: str = "url", id_col: str = "page_id",
-          min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+          min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_share: float = MIN_SHARE, min_bound: float = MIN_BOUND) -> DataFrame:
     """Per page: id, host, path, rule, verdict (allow or block), mined_rule, confidence."""
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"))
-    rules = mine(labelled, min_support, min_confidence)
+    rules = mine(labelled, min_support, min_confidence, min_share, min_bound)
     out = salted_join(rows, match(rows, rules), ["url"], "page_id", "left")
     out = out.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), "mined_rule", "confidence")
     out = out.withColumn("given", host_rule(F.col("host"), F.col("path"), host_rules))

@@ -37,7 +37,12 @@ def test_host_path_and_given_rules(spark):
         assert (r.rule, r.verdict) == (rule, verdict or "allow")
 
 
-def brute_mine(rows, min_support, min_confidence):
+def lower_bound(bad, n, z=1.645):
+    p = bad / n
+    return (p + z * z / (2 * n) - z * (p * (1 - p) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+
+
+def brute_mine(rows, min_support, min_confidence, min_bound=0.6):
     """All token sets up to the longest URL, by counting; (items, confidence) without redundant ones."""
     sets, n = [(frozenset(t), b) for t, b in rows], len(rows)
     count, bad = {}, {}
@@ -46,7 +51,7 @@ def brute_mine(rows, min_support, min_confidence):
             for c in combinations(sorted(t), k):
                 count[c] = count.get(c, 0) + 1
                 bad[c] = bad.get(c, 0) + b
-    rules = {c: bad[c] / count[c] for c in count if bad[c] >= min_support * n and bad[c] / count[c] >= min_confidence}
+    rules = {c: bad[c] / count[c] for c in count if bad[c] >= min_support * n and bad[c] / count[c] >= min_confidence and lower_bound(bad[c], count[c]) >= min_bound}
     return {c: p for c, p in rules.items() if not any(rules.get(tuple(x for x in c if x != y), -1) >= p for y in c)}
 
 
@@ -56,7 +61,9 @@ def labelled(spark):
     return spark.createDataFrame(rows + [(None, True), ("http://x.net/", None)], "url string, bad boolean")
 
 
-def test_rules_and_matches_equal_plain_counting(spark, labelled):
+@pytest.mark.parametrize("broadcast_max", [0, 100000])
+def test_rules_and_matches_equal_plain_counting(spark, labelled, monkeypatch, broadcast_max):
+    monkeypatch.setattr(url_rules, "BROADCAST_ROWS_MAX", broadcast_max)
     rows = labelled.where("url is not null and bad is not null").select(url_rules.tokens(F.col("url")), "bad").collect()
     want = brute_mine([(t, b) for t, b in rows], 0.02, 0.7)
     rules = url_rules.mine(labelled, 0.02, 0.7)
@@ -116,3 +123,22 @@ def test_query_mines_rules_that_block_pages_without_a_given_rule(spark):
     made = queries.op4_url_rules(spark, "/root/testdata/sf0.1")
     blocked = made.where("rule is null and verdict = 'block'")
     assert blocked.count() and not blocked.where("mined_rule is null").count()
+
+
+def test_a_few_rows_of_one_host_make_no_rule(spark):
+    """Five bad rows of six are too few for the bound, though over the confidence; thirty of thirty-six pass."""
+    assert lower_bound(5, 6) < url_rules.MIN_BOUND < lower_bound(5, 5) and lower_bound(30, 36) > url_rules.MIN_BOUND
+    rows = [(f"http://odd.net/x{k}", k < 5) for k in range(6)] + [(f"http://fair.net/p/{k}/q{k}", False) for k in range(50)]
+    labelled = spark.createDataFrame([(u.replace("x", "x/a" * (k + 1)), b) for k, (u, b) in enumerate(rows[:6])] + rows[6:], "url string, bad boolean")
+    assert not [r for r in url_rules.mine(labelled).collect() if "host=odd" in r["items"] and r.confidence < 1]
+
+
+def test_support_grows_with_the_bad_rows_so_frequent_tokens_do_not(spark):
+    """Each of many hosts has its own handful of bad rows: at least a share of all bad rows is asked for."""
+    few = [(f"http://h{k % 20}.net/buy/{k}", True) for k in range(200)]
+    many = [(f"http://h{k % 2000}.net/buy/{k}", True) for k in range(20_000)]
+    sets = []
+    for rows in (few, many):
+        mined = url_rules.mine(spark.createDataFrame(rows + [("http://fine.org/read/1", False)], "url string, bad boolean"))
+        sets.append({tuple(r["items"]) for r in mined.collect()})
+    assert ("path=buy",) in sets[0] and ("path=buy",) in sets[1] and len(sets[1]) <= len(sets[0])
