@@ -132,7 +132,8 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     rarest = (sets.select("items", F.explode("items").alias("anchor")).join(stored(frequency, "frequencies"), "anchor")
               .groupBy("items").agg(F.min_by("anchor", F.struct("freq", "anchor")).alias("anchor")))
     listed = stored(sets.join(rarest, "items"), "listed-sets")
-    held = _looked_up(rows.select("tokens", "hash"), listed.select("items", "anchor"), "hash").groupBy("items").agg(F.count("*").alias("all_rows"))
+    dealt = rows.select("tokens", "hash").repartition(parts, "hash")  # few bytes, much work a row
+    held = _looked_up(dealt, listed.select("items", "anchor"), "hash").groupBy("items").agg(F.count("*").alias("all_rows"))
     passed = listed.join(held, "items").where((F.col("bad_rows") / F.col("all_rows") >= min_confidence) & (_bound(F.col("bad_rows"), F.col("all_rows")) >= min_bound))
     passed = passed.select("items", "anchor", (F.col("bad_rows") / F.col("all_rows")).alias("confidence"), (F.col("bad_rows") / F.lit(n)).alias("support"))
     found = stored(passed, "mined")
