@@ -41,6 +41,7 @@ from ledgerline.operators import serving as V
 from ledgerline.operators import star as G
 from ledgerline.operators import warehouse as W
 from ledgerline.operators.clean import clean_entity
+from ledgerline.operators.run_metrics import marked
 from ledgerline.sources import csv_extract as X
 from ledgerline.sources import files
 from ledgerline.sources.layers import as_date, filter_batches, scan, table_path
@@ -97,9 +98,10 @@ def _audit_rows(
 
 @contextmanager
 def _audited(spark: SparkSession, root: str, stage: str, days: list[dt.date]) -> Iterator[None]:
-    """Audit any failure of a stage, a row a day, before it is raised; failed checks have their own rows."""
+    """Mark the stage's jobs for its metrics; audit any failure, a row a day, before it is raised. Failed checks have their own rows."""
     try:
-        yield
+        with marked(spark, stage, days):
+            yield
     except Q.QualityCheckError:
         raise
     except Exception as exc:
