@@ -32,9 +32,15 @@ def scratch_root(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="ledgerline-llm-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
+    _delete_at_exit(spark, context.getCheckpointDir())  # a folder of this application in the root
     return root.rstrip("/")
 
 
+def _delete_at_exit(spark: SparkSession, path: str) -> None:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared scratch folder and read it back.
 
@@ -44,9 +50,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    _delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
