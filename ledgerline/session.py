@@ -70,5 +70,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage the whole cluster can reach")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    return configured  # not Spark's folder of this application in it: a restarted driver finds its streams again
 
