@@ -1,6 +1,7 @@
 """Joins of a large table to a table with one row per key, where few keys may hold most rows.
 
-``join_one`` leaves a small right side to the planner, which broadcasts it. Beyond the broadcast threshold the heavy keys are
+``join_one`` leaves a right side that the planner knows to be small to it, to be broadcast. One whose size the planner only guesses (a distinct over
+joins, say) is counted, and broadcast if its rows fit the threshold. Beyond the threshold the heavy keys are
 found first: one count per key with map-side combine, of which those with at least ``share`` of the rows are kept, so there are at most 1 / ``share`` of them.
 A heavy key is split as many ways as it has shares, its row on the right is repeated as often, and all other
 rows go by their key: no task gets more than a share of the rows by any one key, and at most 2 / ``share`` rows of the right side are copies.
@@ -16,14 +17,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHARE = 0.001
+#: Bytes that a row of a counted right side is taken for: a key and a few short columns.
+ROW_BYTES = 100
 WAYS, SALT = "_ways", "_salt"
 
 
+def _threshold(df: DataFrame) -> int:
+    return df._jdf.queryExecution().sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def broadcastable(df: DataFrame) -> bool:
     """Whether the planner's size estimate of ``df`` is under the session's broadcast threshold."""
-    execution = df._jdf.queryExecution()
-    threshold = execution.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= int(str(execution.optimizedPlan().stats().sizeInBytes())) <= threshold
+    return 0 <= int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= _threshold(df)
+
+
+def few_rows(df: DataFrame) -> bool:
+    """Whether ``df``, counted, fits the session's broadcast threshold; False without a count where broadcasts are off."""
+    most = _threshold(df) // ROW_BYTES
+    return most > 0 and df.limit(most + 1).count() <= most
 
 
 def heavy_keys(rows: DataFrame, keys: Sequence[str], share: float = SHARE) -> DataFrame:
@@ -45,6 +56,8 @@ def join_one(
     keys = list(keys)
     if broadcastable(right):
         return left.join(right, keys, how)
+    if few_rows(right):
+        return left.join(F.broadcast(right), keys, how)
     heavy = heavy_keys((left if counted is None else counted).select(*keys), keys, share)
     heavy = F.broadcast(heavy)  # 1 / share rows at most
     some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])

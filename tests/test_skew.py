@@ -68,6 +68,14 @@ def test_a_small_right_side_is_left_to_the_planner(spark):
     _, left, _, unknown = rows_and_keys(spark, 100)
     right = spark.range(400).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("v"))
     assert skew.broadcastable(right) and not skew.broadcastable(unknown)  # rows of the driver have no estimate
+    for other in (right, unknown):
+        plan = skew.join_one(left, other, ["key"], ["id"])._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and skew.SALT not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(150 * skew.ROW_BYTES))  # it has 202 rows
+    try:
+        assert not skew.few_rows(unknown) and skew.SALT in skew.join_one(left, unknown, ["key"], ["id"])._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     plan = skew.join_one(left, right, ["key"], ["id"])._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and skew.SALT not in plan
 
