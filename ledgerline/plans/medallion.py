@@ -31,9 +31,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.contracts import BATCH_ENTITIES, DIMENSIONS, FACTS, MASTER_ENTITIES, SILVER
+from ledgerline.contracts import BATCH_ENTITIES, DIMENSIONS, FACTS, GOLD, MASTER_ENTITIES, SILVER
 from ledgerline.operators import audit as A
 from ledgerline.operators import checks as Q
+from ledgerline.operators import compact as C
 from ledgerline.operators import history as H
 from ledgerline.operators import publish as P
 from ledgerline.operators import reports as R
@@ -332,6 +333,15 @@ def report(spark: SparkSession, root: str, name: str, days=None) -> DataFrame:
     return R.run_report(name, gold)
 
 
+def compact(spark: SparkSession, root: str, target_bytes: int = C.TARGET_BYTES, spare: int = C.SPARE) -> dict[str, int]:
+    """Rewrite what has too many small files: days of the tables that late payments are appended to, and the audit; days (tables) rewritten."""
+    done = {}
+    for layer, table, contract in (("silver", "payments", SILVER["payments"]), ("gold", "fact_payments", GOLD["fact_payments"])):
+        done[table] = len(C.compact_days(spark, table_path(root, layer, table), contract, target_bytes, spare))
+    done["audit"] = int(C.compact_table(spark, A.audit_path(root), A.AUDIT, target_bytes, spare))
+    return done
+
+
 # ---- T5 / T6 ----------------------------------------------------------------------------------
 def run_batch(spark: SparkSession, raw_root: str, root: str, days, target_root: str | None = None, jdbc: W.Target | dict | None = None, with_history: bool = False,
               **silver_options) -> None:

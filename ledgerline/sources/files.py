@@ -48,6 +48,13 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(jpath)] if fs.exists(jpath) else []
 
 
+def sizes(spark: SparkSession, path: str, suffix: str) -> list[int]:
+    """Bytes of the files of a folder whose names end so, hidden ones left out."""
+    fs, jpath = _open(spark, path)
+    held = fs.listStatus(jpath) if fs.exists(jpath) else []
+    return [f.getLen() for f in held if f.getPath().getName().endswith(suffix) and f.getPath().getName()[0] not in "_."]
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small text file in UTF-8."""
     fs, jpath = _open(spark, path)

@@ -1,0 +1,58 @@
+"""Small files: crowded days are rewritten, others stay; rows are the same."""
+
+import datetime as dt
+import os
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from ledgerline.contracts import schema
+from ledgerline.operators import audit as A
+from ledgerline.operators import compact as C
+from ledgerline.plans import medallion as M
+
+CONTRACT = schema("k int, batch_date date")
+D1, D2, D3 = (dt.date(2024, 3, d) for d in (1, 2, 3))
+
+
+def part_files(path):
+    return sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
+
+
+@given(st.lists(st.integers(0, 10**9), max_size=60), st.integers(1, 10**9), st.integers(0, 20))
+def test_crowded_is_about_bytes_not_files_alone(sizes, target, spare):
+    assert C.crowded(sizes, target, spare) == (len(sizes) - -(-sum(sizes) // target) > spare)
+
+
+def test_crowded_days_alone_are_rewritten(spark, workdir):
+    path, rows = f"{workdir}/t", []
+    for i in range(30):
+        batch = [(i, D1)] + ([(i, D2)] if i < 3 else []) + ([(100 + i, D3)] if i % 2 else [])
+        rows += batch
+        spark.createDataFrame(batch, CONTRACT).coalesce(1).write.mode("append").partitionBy("batch_date").parquet(path)
+    before = part_files(f"{path}/batch_date=2024-03-02")
+    assert C.crowded_days(spark, path) == [D1, D3]
+    assert C.compact_days(spark, path, CONTRACT) == [D1, D3] and C.compact_days(spark, path, CONTRACT) == []
+    assert sorted(map(tuple, spark.read.schema(CONTRACT).parquet(path).collect())) == sorted(rows)
+    assert part_files(f"{path}/batch_date=2024-03-02") == before
+    assert all(len(part_files(f"{path}/batch_date=2024-03-0{d}")) <= C.SPARE for d in (1, 3))
+    assert os.listdir(workdir) == ["t"]
+
+
+def test_a_stop_while_staging_changes_nothing(spark, workdir, monkeypatch):
+    path = f"{workdir}/t"
+    for i in range(12):
+        spark.createDataFrame([(i, D1)], CONTRACT).coalesce(1).write.mode("append").partitionBy("batch_date").parquet(path)
+    monkeypatch.setattr(C.P, "write_batches", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        C.compact_days(spark, path, CONTRACT)
+    assert len(part_files(f"{path}/batch_date=2024-03-01")) == 12 and os.listdir(workdir) == ["t"]
+
+
+def test_audit_files_are_bounded_over_many_runs(spark, workdir):
+    for i in range(25):
+        A.write_audit(spark, workdir, D1, f"stage{i}", A.SUCCESS, i)
+        M.compact(spark, workdir)
+        assert len(part_files(A.audit_path(workdir))) <= C.SPARE + 2
+    assert sorted(r.row_count for r in A.read_audit(spark, workdir).collect()) == list(range(25))
