@@ -16,7 +16,7 @@ are hashes of them and the seed, so lost tasks repeat themselves.
 
 Shards hold equal numbers of rows up to one (law ``rows``). Null text has size 8 and the checksum of no bytes. Repeated rows
 and equal texts are rows of their own. Fewer rows than shards leave some empty. An empty table gives an empty result. Further
-columns, whatever their names, are kept apart from the operator's by ``carry``.
+columns play no part in ``assign``; ``shuffle`` and ``write_shards`` carry them, but refuse columns named ``shard`` or ``slot``.
 """
 
 from __future__ import annotations
