@@ -61,13 +61,14 @@ def partition_path(path: str, batch_date: dt.date | str) -> str:
     return f"{path.rstrip('/')}/batch_date={as_date(batch_date).isoformat()}"
 
 
-def write_batches(df: DataFrame, path: str, days: Iterable[dt.date | str]) -> int:
+def write_batches(df: DataFrame, path: str, days: Iterable[dt.date | str], order: Sequence[str] = ()) -> int:
     """Replace every day in ``days`` (one day, or a backfill range) in one job.
 
     Days with rows are replaced by dynamic partition overwrite; of the days in ``days`` that
     produced no rows, those the table still holds rows for are cleared afterwards, one empty
     overwrite each (bounded by the number of days, never by the data). Rows outside ``days``
     are not written. A table without any rows yet has no files; read it by its declared schema.
+    With ``order`` the rows of each file are sorted by those columns.
     """
     wanted = sorted({as_date(d) for d in days})
     if not wanted:
@@ -77,6 +78,8 @@ def write_batches(df: DataFrame, path: str, days: Iterable[dt.date | str]) -> in
     # the advisory size and splits a day holding a large share of the rows over several tasks,
     # instead of every task writing a small file for every day it happens to hold.
     rows = rows.hint("rebalance", "batch_date")
+    if order:
+        rows = rows.sortWithinPartitions("batch_date", *order)
     observed, obs = _observed(rows, "batches", with_days=True)
     (
         observed.write.mode("overwrite")

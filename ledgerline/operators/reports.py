@@ -31,6 +31,11 @@ def gmv_by_city(fact_orders: DataFrame, dim_region: DataFrame) -> DataFrame:
     The dimension has one key per (region, city), so orders are counted per key before it is joined.
     """
     per_key = fact_orders.groupBy("region_key").agg(F.sum("order_total_mmk").alias("gmv"), F.countDistinct("order_id").alias("orders"))
+    return gmv_of_keys(per_key, dim_region)
+
+
+def gmv_of_keys(per_key: DataFrame, dim_region: DataFrame) -> DataFrame:
+    """B1 from (region_key, gmv, orders), a row per key."""
     joined = per_key.join(dim_region, "region_key", "left")
     return (
         joined.groupBy("region", "city")
@@ -69,6 +74,11 @@ def order_trends(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     The fact is aggregated per day first, so the join sees one row a day on both sides.
     """
     per_day = fact_orders.groupBy("order_date").agg(F.countDistinct("order_id").alias("total_orders"), _sum_money("order_total_mmk").alias("gmv_mmk"))
+    return trends_of_days(per_day, dim_date)
+
+
+def trends_of_days(per_day: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """B4 from (order_date, total_orders, gmv_mmk), a row per date."""
     joined = per_day.withColumn("date_key", S.date_key("order_date")).join(dim_date.select("date_key", "year", "month"), "date_key", "inner")
     return joined.select("year", "month", "order_date", "total_orders", "gmv_mmk").orderBy(F.asc_nulls_last("order_date"))
 

@@ -90,7 +90,9 @@ from pyspark.sql import functions as F  # noqa: E402
 from ledgerline.functions import scalars as S  # noqa: E402
 from ledgerline.operators import audit as A  # noqa: E402
 from ledgerline.operators import checks as Q  # noqa: E402
+from ledgerline.operators import distinct_partials as B  # noqa: E402
 from ledgerline.operators import history as H  # noqa: E402
+from ledgerline.operators import key_days as K  # noqa: E402
 from ledgerline.operators import publish as P  # noqa: E402
 from ledgerline.operators.dedupe import keep_latest  # noqa: E402
 from ledgerline.sources.layers import filter_batch  # noqa: E402
@@ -252,3 +254,26 @@ def scd2_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     tier = F.when(F.col("unit_price_mmk") >= 1500, "premium").otherwise("standard")
     items = silver(spark, sf_dir, "order_items").withColumn("seller_tier", tier)
     return _late_day(H.daily_snapshots(items, ["seller_id"], "batch_date", ["seller_tier"], ["order_item_id"]), ["seller_id"], ["seller_tier"])
+
+
+def keys_across_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of product and seller that came on several days, found by their prints and compared by value."""
+    items, keys = silver(spark, sf_dir, "order_items"), ["product_id", "seller_id"]
+    found = K.repeated(items, keys, K.shared_prints(K.prints(items, keys)))
+    return found.select(*keys, F.array_min("days").alias("first_day"), F.array_max("days").alias("last_day"), F.size("days").cast("long").alias("n_days"))
+
+
+def _order_partials(gold: LazyGold) -> DataFrame:
+    return B.partials(gold["fact_orders"], B.coded(gold["fact_orders"]))
+
+
+def partials_gmv_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 from the days' bitmaps of order codes."""
+    gold = LazyGold(spark, sf_dir)
+    return R.gmv_of_keys(B.merged(_order_partials(gold), ["region_key"], "orders", "gmv"), gold["dim_region"])
+
+
+def partials_order_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4 from the days' bitmaps of order codes."""
+    gold = LazyGold(spark, sf_dir)
+    return R.trends_of_days(B.merged(_order_partials(gold), ["order_date"], "total_orders", "gmv_mmk"), gold["dim_date"])

@@ -35,13 +35,15 @@ from ledgerline.contracts import BATCH_ENTITIES, DIMENSIONS, FACTS, GOLD, MASTER
 from ledgerline.operators import audit as A
 from ledgerline.operators import checks as Q
 from ledgerline.operators import compact as C
+from ledgerline.operators import distinct_partials as B
 from ledgerline.operators import history as H
+from ledgerline.operators import key_days as K
 from ledgerline.operators import publish as P
 from ledgerline.operators import reports as R
 from ledgerline.operators import serving as V
 from ledgerline.operators import star as G
 from ledgerline.operators import warehouse as W
-from ledgerline.operators.clean import clean_entity
+from ledgerline.operators.clean import SPECS, clean_entity
 from ledgerline.operators.run_metrics import marked
 from ledgerline.sources import csv_extract as X
 from ledgerline.sources import files
@@ -210,6 +212,31 @@ def to_silver(
     return results
 
 
+# ---- keys of several days (Q2, D1) --------------------------------------------------------------
+@_audits("key_days")
+def to_key_days(spark: SparkSession, root: str, days) -> dict[str, int]:
+    """Look for keys of the days' silver rows on other days (``key_days``); keys found per entity, an audit row per day. Nothing is blocked.
+
+    Run it over the stored days once, so that later days find them; again for days that late payments were merged into.
+    """
+    days = _days(days)
+    found = {}
+    for entity in BATCH_ENTITIES:
+        counts = K.check_days(spark, root, entity, key_of(entity), days)
+        found[entity] = sum(counts.values())
+        _audit_days(spark, root, f"key_days_{entity}", counts, message="keys that other days hold too")
+    return found
+
+
+def key_of(entity: str) -> list[str]:
+    return [k for k in SPECS[entity].row_keys if k != "batch_date"]
+
+
+def repeated_keys(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """(key, days, batch_date): keys that several days hold, by the day that was checked."""
+    return K.read_repeats(spark, root, entity, [SILVER[entity][k] for k in key_of(entity)])
+
+
 # ---- history of the masters (2.16) --------------------------------------------------------------
 # keys and tracked attributes of the masters with a history
 HISTORY = {
@@ -276,6 +303,30 @@ def to_gold(spark: SparkSession, root: str, days) -> dict[str, int]:
     return written
 
 
+# ---- per-day partials of distinct counts (A5) ---------------------------------------------------
+@_audits("partials")
+def to_partials(spark: SparkSession, root: str, days) -> int:
+    """Gold orders → the days' bitmaps of order codes and sums, from which ``report_from_partials`` reads; rows written."""
+    days = _days(days)
+    n = B.store_days(_read_days(spark, root, "gold", "fact_orders", days), root, days)
+    counts = dict.fromkeys(days, 0)
+    counts |= {r.batch_date: r["count"] for r in B.read_partials(spark, root, days).groupBy("batch_date").count().collect()}
+    _audit_days(spark, root, "partials_orders", counts)
+    return n
+
+
+def report_from_partials(spark: SparkSession, root: str, name: str, days=None) -> DataFrame:
+    """``report`` of one of ``FROM_PARTIALS`` over days that went through ``to_partials``, without a scan of the fact."""
+    parts = B.read_partials(spark, root, None if days is None else _days(days))
+    return FROM_PARTIALS[name](parts, scan(spark, root, "gold", R.REPORTS[name][1][1]))
+
+
+FROM_PARTIALS = {
+    "report_gmv_by_city": lambda parts, dim: R.gmv_of_keys(B.merged(parts, ["region_key"], "orders", "gmv"), dim),
+    "report_order_trends": lambda parts, dim: R.trends_of_days(B.merged(parts, ["order_date"], "total_orders", "gmv_mmk"), dim),
+}
+
+
 # ---- T4 ---------------------------------------------------------------------------------------
 def publish(spark: SparkSession, root: str, target_root: str, days, jdbc: W.Target | dict | None = None) -> dict[str, int]:
     """Gold → serving copy with replace semantics per table kind (K4/K6), all ten tables at once (``serving``).
@@ -344,9 +395,9 @@ def compact(spark: SparkSession, root: str, target_bytes: int = C.TARGET_BYTES,
 
 # ---- T5 / T6 ----------------------------------------------------------------------------------
 def run_batch(spark: SparkSession, raw_root: str, root: str, days, target_root: str | None = None, jdbc: W.Target | dict | None = None, with_history: bool = False,
-              **silver_options) -> None:
+              with_key_days: bool = False, with_partials: bool = False, **silver_options) -> None:
     """All stages in order for one day or a list of days, on one session; the last with ``target_root``, into a database too with ``jdbc``.
-    ``with_history``: the masters' versions too."""
+    ``with_history``: the masters' versions too; ``with_key_days``: keys that other days hold; ``with_partials``: partials of distinct counts."""
     days = _days(days)
     if jdbc and not target_root:
         raise ValueError("jdbc loads the rows published to target_root")
@@ -354,7 +405,11 @@ def run_batch(spark: SparkSession, raw_root: str, root: str, days, target_root:
     to_silver(spark, root, days, **silver_options)
     if with_history:
         to_history(spark, root, days)
+    if with_key_days:
+        to_key_days(spark, root, days)
     to_gold(spark, root, days)
+    if with_partials:
+        to_partials(spark, root, days)
     if target_root:
         publish(spark, root, target_root, days, jdbc)
 

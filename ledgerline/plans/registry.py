@@ -47,5 +47,6 @@ for _name in (
     "check_no_duplicates", "check_references", "reconcile_orders", "check_amount_match",
     "check_allowed_pairs", "quality_report", "audit_counts", "publish_replace_key",
     "upsert_dimension", "scd2_history", "scd2_products", "scd2_sellers",
+    "keys_across_days", "partials_gmv_by_city", "partials_order_trends",
 ):
     QUERIES[_name] = getattr(K, _name)

@@ -492,6 +492,9 @@ FROM (SELECT *, TRY_CAST(order_timestamp AS TIMESTAMP) AS ts,
         "customer_balance_positive", count_when("c_acctbal <= 0"), "Positive check on c_acctbal", "customer")),
     "check_non_negative": ([], [], check_row(
         "customer_balance_non_negative", count_when("c_acctbal < 0"), "Non-negative check on c_acctbal", "customer")),
+    "keys_across_days": (["order_items"], [], """
+SELECT product_id, seller_id, min(batch_date) AS first_day, max(batch_date) AS last_day, count(DISTINCT batch_date) AS n_days
+FROM silver_order_items WHERE product_id IS NOT NULL AND seller_id IS NOT NULL GROUP BY ALL HAVING count(DISTINCT batch_date) > 1"""),
     "check_no_duplicates": (["order_items"], [], dup_check(
         "order_items_duplicates", "raw_order_items", "order_item_id", "Duplicate check on [''order_item_id'']")),
     "check_references": ([], [], refs_check(

@@ -24,3 +24,5 @@ for _name in Q.REPORTS:
     SQL[_name] = Q.report_query(_name)
 for _name in Q.OPS:
     SQL[_name] = Q.op_query(_name)
+SQL["partials_gmv_by_city"] = SQL["report_gmv_by_city"]
+SQL["partials_order_trends"] = SQL["report_order_trends"]

@@ -1,0 +1,99 @@
+"""Keys of several days: what is found, and what a clean day doesn't read."""
+
+import datetime as dt
+import glob
+import random
+
+from pyspark.sql import functions as F
+
+from ledgerline.contracts import SILVER
+from ledgerline.operators import audit as A
+from ledgerline.operators import key_days as K
+from ledgerline.operators import publish as P
+from ledgerline.plans import medallion as M
+from ledgerline.sources.layers import table_path
+from tests import fixtures as FX
+
+D1, D2, D3 = (dt.date(2024, 3, n) for n in (1, 2, 3))
+
+
+def _payments(spark, root, held):
+    """Silver payments: {day: ids}."""
+    rows = [(i, d) for d, ids in held.items() for i in ids]
+    df = spark.createDataFrame(rows, "payment_id string, batch_date date")
+    full = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in SILVER["payments"].fields])
+    P.write_batches(full, table_path(root, "silver", "payments"), list(held))
+
+
+def _found(spark, root):
+    return {(r.payment_id, tuple(r.days), r.batch_date) for r in M.repeated_keys(spark, root, "payments").collect()}
+
+
+def _check(spark, root, *days):
+    return K.check_days(spark, root, "payments", ["payment_id"], list(days))
+
+
+def test_a_repeated_id_is_reported_with_its_days(spark, workdir):
+    _payments(spark, workdir, {D1: ["a", "b", None, None], D2: ["c", None], D3: ["b", "c", "d"]})
+    assert _check(spark, workdir, D1) == {D1: 0}
+    assert _check(spark, workdir, D2) == {D2: 0}
+    assert _check(spark, workdir, D3) == {D3: 2}
+    assert _found(spark, workdir) == {("b", (D1, D3), D3), ("c", (D2, D3), D3)}
+
+
+def test_a_clean_day_reads_no_other_partition(spark, workdir):
+    _payments(spark, workdir, {D1: ["a", "b"], D2: ["c"], D3: ["b"]})
+    _check(spark, workdir, D1)
+    for part in glob.glob(f"{table_path(workdir, 'silver', 'payments')}/batch_date={D1}/*.parquet"):
+        with open(part, "wb") as fh:
+            fh.write(b"not parquet")
+    assert _check(spark, workdir, D2) == {D2: 0}  # the first day's rows can't be read any more
+    try:
+        _check(spark, workdir, D3)
+    except Exception as exc:  # this one has to compare with them
+        assert "parquet" in str(exc).lower()
+    else:
+        raise AssertionError("the day that shares a key was not compared")
+
+
+def test_a_range_finds_what_any_order_of_its_days_finds_and_a_rerun_replaces(spark, workdir):
+    rnd = random.Random(3)
+    days = [D1 + dt.timedelta(days=n) for n in range(5)]
+    held = {d: sorted({f"k{rnd.randrange(40)}" for _ in range(12)}) for d in days}
+    plain = {i: tuple(d for d in days if i in held[d]) for ids in held.values() for i in ids}
+    want = {(i, at) for i, at in plain.items() if len(at) > 1}
+    _payments(spark, f"{workdir}/a", held)
+    _check(spark, f"{workdir}/a", *days)
+    assert _found(spark, f"{workdir}/a") == {(i, at, d) for i, at in want for d in at}
+    _payments(spark, f"{workdir}/b", held)
+    for d in rnd.sample(days, 5):
+        _check(spark, f"{workdir}/b", d)
+    assert {(i, at) for i, at, _ in _found(spark, f"{workdir}/b")} >= want
+    held[days[0]] = ["new"]  # the day comes again with other rows
+    _payments(spark, f"{workdir}/a", {days[0]: ["new"]})
+    assert _check(spark, f"{workdir}/a", days[0]) == {days[0]: 0}
+    assert not any(d == days[0] for _, _, d in _found(spark, f"{workdir}/a"))
+
+
+def test_equal_prints_of_different_keys_are_told_apart(spark):
+    rows = spark.createDataFrame([("a", D1), ("b", D2), ("c", D1), ("c", D2)], "k string, batch_date date")
+    made = rows.select(F.xxhash64("k").alias("print")).distinct().withColumn("days", F.array(F.lit(D1), F.lit(D2)))  # as if all prints were shared
+    assert [(r.k, r.days) for r in K.repeated(rows, ["k"], made).collect()] == [("c", [D1, D2])]
+
+
+def test_empty_tables_and_days(spark, workdir):
+    _payments(spark, workdir, {D1: ["a"]})
+    assert _check(spark, workdir, D2, D3) == {D2: 0, D3: 0}
+    assert _check(spark, workdir, D1) == {D1: 0}
+    assert _found(spark, workdir) == set()
+
+
+def test_stage_reports_and_audits_each_day(spark, workdir):
+    raw, root = f"{workdir}/raw", f"{workdir}/lake"
+    FX.write_drop(raw)
+    FX.write_day(raw, "2024-03-03", FX.day2_orders(), FX.day2_items())  # the ids of the second day again
+    for day in (D1, D2, D3):
+        M.run_batch(spark, raw, root, day, with_key_days=True)
+    assert [(r.order_id, r.days) for r in M.repeated_keys(spark, root, "orders").collect()] == [("O3", [D2, D3])]
+    rows = spark.read.schema(A.AUDIT).parquet(A.audit_path(root)).where("pipeline_stage = 'key_days_orders'").collect()
+    assert {r.batch_date: (r.status, r.row_count) for r in rows} == {D1: (A.SUCCESS, 0), D2: (A.SUCCESS, 0), D3: (A.SUCCESS, 1)}
