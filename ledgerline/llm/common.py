@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,6 +17,8 @@ from pyspark.sql.types import StructType
 BROADCAST_ROWS_MAX = 100_000
 #: Ways in which one key of a salted join is split.
 SALTS = 32
+#: A key is heavy if it repeats and holds one in ``HEAVY_MAX`` of the rows or more, so there are ``HEAVY_MAX`` heavy keys at most.
+HEAVY_MAX = 1000
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -106,15 +108,15 @@ def fresh(df: DataFrame, *bases: str) -> list[str]:
     return names
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """``left`` join ``right`` on ``keys``, each key split ``salts`` ways by the left column ``spread``.
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str | Column, how: str = "inner", salts: int = SALTS) -> DataFrame:
+    """``left`` join ``right`` on ``keys``, each key split ``salts`` ways by the left column or expression ``spread``.
 
     ``right`` has one row per key, so repeating it is bounded by ``salts`` rows a key, and a key
     that holds a third of ``left`` is dealt to ``salts`` tasks. Always a merge join: the repeated
     rows are never broadcast. ``how`` is inner or left.
     """
     (salt,) = fresh(left, "salt")
-    split = left.withColumn(salt, F.pmod(F.xxhash64(F.col(f"`{spread}`")), F.lit(salts)))
+    split = left.withColumn(salt, F.pmod(F.xxhash64(F.col(f"`{spread}`") if isinstance(spread, str) else spread), F.lit(salts)))
     copies = right.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return split.join(copies.hint("merge"), [*keys, salt], how).drop(salt)
 
@@ -125,26 +127,36 @@ def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str, tag: Callable
     A doc_id (null included) that occurs once finds its decision by a join on it. Rows of a doc_id that
     occurs more often are told apart by their tag, which ``tag(rows, column)`` works out again for
     them alone; rows that share both are repeated rows, of which one stays. The join of the texts is a merge join at
-    every size.
+    every size. Texts of a heavy doc_id (null, say, for a third of the rows) are never dealt by it: those ids are
+    ``HEAVY_MAX`` at most and are broadcast; their rows are dealt by id and tag, repeated ones combined before.
     """
     key, name = fresh(docs, "key", "tag")
     decided = stored(decided.select(F.col("doc_id").alias(key), F.col("tag").alias(name), "kept"), "decided")
-    per_key = decided.groupBy(key).agg(F.count("*").alias("n"), F.max("kept").alias("kept")).where("kept")
-    per_key = stored(per_key.select(key, "n"), "decided-keys")
+    share = F.lit(decided.count()) / F.lit(HEAVY_MAX)
+    per_key = decided.groupBy(key).agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+    per_key = per_key.withColumn("heavy", (F.col("n") > 1) & (F.col("n") >= share)).where("kept or heavy")
+    per_key = stored(per_key.select(key, "n", "kept", "heavy"), "decided-keys")
     keyed = docs.withColumn(key, F.col(f"`{id_col}`"))
 
-    def has(rows: DataFrame, wanted: DataFrame, *more: str) -> DataFrame:
+    def has(rows: DataFrame, wanted: DataFrame, *more: str, how: str = "left_semi") -> DataFrame:
         match = rows[key].eqNullSafe(wanted[key])
         for c in more:
             match = match & (rows[c] == wanted[c])
-        return rows.join(wanted, match, "left_semi")
+        return rows.join(wanted, match, how)
 
-    kept = has(keyed, per_key.where("n = 1").drop("n").hint("merge"))
-    several = per_key.where("n > 1").drop("n")
+    heavy = F.broadcast(per_key.where("heavy").select(key))  # HEAVY_MAX rows at most
+    kept = has(has(keyed, heavy, how="left_anti"), per_key.where("n = 1").select(key).hint("merge"))
+    several = per_key.where("n > 1 and kept").select(key, "heavy")
     n_several = several.count()
+
+    def of_several(rows: DataFrame) -> DataFrame:
+        if n_several <= BROADCAST_ROWS_MAX:
+            return has(rows, F.broadcast(several.select(key)))
+        others = has(has(rows, heavy, how="left_anti"), several.where("not heavy").select(key))
+        return has(rows, F.broadcast(several.where("heavy").select(key))).unionByName(others)
+
     if n_several:
-        wanted = F.broadcast(several) if n_several <= BROADCAST_ROWS_MAX else several
-        tags = has(decided.where("kept").drop("kept"), wanted).distinct()
-        found = has(tag(has(keyed, wanted), name), tags, name).dropDuplicates([key, name])
+        tags = of_several(decided.where("kept").drop("kept")).distinct()
+        found = has(tag(of_several(keyed), name).dropDuplicates([key, name]), tags, name)
         kept = kept.unionByName(found.drop(name))
     return kept.drop(key)

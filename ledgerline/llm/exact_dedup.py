@@ -10,7 +10,9 @@ How it runs:
    row the places of its blocks in that list. A block that a third of the rows hold is so one row per batch
    before anything is shuffled. Written as a table, because row ids must not change afterwards.
 2. The blocks (the only shuffle of text) are dealt by their value, sorted, and numbered within their
-   partition; the numbers go back to the batches as integers.
+   partition; the numbers go back to the batches as integers. A block in one of ``HEAVY_MAX`` rows or more, found by
+   a count of hashes, isn't dealt, as all its rows would meet in one task: its value is reduced to one row first, numbered below
+   the others, and joined to its rows where they lie. The hash only picks the way; names go by value.
 3. Each round pairs neighbours, numbers the distinct pairs in sorted order and joins the numbers back,
    the pairs salted by row. Rounds: the base-2 logarithm of the longest document's blocks.
 4. Documents group by (blocks, name); the row with the most code points in the original text, then the
@@ -31,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import keep_decided, map_batches, own_worker, salted_join, stored
+from ledgerline.llm.common import HEAVY_MAX, SALTS, keep_decided, map_batches, own_worker, salted_join, stored
 
 BLANK = b" \t\n\x0b\x0c\r"
 BLOCK_BYTES = 4096
@@ -101,17 +103,36 @@ def _number_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.int64())], ["batch_id", "place", "name"])
 
 
+def _by_weight(blocks: DataFrame, heavy_max: int) -> tuple[DataFrame, DataFrame]:
+    """``blocks`` (batch_id, place, block) parted by the hash of the block: those to be dealt, and the heavy ones."""
+    hashed = blocks.select("*", F.xxhash64("block").alias("hash"))
+    total = blocks.agg(F.count("place")).first()[0]
+    heavy = hashed.groupBy("hash").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") * heavy_max >= total))
+    heavy = F.broadcast(stored(heavy.select("hash"), "heavy-blocks"))  # heavy_max rows at most
+    return hashed.join(heavy, "hash", "left_anti").drop("hash"), hashed.join(heavy, "hash", "left_semi").drop("hash")
+
+
+def _names(blocks: DataFrame, heavy_max: int = HEAVY_MAX) -> DataFrame:
+    """(batch_id, place, name): equal blocks, and only these, have equal names. No name is -1, which ends a row of an odd length."""
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    light, heavy = _by_weight(blocks, heavy_max)
+    names = map_batches(light.repartition(parts, "block").sortWithinPartitions("block"), _number_sorted, "batch_id long, place int, name long")
+    values = heavy.select("block", F.pmod("batch_id", F.lit(SALTS)).alias("salt")).distinct().select("block").distinct()
+    values = stored(values.sortWithinPartitions("block").select("block", (-2 - F.monotonically_increasing_id()).alias("name")), "heavy-names")
+    few = values.count() <= 2 * heavy_max  # more only if many blocks share a hash
+    found = heavy.join(F.broadcast(values), "block") if few else salted_join(heavy, values, ["block"], "batch_id")
+    return names.unionByName(found.select("batch_id", "place", "name"))
+
+
 def identities(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of ``docs``: row_id, doc_id, n_points, text_sha256 (binary), n_blocks, name."""
-    spark = docs.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.length(text).alias("n_points"), text.cast("binary").alias("text"))
     schema = _PASS.format(id=source.schema["doc_id"].dataType.simpleString())
     cut = stored(map_batches(source, _cut(block_bytes), schema), "blocks")
     rows = cut.where("row_id is not null").select("row_id", "batch_id", "doc_id", "n_points", "text_sha256", "places")
     blocks = cut.where("block is not null").select("batch_id", "place", "block")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    names = map_batches(blocks.repartition(parts, "block").sortWithinPartitions("block"), _number_sorted, "batch_id long, place int, name long")
+    names = _names(blocks)
     cells = (rows.select("row_id", "batch_id", F.size("places").alias("n_blocks"), F.posexplode("places").alias("at", "place"))
              .join(names, ["batch_id", "place"]).select("row_id", "n_blocks", "at", "name"))
     level = stored(cells, "names")

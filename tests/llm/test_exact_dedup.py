@@ -69,3 +69,35 @@ def test_empty_table(spark):
 def test_query_equals_duckdb(spark):
     out = compare(spark, connect(SF), SF, "op5", queries.op5_exact_dedup, oracle.SQL["op5_exact_dedup"])
     assert out.ok, out.detail
+
+
+def test_names_tell_blocks_apart_whichever_way_they_go(spark):
+    values = [bytes([65 + k]) * 3 for k in range(20)]
+    rows = [(b, p, values[0] if b % 3 == 0 and p == 0 else values[(b * 5 + p) % 20]) for b in range(400) for p in range(2)]
+    blocks = spark.createDataFrame(rows, "batch_id long, place int, block binary")
+    for heavy_max in (0, 3, 1000):  # no block is heavy, one that a third of the batches holds, every one
+        light, heavy = exact_dedup._by_weight(blocks, heavy_max)
+        dealt = Counter(bytes(r.block) for r in light.collect())
+        assert dealt + Counter(bytes(r.block) for r in heavy.collect()) == Counter(v for _, _, v in rows)
+        assert not dealt or heavy_max < 1000
+        if heavy_max == 3:
+            assert max(dealt.values()) * 3 < len(rows)
+        named = {(r.batch_id, r.place): r.name for r in exact_dedup._names(blocks, heavy_max).collect()}
+        assert len(named) == len(rows) and -1 not in named.values()
+        assert len({(named[b, p], v) for b, p, v in rows}) == len(set(named.values())) == len({v for *_, v in rows})
+
+
+def test_a_null_id_of_a_third_of_the_rows(spark, monkeypatch):
+    """Null ids, an id of many texts and one of repeated rows: by broadcast of all ids that come again, and without it."""
+    from ledgerline.llm import common
+
+    rows = [(None, f"text {i % 60}") for i in range(90)] + [(7, f"other {i}") for i in range(40)] + [(8, "same")] * 40 + [(100 + i, f"text {i}") for i in range(80)]
+    rows += [(300 + i // 2, f"pair {i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    _, kept = expected(rows)
+    for most in (common.BROADCAST_ROWS_MAX, 1):
+        monkeypatch.setattr(common, "BROADCAST_ROWS_MAX", most)
+        for heavy in (1000, 5, 1):
+            monkeypatch.setattr(common, "HEAVY_MAX", heavy)
+            made = exact_dedup.keep_first(df).collect()
+            assert Counter((r.doc_id, hashlib.sha256(brute.plain(r.text).encode()).hexdigest()) for r in made) == kept, (most, heavy)
