@@ -199,8 +199,8 @@ def near_groups(docs: DataFrame, words: int, radius: int, text_col: str = "text"
     reach = components(links(classes.select("fp"), radius, bucket_max)).withColumnsRenamed({"node": "fp"})
     joined = classes.join(reach, "fp", "left").where("root is not null or n > 1").withColumn("root", F.coalesce("root", "fp"))
     best = joined.groupBy("root").agg(F.min("least").alias("component_id"), F.min(F.struct(F.col("least").isNull(), "least", "fp")).alias("best"))
-    of_class = joined.select("fp", "root").join(best.select("root", "component_id", F.col("best.fp").alias("first_fp")), "root")
-    out = salted_join(marked, of_class, ["fp"], "doc_id", "left")
+    of_class = salted_join(joined.select("fp", "root"), best.select("root", "component_id", F.col("best.fp").alias("first_fp")), ["root"], "fp")
+    out = salted_join(marked, of_class, ["fp"], F.monotonically_increasing_id(), "left")  # of a table, so a row's number stays; ids may be null
     alone = F.col("root").isNull()
     return out.select(
         "doc_id",
