@@ -80,7 +80,7 @@ def _rated(docs: DataFrame, text_col: str, source_col: str, id_col: str, weights
     sized = docs.withColumns({names["size"]: words(F.col(f"`{text_col}`").cast("string")), names["source"]: F.coalesce(source, F.lit("")),
                               names["none"]: source.isNull()})
     keys = [names["source"], names["none"]]
-    out = sized.join(F.broadcast(keyed), keys) if n_sources <= BROADCAST_ROWS_MAX else salted_join(sized, keyed, keys, id_col)
+    out = sized.join(F.broadcast(keyed), keys) if n_sources <= BROADCAST_ROWS_MAX else salted_join(sized, keyed, keys, F.xxhash64(f"`{id_col}`", f"`{text_col}`"))  # ids may be null
     rate = F.col(names["rate"])
     extra = (draw(F.col(f"`{id_col}`"), seed) < rate - F.floor(rate)).cast("long")
     return out.withColumn(names["copies"], F.floor(rate) + extra), names
