@@ -167,8 +167,8 @@ def _by_text_size(rows: DataFrame, row_id: str) -> DataFrame:
 
     The join's exchange is sized by narrow numbers, so a task of it that also sorts the rendered text for the dedupe
     holds some 16 times the bytes it read, and its sorts of lines and orders besides. Beside the row's id the order's
-    is dealt by: with the id alone Spark would take this exchange for the dedupe's own, and a hot id would not be
-    split over tasks before it is collapsed.
+    is dealt by: with the id alone Spark would take this exchange for the dedupe's own, and could not split a hot id
+    that comes from several tasks of the join before it is collapsed.
     """
     return rows.hint("rebalance", "order_id", row_id)
 

@@ -141,7 +141,7 @@ def test_lines_with_a_hot_id_null_keys_and_repeated_orders_match_duckdb(spark, w
         "100.25D * (id % 30) as l_extendedprice, 0.05D as l_discount, 0.01D as l_tax, if(id % 11 = 0, null, substr('ANR', cast(id % 3 as int) + 1, 1)) as l_returnflag, "
         "if(id % 2 = 0, 'F', 'O') as l_linestatus, timestamp_ntz'1996-02-01' + make_dt_interval(cast(id % 40 as int)) as l_shipdate from range(3000)"
     ).repartition(4).write.parquet(f"{workdir}/lineitem.parquet")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")  # the hot id is split and collapsed in several tasks
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")  # many small tasks
     try:
         out = compare(spark, connect(workdir), workdir, key, entry.queries()[key], entry.oracle_sql()[key])
     finally:
