@@ -10,9 +10,10 @@ carries it, so ``Yangon`` and ``YANGON`` are one place in ``dim_region`` and in
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from typing import Callable, Mapping
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import types as T
 
 from ledgerline.contracts import BATCH_ENTITIES, SILVER, conform, require_columns
 from ledgerline.functions import scalars as S
@@ -66,23 +67,30 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     return df.fillna(dict(defaults)) if defaults else df
 
 
-def clean(df: DataFrame, spec: CleanSpec, dedupe: bool = True, copies: str | None = None) -> DataFrame:
+def clean(df: DataFrame, spec: CleanSpec, dedupe: bool = True, copies: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Bronze rows of one entity → typed, deduplicated silver rows.
 
     With ``copies`` (and ``dedupe``), a column of that name follows the contract's columns,
-    holding how many bronze rows each key had (see ``keep_latest``).
+    holding how many bronze rows each key had (see ``keep_latest``). With ``columns``, the rows are the same and only
+    these of the contract's columns are made, so the dedupe carries no more text than their values need.
     """
     require_columns(df, [f.name for f in spec.contract.fields if f.name not in spec.derived], f"bronze {spec.entity}")
     keep = (copies,) if copies and dedupe else ()
+    if columns is not None and not set(columns) & set(spec.derived):  # a derived column may need any other
+        made = T.StructType([f for f in spec.contract.fields if f.name in columns])
+        derived = {}
+    else:
+        made, derived = spec.contract, spec.derived
     if dedupe:
-        df = keep_latest(df, spec.row_keys, copies=copies)
+        df = keep_latest(df, spec.row_keys, copies=copies, columns=None if made is spec.contract else made.fieldNames())
     if spec.title_case:
         df = df.withColumns({c: S.title_case(c) for c in spec.title_case if c in df.columns})
-    typed = conform(df, spec.contract, keep=keep)
-    if spec.derived:
-        typed = typed.withColumns({name: make() for name, make in spec.derived.items()})
-    return fill_defaults(typed, spec.defaults)
+    typed = conform(df, made, keep=keep)
+    if derived:
+        typed = typed.withColumns({name: make() for name, make in derived.items()})
+    filled = fill_defaults(typed, {c: v for c, v in spec.defaults.items() if c in typed.columns})
+    return filled if columns is None else filled.select(*[c for c in spec.contract.fieldNames() if c in columns], *keep)
 
 
-def clean_entity(df: DataFrame, entity: str, dedupe: bool = True, copies: str | None = None) -> DataFrame:
-    return clean(df, SPECS[entity], dedupe=dedupe, copies=copies)
+def clean_entity(df: DataFrame, entity: str, dedupe: bool = True, copies: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+    return clean(df, SPECS[entity], dedupe=dedupe, copies=copies, columns=columns)

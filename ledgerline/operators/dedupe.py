@@ -24,23 +24,30 @@ from pyspark.sql import functions as F
 
 
 def keep_latest(
-    df: DataFrame, keys: Sequence[str], order_first: Sequence[str] = ("ingested_at",), copies: str | None = None
+    df: DataFrame, keys: Sequence[str], order_first: Sequence[str] = ("ingested_at",), copies: str | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: the survivor described above.
 
     With ``copies``, a column of that name is appended holding the number of input rows of the
     key, computed in the same aggregate; a duplicate check then reads it instead of grouping
     the raw rows a second time.
+
+    With ``columns``, only these of the survivor are returned, in table order. Of the greatest row, any first values are the
+    greatest such values, so what is ordered after the last of ``columns`` decides nothing about them and isn't shuffled.
     """
     keys = list(keys)
     first = [c for c in order_first if c in df.columns and c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in first]
-    ordered = first + rest
+    ordered, wanted = first + rest, df.columns
+    if columns is not None:
+        wanted = [c for c in df.columns if c in columns]
+        ordered = ordered[: max((at for at, c in enumerate(ordered, 1) if c in columns), default=0)]
     aggs = [F.count(F.lit(1)).alias(copies)] if copies else []
     extra = [copies] if copies else []
     if not ordered:
-        return df.groupBy(*keys).agg(*aggs).select(*df.columns, *extra) if copies else df.select(*keys).distinct()
+        return df.groupBy(*keys).agg(*aggs).select(*wanted, *extra) if copies else df.select(*keys).distinct().select(*wanted)
     survivor = F.max(F.struct(*[F.col(c) for c in ordered])).alias("_survivor")
     fields = [F.col("_survivor")[c].alias(c) for c in ordered]
-    return df.groupBy(*keys).agg(survivor, *aggs).select(*keys, *fields, *extra).select(*df.columns, *extra)
+    return df.groupBy(*keys).agg(survivor, *aggs).select(*keys, *fields, *extra).select(*wanted, *extra)
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.sources import files
+from ledgerline.sources.scratch import stored
 
 
 def daily_snapshots(df: DataFrame, keys: Sequence[str], as_of: str, attrs: Sequence[str], tie_break: Sequence[str]) -> DataFrame:
@@ -90,7 +91,7 @@ def resplice(versions: DataFrame, snapshot: DataFrame, day: Column, keys: Sequen
     ]
     if seen is not None:
         split = own.where(_covers(day)).select(*keys, *attrs, "valid_to")
-        again = seen.where(F.col("as_of") > day).select(*keys, "as_of").join(split, keys)
+        again = seen.where(F.col("as_of") > day).select(*keys, "as_of").join(touched, keys, "left_semi").join(split, keys)
         again = again.where(F.col("valid_to").isNull() | (F.col("as_of") < F.col("valid_to"))).groupBy(*keys).agg(F.min("as_of").alias("_at"))
         parts.append(split.join(again, keys).select(*keys, *attrs, "_at"))
     # Spark 4.1 takes the union's partitioning by key from its parts, and then saw the rows of a key apart (spark.sql.unionOutputPartitioning);
@@ -100,7 +101,7 @@ def resplice(versions: DataFrame, snapshot: DataFrame, day: Column, keys: Sequen
 
 def spliced(versions: DataFrame, snapshot: DataFrame, day: Column, keys: Sequence[str], attrs: Sequence[str], seen: DataFrame | None = None) -> DataFrame:
     """``versions`` with the snapshot of ``day``, which they don't hold yet, in its place."""
-    touched = touched_keys(versions, snapshot, day, keys, attrs)
+    touched = stored(touched_keys(versions, snapshot, day, keys, attrs), "touched")  # mostly few: what follows reads it several times and broadcasts it then
     rest = versions.join(touched, list(keys), "left_anti")
     return rest.unionByName(resplice(versions, snapshot, day, keys, attrs, touched, seen))
 

@@ -1,11 +1,14 @@
 """Named queries over a directory of driver tables: raw extract → silver → gold → report.
 
 Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole tables.
-Nothing is collected or cached here; Catalyst sees the full plan of each query.
+Nothing is collected or cached here; Catalyst sees the full plan of each query, except where a query reads a part of it several
+times or needs more disk for all parts than for one: such a part is stored first (``sources.scratch``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators import clean as C
@@ -18,8 +21,8 @@ def raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return D.extract(spark, sf_dir, entity)
 
 
-def silver(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return C.clean_entity(raw(spark, sf_dir, entity), entity)
+def silver(spark: SparkSession, sf_dir: str, entity: str, columns: Sequence[str] | None = None) -> DataFrame:
+    return C.clean_entity(raw(spark, sf_dir, entity), entity, columns=columns)
 
 
 def silver_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -96,6 +99,7 @@ from ledgerline.operators import key_days as K  # noqa: E402
 from ledgerline.operators import publish as P  # noqa: E402
 from ledgerline.operators.dedupe import keep_latest  # noqa: E402
 from ledgerline.sources.layers import filter_batch  # noqa: E402
+from ledgerline.sources.scratch import stored  # noqa: E402
 
 # fixed values of the fixture: the batch day scanned, and the allow-list made of the
 # (city, region) pairs of nations 0–6 (the other 18 nations' pairs are the bad ones)
@@ -191,6 +195,11 @@ def check_allowed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.allowed_pairs(silver(spark, sf_dir, "customers"), "city", "region", NATION_PAIRS, "customers_city_region_mapping")
 
 
+def _stored_items(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    """These columns of silver order items, stored slice by slice of their ids: the dedupe shuffles each row's text twice."""
+    return stored(silver(spark, sf_dir, "order_items", ["order_item_id", *columns]), "order-items", ["order_item_id"], columns)
+
+
 COPIES = "_copies"
 
 
@@ -235,17 +244,21 @@ def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _late_day(snaps: DataFrame, keys: list[str], attrs: list[str]) -> DataFrame:
-    """History over all days but one, into which that day's snapshot is spliced: the versions over all days."""
+    """History over all days but one, into which that day's snapshot is spliced: the versions over all days.
+
+    As in a stored history, snapshots and versions are tables: the splice reads each several times, with other filters and columns.
+    """
     day = F.lit(SCAN_DAY)
-    versions = H.scd2_versions(snaps.where(F.col("batch_date") != day), keys, "batch_date", attrs)
+    snaps = stored(snaps, "snapshots")
+    versions = stored(H.scd2_versions(snaps.where(F.col("batch_date") != day), keys, "batch_date", attrs), "versions")
     seen = snaps.select(*keys, F.col("batch_date").alias("as_of"))
     return H.spliced(versions, snaps.where(F.col("batch_date") == day), day, keys, attrs, seen)
 
 
 def scd2_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seller and unit price of a product as of each day, from its last item that day; SCAN_DAY arrives last."""
-    items = silver(spark, sf_dir, "order_items")
     attrs = ["seller_id", "unit_price_mmk"]
+    items = _stored_items(spark, sf_dir, ["order_item_id", "product_id", *attrs, "batch_date"])
     return _late_day(H.daily_snapshots(items, ["product_id"], "batch_date", attrs, ["order_item_id"]), ["product_id"], attrs)
 
 

@@ -25,6 +25,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """An existing path goes when the driver's process ends."""
+    fs, jpath = _open(spark, path)
+    fs.deleteOnExit(jpath)
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     fs, jold = _open(spark, old)
     if not fs.rename(jold, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)):
