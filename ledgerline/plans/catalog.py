@@ -269,7 +269,7 @@ def scd2_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A seller's tier as of each day, by the price of its last item that day; SCAN_DAY arrives last."""
     tier = F.when(F.col("unit_price_mmk") >= 1500, "premium").otherwise("standard")
-    items = silver(spark, sf_dir, "order_items").withColumn("seller_tier", tier)
+    items = _stored_items(spark, sf_dir, ["order_item_id", "seller_id", "unit_price_mmk", "batch_date"]).withColumn("seller_tier", tier)
     return _late_day(H.daily_snapshots(items, ["seller_id"], "batch_date", ["seller_tier"], ["order_item_id"]), ["seller_id"], ["seller_tier"])
 
 

@@ -79,7 +79,7 @@ def test_without_a_shared_folder_nothing_is_stored(spark, monkeypatch):
     assert "Range" in plan and "parquet" not in plan
 
 
-@pytest.mark.parametrize("key", ["scd2_products", "quality_report"])
+@pytest.mark.parametrize("key", ["scd2_products", "scd2_sellers", "quality_report"])
 def test_lines_are_read_and_deduplicated_once_for_a_table(spark, monkeypatch, key):
     from pyspark.sql import DataFrameWriter
 
@@ -94,7 +94,7 @@ def test_lines_are_read_and_deduplicated_once_for_a_table(spark, monkeypatch, ke
         assert "l_extendedprice" not in lines[0]
 
 
-@pytest.mark.parametrize("key", ["scd2_products", "quality_report"])
+@pytest.mark.parametrize("key", ["scd2_products", "scd2_sellers", "quality_report"])
 def test_slices_of_a_hot_id_and_repeated_rows_match_duckdb(spark, workdir, monkeypatch, key):
     from ledgerline.sources import driver_tables as D
     from oracle.compare import compare, connect
